@@ -160,8 +160,10 @@ def nan_to_null(df: DataFrame) -> DataFrame:
 def replace_columns(df: DataFrame, changes: dict[str, Column]) -> DataFrame:
     """Replace columns in place and append new ones, as one projection."""
     kept = [
-        changes[c].alias(c) if c in changes else col(c)
-        for c in df.columns
+        changes[f.name].alias(f.name, metadata=f.metadata or {})
+        if f.name in changes
+        else col(f.name)
+        for f in df.schema
     ]
     added = [e.alias(c) for c, e in changes.items() if c not in df.columns]
     return df.select(*kept, *added)

@@ -163,19 +163,19 @@ def _pick(df: DataFrame, columns: list[str], segments: list[_Segment], window_ro
         .groupBy("segment", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    ranked = running_weight(counts, ["segment"], "value", "n", window_rows=window_rows)
+    ranked = running_weight(counts, ["segment"], "value", ["n"], counts.count(), window_rows)
     hit = F.lit(False)
     for j, s in enumerate(open_):
         for r in s.ranks:
             at = F.lit(r - s.below)
             hit = hit | (
-                (F.col("segment") == j) & (F.col("before") <= at)
-                & (at < F.col("before") + F.col("n"))
+                (F.col("segment") == j) & (F.col("before_n") <= at)
+                & (at < F.col("before_n") + F.col("n"))
             )
     # At most one row per wanted order statistic.
     for row in ranked.filter(hit).collect():
         s = open_[row["segment"]]
-        first = s.below + row["before"]
+        first = s.below + row["before_n"]
         for r in s.ranks:
             if first <= r < first + row["n"]:
                 found[(s.column, r)] = row["value"]

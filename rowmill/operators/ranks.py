@@ -34,42 +34,46 @@ def running_weight(
     table: DataFrame,
     groups: Sequence[str],
     order: str,
-    weight: str,
-    out: str = "before",
+    weights: Sequence[str],
+    rows: int,
     window_rows: int = WINDOW_ROWS,
-    rows: int | None = None,
 ) -> DataFrame:
-    """Add to every row the weight of the rows of its group that sort before it.
+    """Add before_<w> per weight w: its sum over the rows of the group that sort before a row.
 
-    `table` has one row per (groups, order) and is cheap to read again, that is, written. Above
-    `window_rows` rows it is range-partitioned by value, the totals of the ranges give each range
-    its offset, and windows only run inside a range.
+    `table` has `rows` rows, one per (groups, order), and is cheap to read again, that is, written.
+    Above `window_rows` rows it is range-partitioned by value, the totals of the ranges give each
+    range its offset, and windows only run inside a range.
     """
-    rows = table.count() if rows is None else rows
+    outs = {w: f"before_{w}" for w in weights}
+    by_group = [col(g) for g in groups]
     if rows <= window_rows:
-        return table.withColumn(out, _exclusive_sum(weight, [col(g) for g in groups], [order]))
+        return table.select(
+            "*", *[_exclusive_sum(w, by_group, [order]).alias(o) for w, o in outs.items()]
+        )
 
     ranges = max(2, math.ceil(2 * rows / window_rows))
     ranged = materialise(
-        table.repartitionByRange(ranges, *[col(g) for g in groups], col(order)).withColumn(
+        table.repartitionByRange(ranges, *by_group, col(order)).withColumn(
             "__range", F.spark_partition_id()
         )
     )
     keys = [*groups, "__range"]
+    by_range = [col(k) for k in keys]
     # One row per range and group: its size follows the number of ranges, not of values.
-    offsets = (
-        ranged.groupBy(*[col(k) for k in keys])
-        .agg(F.sum(col(weight)).alias("__total"))
-        .withColumn("__offset", _exclusive_sum("__total", [col(g) for g in groups], ["__range"]))
-        .drop("__total")
+    totals = ranged.groupBy(*by_range).agg(*[F.sum(col(w)).alias(f"__total_{w}") for w in weights])
+    offsets = totals.select(
+        *by_range,
+        *[
+            _exclusive_sum(f"__total_{w}", by_group, ["__range"]).alias(f"__offset_{w}")
+            for w in weights
+        ],
     )
-    inside = ranged.withColumn(
-        "__inside", _exclusive_sum(weight, [col(k) for k in keys], [order])
+    inside = ranged.select(
+        "*", *[_exclusive_sum(w, by_range, [order]).alias(f"__inside_{w}") for w in weights]
     )
-    return (
-        inside.join(offsets, keys)
-        .withColumn(out, F.col("__offset") + F.col("__inside"))
-        .drop("__offset", "__inside", "__range")
+    return inside.join(offsets, keys).select(
+        *[col(c) for c in table.columns],
+        *[(col(f"__offset_{w}") + col(f"__inside_{w}")).alias(o) for w, o in outs.items()],
     )
 
 
@@ -81,10 +85,12 @@ def attach_by_value(
     weight: str,
     outputs: Sequence[str],
     lookup_rows: int,
+    total: int,
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Left-join `outputs` of `lookup` (one row per `value`) to `rows` on key = value.
 
+    `lookup_rows` is the number of its rows and `total` the sum of its `weight`.
     A small lookup is broadcast. For a large one the hot values, at most HOT_SHARE of them, are
     broadcast and their rows, like rows with a NULL key, are spread over all tasks of the join.
     """
@@ -95,7 +101,6 @@ def attach_by_value(
         small = F.broadcast(slim.drop("__weight"))
         return rows.join(small, col(key) == F.col("__value"), "left").drop("__value")
 
-    total = slim.agg(F.sum("__weight")).first()[0]
     is_hot = F.col("__weight") * HOT_SHARE >= F.lit(total)
     hot = slim.filter(is_hot).select(
         F.col("__value").alias("__hot"), *[col(o).alias(f"__hot_{o}") for o in outputs]

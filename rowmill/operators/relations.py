@@ -117,73 +117,76 @@ def average_ranks(
 ) -> DataFrame:
     """Replace every value by its average rank within its column; NULL stays NULL."""
     names = require_numeric(df, columns)
-    variants = [(i, None) for i in range(len(names))]
-    ranked = _ranked(_doubles(df, names), names, variants, window_rows, broadcast_rows)
-    return ranked.select(*[col(f"__r{v}").alias(c) for v, c in enumerate(names)])
+    ranked = _ranked(_doubles(df, names), names, [], window_rows, broadcast_rows)
+    return ranked.select(*[col(f"__r{i}").alias(c) for i, c in enumerate(names)])
 
 
 def _ranked(
     df: DataFrame,
     names: Sequence[str],
-    variants: list[tuple[int, int | None]],
+    partners: Sequence[int],
     window_rows: int,
     broadcast_rows: int,
 ) -> DataFrame:
-    """Add __r0, __r1, ...: the rank of column i over the rows that have column j, per variant."""
+    """Add __r<i>, the rank within column i, and __r<i>_<j>, that over the rows having column j."""
     entries = []
-    for v, (i, j) in enumerate(variants):
-        x = col(names[i])
-        present = x.isNotNull() if j is None else x.isNotNull() & col(names[j]).isNotNull()
-        entries.append(F.when(present, F.struct(F.lit(v).alias("variant"), x.alias("value"))))
+    for i, c in enumerate(names):
+        fields = [F.lit(i).alias("item"), col(c).alias("value")]
+        fields += [col(names[j]).isNotNull().cast("int").alias(f"has_{j}") for j in partners]
+        entries.append(F.when(col(c).isNotNull(), F.struct(*fields)))
     counts = materialise(
         df.select(F.inline(F.array_compact(F.array(*entries))))
-        .groupBy("variant", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("item", "value")
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            *[F.sum(f"has_{j}").alias(f"n_{j}") for j in partners],
+        )
     )
-    rows = counts.count()
-    ranks = running_weight(counts, ["variant"], "value", "n", window_rows=window_rows, rows=rows)
-    ranks = materialise(
-        ranks.withColumn("rank", F.col("before") + (F.col("n") + 1) / F.lit(2.0))
+    sizes = {
+        r["item"]: (r["values"], r["rows"])
+        for r in counts.groupBy("item")
+        .agg(F.count(F.lit(1)).alias("values"), F.sum("n").alias("rows"))
+        .collect()
+    }
+    weights = {"n": "", **{f"n_{j}": f"_{j}" for j in partners}}
+    ranks = running_weight(
+        counts, ["item"], "value", list(weights), sum(v for v, _ in sizes.values()), window_rows
     )
-    of_column = {i: [v for v, (k, _) in enumerate(variants) if k == i] for i, _ in variants}
-    sizes = dict(ranks.groupBy("variant").count().collect())
-    sizes = {i: sum(sizes.get(v, 0) for v in vs) for i, vs in of_column.items()}
     # Small lookups first: together the broadcast ones stay below the limit.
     out, sent = df, 0
-    for i in sorted(of_column, key=lambda i: sizes[i]):
-        vs = of_column[i]
-        lookup = ranks.filter(F.col("variant").isin(vs))
-        if len(vs) == 1:
-            lookup = lookup.withColumnRenamed("rank", f"__r{vs[0]}")
-        else:
-            per_variant = [
-                F.max(F.when(F.col("variant") == v, F.col("rank"))).alias(f"__r{v}") for v in vs
-            ]
-            lookup = lookup.groupBy("value").agg(*per_variant, F.max("n").alias("n"))
-        sent += sizes[i]
+    for i in sorted(range(len(names)), key=lambda i: sizes.get(i, (0, 0))):
+        values, rows = sizes.get(i, (0, 0))
+        sent += values
+        outputs = [f"__r{i}{suffix}" for suffix in weights.values()]
+        lookup = ranks.filter(F.col("item") == i).select(
+            "value",
+            "n",
+            *[
+                (col(f"before_{w}") + (col(w) + 1) / F.lit(2.0)).alias(o)
+                for w, o in zip(weights, outputs)
+            ],
+        )
         out = attach_by_value(
-            out, lookup, names[i], "value", "n", [f"__r{v}" for v in vs], sent, broadcast_rows
+            out, lookup, names[i], "value", "n", outputs, sent, rows, broadcast_rows
         )
-    for v, (i, j) in enumerate(variants):
-        if j is not None:
-            out = out.withColumn(f"__r{v}", F.when(col(names[j]).isNotNull(), col(f"__r{v}")))
     return out
 
 
 def _spearman(
     df: DataFrame, names: Sequence[str], gaps: dict, window_rows: int, broadcast_rows: int
 ) -> dict:
-    variants: list[tuple[int, int | None]] = [(i, None) for i in range(len(names))]
-    variants += [pair for pair, gap in gaps.items() if gap]
-    place = {v: n for n, v in enumerate(variants)}
-    ranked = _ranked(df, names, variants, window_rows, broadcast_rows)
+    partners = sorted({j for (_, j), gap in gaps.items() if gap})
+    ranked = _ranked(df, names, partners, window_rows, broadcast_rows)
+
+    def rank(i: int, j: int) -> Column:
+        if not gaps.get((i, j), False):
+            return col(f"__r{i}")
+        return F.when(col(names[j]).isNotNull(), col(f"__r{i}_{j}"))
+
     pairs, exprs = _pairs(len(names)), []
     for i, j in pairs:
-        a = place[(i, j)] if gaps.get((i, j)) else place[(i, None)]
-        b = place[(j, i)] if gaps.get((j, i)) else place[(j, None)]
-        x, y = col(f"__r{a}"), col(f"__r{b}")
-        sx = F.stddev_pop(_where(x, y, i != j and gaps[(i, j)]))
-        sy = F.stddev_pop(_where(y, x, i != j and gaps[(j, i)]))
+        x, y = rank(i, j), rank(j, i)
+        sx, sy = F.stddev_pop(x), F.stddev_pop(y)
         r = F.try_divide(F.covar_pop(x, y), sx * sy)
         # Ranks of a constant column are all equal, so its deviation is exactly zero.
         exprs.append(F.when(sx > 0, F.lit(1.0)) if i == j else clip(r, -1.0, 1.0))
