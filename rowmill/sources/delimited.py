@@ -36,6 +36,9 @@ ENCODINGS = {
 }
 FALLBACK = "latin1"
 
+# Line ends of these take more than one byte, so Spark cannot cut their files into lines.
+WIDE_CHARSETS = ("UTF-16", "UTF-16LE", "UTF-16BE", "UTF-32")
+
 _SURPLUS = "__surplus"
 
 
@@ -238,11 +241,12 @@ def read_delimited(
     A row with more fields than the first one is an error, a shorter one is filled with NULL.
     Without a header the columns are called "0", "1", ... With `row_id` the table is written once
     with an id per row in reading order. `multiline` allows line breaks inside quotes, at the price
-    of one task per file.
+    of one task per file; UTF-16 and UTF-32 files are always read that way.
     """
     separator = resolve_separator(separator)
     encoding = resolve_encoding(spark, path, encoding)
     charset = ENCODINGS[encoding]
+    multiline = multiline or charset in WIDE_CHARSETS
     if regex_separator:
         text, first = _split_lines(spark, path, separator, header, charset)
     else:
