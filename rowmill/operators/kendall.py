@@ -18,11 +18,13 @@ from pyspark.sql import functions as F
 
 from rowmill.functions.columns import col
 from rowmill.functions.shipping import runs_in_workers
-from rowmill.operators.ranks import WINDOW_ROWS
 from rowmill.plans.storage import materialise
 
 runs_in_workers(__name__)
 
+# Rows that one Python task counts, about.
+GROUP_ROWS = 500_000
+
 
 def discordant_weight(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> float:
     """Sum of w_i * w_j over pairs with x_i < x_j and y_i > y_j, in O(n log n)."""
@@ -58,12 +60,13 @@ def _sum_of_groups(table: DataFrame, group: str, x: str) -> float:
     return parts.agg(F.sum("d")).first()[0] or 0.0
 
 
-def discordant_pairs(table: DataFrame, rows: int, group_rows: int = WINDOW_ROWS) -> float:
+def discordant_pairs(table: DataFrame, rows: int, group_rows: int = GROUP_ROWS) -> float:
     """Discordant weight of a written table (x, y, n) with one row per (x, y)."""
     if rows <= group_rows:
         return _sum_of_groups(table.withColumn("g", F.lit(0)), "g", "x")
-    # Ranges of about half the bound, so that uneven cuts stay below it.
-    ranges = max(2, math.ceil(2 * rows / group_rows))
+    # Ranges of about half the bound, so that uneven cuts stay below it, but never so many that
+    # their pairs are not a small part of the rows.
+    ranges = max(2, min(math.ceil(2 * rows / group_rows), math.isqrt(rows) // 4))
     cut = materialise(
         table.repartitionByRange(ranges, "x", "y")
         .withColumn("p", F.spark_partition_id())
@@ -83,7 +86,7 @@ def _tied(n: Column) -> Column:
 
 
 def kendall_pair(
-    df: DataFrame, a: str, b: str, group_rows: int = WINDOW_ROWS
+    df: DataFrame, a: str, b: str, group_rows: int = GROUP_ROWS
 ) -> float | None:
     """tau-b of two double columns; None where it is undefined."""
     if a == b:

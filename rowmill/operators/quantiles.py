@@ -157,13 +157,18 @@ def _pick(df: DataFrame, columns: list[str], segments: list[_Segment], window_ro
         inside = x.between(F.lit(s.low), F.lit(s.high))
         any_inside = any_inside | inside
         entries.append(F.when(inside, F.struct(F.lit(j).alias("segment"), x.alias("value"))))
-    counts = materialise(
+    counts = (
         df.filter(any_inside)
         .select(F.inline(F.array_compact(F.array(*entries))))
         .groupBy("segment", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    ranked = running_weight(counts, ["segment"], "value", ["n"], counts.count(), window_rows)
+    # The rows inside bound the number of values, so few of them need no written table.
+    rows = sum(s.upto - s.below for s in open_)
+    if rows > window_rows:
+        counts = materialise(counts)
+        rows = counts.count()
+    ranked = running_weight(counts, ["segment"], "value", ["n"], rows, window_rows)
     hit = F.lit(False)
     for j, s in enumerate(open_):
         for r in s.ranks:

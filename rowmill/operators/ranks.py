@@ -12,13 +12,13 @@ from rowmill.functions.columns import col
 from rowmill.plans.storage import materialise
 
 # A window over at most this many rows runs in one task.
-WINDOW_ROWS = 500_000
+WINDOW_ROWS = 2_000_000
 
 # A lookup of at most this many rows is broadcast.
 BROADCAST_ROWS = 500_000
 
-# A value holding at least this share of the weight is hot; so there are at most as many.
-HOT_SHARE = 4096
+# A value holding at least 1 / HOT_SHARE of the weight is hot; so there are at most as many.
+HOT_SHARE = 65536
 
 
 def _exclusive_sum(weight: str, partition: Sequence[Column], order: Sequence[str]) -> Column:

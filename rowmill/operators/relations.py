@@ -5,14 +5,16 @@ Matrices are long: one row (col_a, col_b, value) per ordered pair.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from dataclasses import dataclass, replace
 from itertools import combinations_with_replacement
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowmill.functions.columns import col, nan_to_null, numeric_columns, require_numeric
-from rowmill.functions.scalars import clip, double, rounded
+from rowmill.functions.scalars import double, rounded
 from rowmill.operators.kendall import kendall_pair
 from rowmill.operators.ranks import (
     BROADCAST_ROWS,
@@ -54,44 +56,94 @@ def _matrix(df: DataFrame, names: Sequence[str], values: dict, value: str, digit
     return table.coalesce(1).withColumn(value, rounded(F.col(value), digits))
 
 
-def _shared_gaps(df: DataFrame, names: Sequence[str]) -> dict[tuple[int, int], bool]:
-    """(i, j) -> True where column i has values on rows on which column j has none."""
-    exprs, keys = [], []
-    for i, a in enumerate(names):
-        for j, b in enumerate(names):
-            if i != j:
-                keys.append((i, j))
-                exprs.append(F.count_if(col(a).isNotNull() & col(b).isNull()))
-    row = df.agg(*exprs).first()
-    return {k: n > 0 for k, n in zip(keys, row)}
+@dataclass(frozen=True)
+class _Column:
+    """What one pass tells about a column."""
+
+    n: int
+    gaps: bool
+    centre: float
+    varies: bool
+
+
+def _survey(df: DataFrame, names: Sequence[str]) -> list[_Column]:
+    exprs = [F.count(F.lit(1))]
+    for c in names:
+        x = col(c)
+        exprs += [F.count(x), F.avg(x), F.min(x), F.max(x)]
+    rows, *found = df.agg(*exprs).first()
+    out = []
+    for i in range(len(names)):
+        n, mean, low, high = found[4 * i : 4 * i + 4]
+        out.append(_Column(n, n < rows, mean or 0.0, n > 0 and low < high))
+    return out
 
 
-def _where(x: Column, y: Column, needed: bool) -> Column:
-    return F.when(y.isNotNull(), x) if needed else x
+def _pair_correlations(
+    df: DataFrame,
+    sides: dict[tuple[int, int | None], Column],
+    columns: Sequence[_Column],
+) -> dict[tuple[int, int], float | None]:
+    """r per pair from one pass of plain sums around the column centres.
+
+    sides[i, None] is column i, sides[i, j] its values on the rows that have column j; the latter is
+    needed only where column j has gaps. Sums of this kind compile to far less code than one
+    built-in central moment per pair and side.
+    """
+
+    def key(i: int, j: int) -> tuple[int, int | None]:
+        return (i, j) if i != j and columns[j].gaps else (i, None)
+
+    pairs, exprs, place = _pairs(len(columns)), [], {}
 
+    def want(name: tuple, *wanted: Column) -> None:
+        if name not in place:
+            place[name] = slice(len(exprs), len(exprs) + len(wanted))
+            exprs.extend(wanted)
+
+    def centred(k: tuple[int, int | None]) -> Column:
+        return sides[k] - F.lit(columns[k[0]].centre)
 
-def _pearson(df: DataFrame, names: Sequence[str], gaps: dict) -> dict:
-    """r per pair; NULL where a column is constant on the shared rows."""
-    pairs, exprs = _pairs(len(names)), []
     for i, j in pairs:
-        x, y = col(names[i]), col(names[j])
-        sx = F.stddev_pop(_where(x, y, gaps.get((i, j), False)))
-        sy = F.stddev_pop(_where(y, x, gaps.get((j, i), False)))
-        # The built-in corr divides by zero for a constant column.
-        r = F.try_divide(F.covar_pop(x, y), sx * sy)
-        if i == j:
-            r = F.when(sx > 0, F.lit(1.0))
-        exprs.append(clip(r, -1.0, 1.0) if i != j else r)
-    found = df.agg(*exprs).first()
-    # A constant is recognised by its range: its computed deviation may differ from zero.
-    sides = [s for i, j in pairs for s in ((i, j), (j, i))]
-    ranges = []
-    for i, j in sides:
-        x = _where(col(names[i]), col(names[j]), gaps.get((i, j), False))
-        ranges.append(F.coalesce(F.min(x) < F.max(x), F.lit(False)))
-    varies = dict(zip(sides, df.agg(*ranges).first()))
-    return {(i, j): r if varies[i, j] and varies[j, i] else None
-            for (i, j), r in zip(pairs, found)}
+        for k in (key(i, j), key(j, i)):
+            d = centred(k)
+            want(("side", k), F.sum(d), F.sum(d * d))
+            if k[1] is not None:
+                want(("range", k), F.count(sides[k]), F.min(sides[k]) < F.max(sides[k]))
+        want(("pair", i, j), F.sum(centred(key(i, j)) * centred(key(j, i))))
+    row = df.agg(*exprs).first()
+
+    def known(k: tuple[int, int | None]) -> tuple[int, bool]:
+        if k[1] is None:
+            return columns[k[0]].n, columns[k[0]].varies
+        n, varies = row[place["range", k]]
+        return n, bool(varies)
+
+    result: dict[tuple[int, int], float | None] = {}
+    for i, j in pairs:
+        a, b = key(i, j), key(j, i)
+        (n, x_varies), (_, y_varies) = known(a), known(b)
+        if not (x_varies and y_varies):
+            # A constant is recognised by its range, as its computed deviation may not be zero.
+            result[i, j] = None
+        elif i == j:
+            result[i, j] = 1.0
+        else:
+            (sx, sxx), (sy, syy) = row[place["side", a]], row[place["side", b]]
+            (sxy,) = row[place["pair", i, j]]
+            scale = math.sqrt(max(sxx - sx * sx / n, 0.0)) * math.sqrt(max(syy - sy * sy / n, 0.0))
+            r = (sxy - sx * sy / n) / scale if scale else None
+            result[i, j] = None if r is None else max(-1.0, min(1.0, r))
+    return result
+
+
+def _pearson(df: DataFrame, names: Sequence[str], columns: Sequence[_Column]) -> dict:
+    sides: dict[tuple[int, int | None], Column] = {}
+    for i, c in enumerate(names):
+        sides[i, None] = col(c)
+        for j, other in enumerate(names):
+            sides[i, j] = F.when(col(other).isNotNull(), col(c))
+    return _pair_correlations(df, sides, columns)
 
 
 def covariance(
@@ -152,6 +204,9 @@ def _ranked(
     ranks = running_weight(
         counts, ["item"], "value", list(weights), sum(v for v, _ in sizes.values()), window_rows
     )
+    if sum(v for v, _ in sizes.values()) > broadcast_rows:
+        # A large lookup is read twice: for its hot values and for the others.
+        ranks = materialise(ranks)
     # Small lookups first: together the broadcast ones stay below the limit.
     out, sent = df, 0
     for i in sorted(range(len(names)), key=lambda i: sizes.get(i, (0, 0))):
@@ -173,24 +228,22 @@ def _ranked(
 
 
 def _spearman(
-    df: DataFrame, names: Sequence[str], gaps: dict, window_rows: int, broadcast_rows: int
+    df: DataFrame,
+    names: Sequence[str],
+    columns: Sequence[_Column],
+    window_rows: int,
+    broadcast_rows: int,
 ) -> dict:
-    partners = sorted({j for (_, j), gap in gaps.items() if gap})
+    partners = [j for j, c in enumerate(columns) if c.gaps]
     ranked = _ranked(df, names, partners, window_rows, broadcast_rows)
-
-    def rank(i: int, j: int) -> Column:
-        if not gaps.get((i, j), False):
-            return col(f"__r{i}")
-        return F.when(col(names[j]).isNotNull(), col(f"__r{i}_{j}"))
-
-    pairs, exprs = _pairs(len(names)), []
-    for i, j in pairs:
-        x, y = rank(i, j), rank(j, i)
-        sx, sy = F.stddev_pop(x), F.stddev_pop(y)
-        r = F.try_divide(F.covar_pop(x, y), sx * sy)
-        # Ranks of a constant column are all equal, so its deviation is exactly zero.
-        exprs.append(F.when(sx > 0, F.lit(1.0)) if i == j else clip(r, -1.0, 1.0))
-    return dict(zip(pairs, ranked.agg(*exprs).first()))
+    sides: dict[tuple[int, int | None], Column] = {}
+    for i in range(len(names)):
+        sides[i, None] = col(f"__r{i}")
+        for j in partners:
+            # Ranks over fewer rows are smaller, so pairs with gaps have ranks of their own.
+            sides[i, j] = F.when(col(names[j]).isNotNull(), col(f"__r{i}_{j}"))
+    centred = [replace(c, centre=(c.n + 1) / 2) for c in columns]
+    return _pair_correlations(ranked, sides, centred)
 
 
 def correlation(
@@ -212,11 +265,11 @@ def correlation(
             (i, j): kendall_pair(df, names[i], names[j], window_rows) for i, j in _pairs(len(names))
         }
     else:
-        gaps = _shared_gaps(df, names)
+        columns = _survey(df, names)
         if method == "pearson":
-            values = _pearson(df, names, gaps)
+            values = _pearson(df, names, columns)
         else:
-            values = _spearman(df, names, gaps, window_rows, broadcast_rows)
+            values = _spearman(df, names, columns, window_rows, broadcast_rows)
     return _matrix(df, names, values, "r", digits)
 
 

@@ -189,7 +189,7 @@ def _split_lines(
     lines = spark.read.csv(
         path, schema="value string", sep="\u0001", quote="\u0000", encoding=charset,
         header=False, mode="PERMISSIVE", ignoreLeadingWhiteSpace=False,
-        ignoreTrailingWhiteSpace=False,
+        ignoreTrailingWhiteSpace=False, multiLine=charset in WIDE_CHARSETS,
     ).filter("value is not null")
     head = lines.first()
     if head is None:
@@ -211,7 +211,7 @@ def _skip_headers(
     return spark.read.csv(
         path, schema="value string", sep="\u0001", quote="\u0000", encoding=charset,
         header=True, enforceSchema=True, mode="PERMISSIVE", ignoreLeadingWhiteSpace=False,
-        ignoreTrailingWhiteSpace=False,
+        ignoreTrailingWhiteSpace=False, multiLine=charset in WIDE_CHARSETS,
     ).filter("value is not null")
 
 
