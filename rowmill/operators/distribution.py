@@ -96,65 +96,59 @@ def histogram(
     """
     names = require_numeric(df, [columns] if isinstance(columns, str) else columns)
     df = _doubles(df, names)
-    fitted = _fit_bins(df, names, bins)
-    schema = "column string, bin int, low double, high double, n bigint"
+    return _bars(df, _fit_bins(df, names, bins), density)
+
+
+def _bars(df: DataFrame, fitted: dict[str, _Bins], density: bool = False) -> DataFrame:
     if not fitted:
-        empty = df.sparkSession.createDataFrame([], schema)
-        return empty.withColumn("density", F.lit(None).cast("double")) if density else empty
-    present = list(fitted)
-    entries = [
-        F.when(
-            col(c).isNotNull(),
-            F.struct(F.lit(i).alias("item"), fitted[c].index(col(c)).alias("bin")),
+        schema = "column string, bin int, low double, high double, n bigint"
+        return df.sparkSession.createDataFrame([], schema + ", density double" * density)
+    present, bins = list(fitted), list(fitted.values())
+
+    def entries(item: Sequence[tuple[Column, Column]]) -> Column:
+        return F.inline(
+            F.array(
+                *[
+                    F.when(shown, F.struct(F.lit(i).alias("item"), bin_.alias("bin")))
+                    for i, (shown, bin_) in enumerate(item)
+                ]
+            )
         )
-        for i, c in enumerate(present)
-    ]
+
     counts = (
-        df.select(F.inline(F.array_compact(F.array(*entries))))
+        df.select(entries([(col(c).isNotNull(), fitted[c].index(col(c))) for c in present]))
+        .filter("item is not null")
         .groupBy("item", "bin")
         .agg(F.count(F.lit(1)).alias("n"))
     )
     # Every bin of every column once, with weight zero, so that empty bins stay in the result.
-    zero = df.sparkSession.range(max(b.count for b in fitted.values())).select(
-        F.inline(
-            F.array_compact(
-                F.array(
-                    *[
-                        F.when(
-                            F.col("id") < fitted[c].count,
-                            F.struct(
-                                F.lit(i).alias("item"), F.col("id").cast("int").alias("bin")
-                            ),
-                        )
-                        for i, c in enumerate(present)
-                    ]
-                )
-            )
-        )
+    number = F.col("id").cast("int")
+    zero = (
+        df.sparkSession.range(max(b.count for b in bins))
+        .select(entries([(number < b.count, number) for b in bins]))
+        .filter("item is not null")
     )
     filled = (
         counts.unionByName(zero.withColumn("n", F.lit(0).cast("long")))
         .groupBy("item", "bin")
         .agg(F.sum("n").alias("n"))
     )
-    place = F.col("item") + 1
-    edges = [fitted[c].edges(F.col("bin")) for c in present]
-    result = filled.select(
-        F.element_at(F.array(*[F.lit(c) for c in present]), place).alias("column"),
+
+    def pick(values: Sequence[Column]) -> Column:
+        return F.element_at(F.array(*values), F.col("item") + 1)
+
+    edges = [b.edges(F.col("bin")) for b in bins]
+    shown = [
+        pick([F.lit(c) for c in present]).alias("column"),
         "bin",
-        F.element_at(F.array(*[e[0] for e in edges]), place).alias("low"),
-        F.element_at(F.array(*[e[1] for e in edges]), place).alias("high"),
+        pick([low for low, _ in edges]).alias("low"),
+        pick([high for _, high in edges]).alias("high"),
         "n",
-    )
-    if not density:
-        return result
-    areas = F.array(*[F.lit(float(fitted[c].n * fitted[c].width)) for c in present])
-    totals = result.withColumn(
-        "__area",
-        F.element_at(areas, F.array_position(F.array(*[F.lit(c) for c in present]),
-                                             F.col("column")).cast("int")),
-    )
-    return totals.withColumn("density", F.try_divide(F.col("n"), F.col("__area"))).drop("__area")
+    ]
+    if density:
+        area = pick([F.lit(b.n * b.width) for b in bins])
+        shown.append(F.try_divide(F.col("n"), area).alias("density"))
+    return filled.select(*shown)
 
 
 def numeric_distribution(
@@ -361,7 +355,7 @@ def scatter(
         for c in ("x", "y")
     }
     cells = points.groupBy(*spots.values(), *groups).agg(F.count(F.lit(1)).alias("n"))
-    margins = histogram(points, ["x", "y"], bins)
+    margins = _bars(points, fitted)
     return Scatter(
         points,
         cells,

@@ -124,7 +124,7 @@ def _sample(
                     F.struct(F.lit(i).alias("item"), double(col(c)).alias("x"), spot.alias("at")),
                 )
             )
-        return df.select(F.inline(F.array_compact(F.array(*parts))))
+        return df.select(F.inline(F.array(*parts))).filter("item is not null")
 
     while True:
         limits = [None if s == 1.0 else int(-(2**63) + s * (2**64 - 1)) for s in shares]

@@ -159,7 +159,8 @@ def _pick(df: DataFrame, columns: list[str], segments: list[_Segment], window_ro
         entries.append(F.when(inside, F.struct(F.lit(j).alias("segment"), x.alias("value"))))
     counts = (
         df.filter(any_inside)
-        .select(F.inline(F.array_compact(F.array(*entries))))
+        .select(F.inline(F.array(*entries)))
+        .filter("segment is not null")
         .groupBy("segment", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )

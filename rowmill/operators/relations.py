@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from rowmill.functions.columns import col, nan_to_null, numeric_columns, require_numeric
 from rowmill.functions.scalars import double, rounded
-from rowmill.operators.kendall import kendall_pair
+from rowmill.operators.kendall import GROUP_ROWS, kendall_pair
 from rowmill.operators.ranks import (
     BROADCAST_ROWS,
     WINDOW_ROWS,
@@ -187,7 +187,8 @@ def _ranked(
         fields += [col(names[j]).isNotNull().cast("int").alias(f"has_{j}") for j in partners]
         entries.append(F.when(col(c).isNotNull(), F.struct(*fields)))
     counts = materialise(
-        df.select(F.inline(F.array_compact(F.array(*entries))))
+        df.select(F.inline(F.array(*entries)))
+        .filter("item is not null")
         .groupBy("item", "value")
         .agg(
             F.count(F.lit(1)).alias("n"),
@@ -254,6 +255,7 @@ def correlation(
     max_columns: int | None = MAX_COLUMNS,
     window_rows: int = WINDOW_ROWS,
     broadcast_rows: int = BROADCAST_ROWS,
+    group_rows: int = GROUP_ROWS,
 ) -> DataFrame:
     """Pearson, Spearman or Kendall tau-b of every pair of columns."""
     if method not in METHODS:
@@ -262,14 +264,14 @@ def correlation(
     df = _doubles(df, names)
     if method == "kendall":
         values = {
-            (i, j): kendall_pair(df, names[i], names[j], window_rows) for i, j in _pairs(len(names))
+            (i, j): kendall_pair(df, names[i], names[j], group_rows) for i, j in _pairs(len(names))
         }
     else:
-        columns = _survey(df, names)
+        survey = _survey(df, names)
         if method == "pearson":
-            values = _pearson(df, names, columns)
+            values = _pearson(df, names, survey)
         else:
-            values = _spearman(df, names, columns, window_rows, broadcast_rows)
+            values = _spearman(df, names, survey, window_rows, broadcast_rows)
     return _matrix(df, names, values, "r", digits)
 
 

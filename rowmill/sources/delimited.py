@@ -36,6 +36,9 @@ ENCODINGS = {
 }
 FALLBACK = "latin1"
 
+# What Spark puts in the place of bytes it cannot decode.
+REPLACEMENT = "\ufffd"
+
 # Line ends of these take more than one byte, so Spark cannot cut their files into lines.
 WIDE_CHARSETS = ("UTF-16", "UTF-16LE", "UTF-16BE", "UTF-32")
 
@@ -83,29 +86,23 @@ def resolve_separator(choice: str | None, custom: str | None = None) -> str:
     return SEPARATORS.get(choice, choice)
 
 
-def _invalid_utf8(spark: SparkSession, path: str | Sequence[str]) -> bool:
-    lines = spark.read.text(path)
-    return bool(lines.filter(~F.is_valid_utf8("value")).limit(1).count())
-
+def encodings_to_try(encoding: str | None) -> list[str]:
+    """The wanted encoding, utf-8 and latin1, without names that Spark cannot read."""
+    wanted = (encoding or "utf-8").lower().replace("_", "-")
+    names = dict.fromkeys([wanted, "utf-8", FALLBACK])
+    return [n for n in names if n in ENCODINGS]
 
-def resolve_encoding(spark: SparkSession, path: str | Sequence[str], encoding: str | None) -> str:
-    """The first that works of the wanted encoding, utf-8 and latin1.
 
-    UTF-8 is checked against the bytes, since Spark replaces bad ones without an error; names that
-    Spark cannot read are skipped, and other encodings are trusted.
-    """
-    wanted = (encoding or "utf-8").lower().replace("_", "-")
-    for name in (wanted, "utf-8"):
-        if ENCODINGS.get(name) == "UTF-8":
-            if not _invalid_utf8(spark, path):
-                return name
-        elif ENCODINGS.get(name) == "US-ASCII":
-            lines = spark.read.text(path)
-            if not lines.filter(F.octet_length("value") != F.char_length("value")).limit(1).count():
-                return name
-        elif name in ENCODINGS:
-            return name
-    return FALLBACK
+def _undecodable(spark: SparkSession, path: str | Sequence[str], charset: str) -> bool:
+    """Whether some bytes are not valid in UTF-8 or ASCII; other encodings are trusted."""
+    value = F.col("value")
+    if charset == "UTF-8":
+        bad = ~F.is_valid_utf8(value)
+    elif charset == "US-ASCII":
+        bad = F.octet_length(value) != F.char_length(value)
+    else:
+        return False
+    return bool(spark.read.text(path).filter(bad).limit(1).count())
 
 
 def _unique_names(names: Sequence[str | None]) -> list[str]:
@@ -225,6 +222,29 @@ def _first_fields(
     return list(row) if row is not None else []
 
 
+def _read_fields(
+    spark: SparkSession, path: str | Sequence[str], separator: str, header: bool, charset: str,
+    regex_separator: bool, multiline: bool,
+) -> tuple[DataFrame, list[str | None]]:
+    """All rows as text columns __0, __1, ... and the surplus field; and the first line."""
+    if regex_separator:
+        return _split_lines(spark, path, separator, header, charset)
+    first = _first_fields(spark, path, separator, charset, multiline)
+    fields = [T.StructField(f"__{i}", T.StringType()) for i in range(len(first))]
+    text = spark.read.csv(
+        path,
+        schema=T.StructType([*fields, T.StructField(_SURPLUS, T.StringType())]),
+        sep=separator,
+        encoding=charset,
+        header=header,
+        enforceSchema=True,
+        mode="PERMISSIVE",
+        multiLine=multiline,
+        escape='"',
+    )
+    return text, first
+
+
 def read_delimited(
     spark: SparkSession,
     path: str | Sequence[str],
@@ -238,50 +258,47 @@ def read_delimited(
 ) -> Loaded:
     """Read one file, a folder or a list of files of delimited text.
 
-    A row with more fields than the first one is an error, a shorter one is filled with NULL.
-    Without a header the columns are called "0", "1", ... With `row_id` the table is written once
-    with an id per row in reading order. `multiline` allows line breaks inside quotes, at the price
-    of one task per file; UTF-16 and UTF-32 files are always read that way.
+    The wanted encoding is tried first, then utf-8, then latin1. A row with more fields than the
+    first one is an error, a shorter one is filled with NULL. Without a header the columns are
+    called "0", "1", ... With `row_id` the table is written once with an id per row in reading
+    order. `multiline` allows line breaks inside quotes, at the price of one task per file; UTF-16
+    and UTF-32 files are always read that way.
     """
     separator = resolve_separator(separator)
-    encoding = resolve_encoding(spark, path, encoding)
-    charset = ENCODINGS[encoding]
-    multiline = multiline or charset in WIDE_CHARSETS
-    if regex_separator:
-        text, first = _split_lines(spark, path, separator, header, charset)
-    else:
-        first = _first_fields(spark, path, separator, charset, multiline)
-    if not first:
-        raise ValueError(f"no columns to read in {path}")
-    names = _unique_names(first) if header else [str(i) for i in range(len(first))]
-    if not regex_separator:
-        fields = [T.StructField(f"__{i}", T.StringType()) for i in range(len(first))]
-        text = spark.read.csv(
-            path,
-            schema=T.StructType([*fields, T.StructField(_SURPLUS, T.StringType())]),
-            sep=separator,
-            encoding=charset,
-            header=header,
-            enforceSchema=True,
-            mode="PERMISSIVE",
-            multiLine=multiline,
-            escape='"',
+    for name in encodings_to_try(encoding):
+        charset = ENCODINGS[name]
+        text, first = _read_fields(
+            spark, path, separator, header, charset, regex_separator,
+            multiline or charset in WIDE_CHARSETS,
         )
-    cleaned = text.select(
-        *[_without_tokens(F.col(f"__{i}")).alias(n) for i, n in enumerate(names)], _SURPLUS
-    )
-    # One pass answers both questions: are there longer rows, and which types fit.
-    tests = _type_tests(names) if infer else []
-    too_long, *found = cleaned.agg(F.count(F.col(_SURPLUS)), *tests).first()
-    if too_long:
-        raise ValueError(f"{too_long} rows have more than {len(names)} fields")
+        if not first:
+            raise ValueError(f"no columns to read in {path}")
+        names = _unique_names(first) if header else [str(i) for i in range(len(first))]
+        cleaned = text.select(
+            *[_without_tokens(F.col(f"__{i}")).alias(n) for i, n in enumerate(names)], _SURPLUS
+        )
+        # One pass answers three questions: are there longer rows, may bytes have been replaced
+        # in decoding, and which types fit.
+        suspect = F.lit(False)
+        for c in cleaned.columns:
+            suspect = suspect | F.coalesce(F.contains(col(c), F.lit(REPLACEMENT)), F.lit(False))
+        tests = _type_tests(names) if infer else []
+        too_long, replaced, *found = cleaned.agg(
+            F.count(F.col(_SURPLUS)), F.count_if(suspect), *tests
+        ).first()
+        replaced = replaced or any(REPLACEMENT in (t or "") for t in first)
+        if replaced and _undecodable(spark, path, charset):
+            continue
+        if too_long:
+            raise ValueError(f"{too_long} rows have more than {len(names)} fields")
+        break
     df = cleaned.drop(_SURPLUS)
     if infer:
         df = df.select(*_typed(df, names, found))
     if row_id:
         df = with_row_id(df)
     shown = path if isinstance(path, str) else ", ".join(path)
-    return Loaded(df, shown, separator, header, encoding)
+    return Loaded(df, shown, separator, header, name)
 
 
 def with_row_id(df: DataFrame, key: str | None = None) -> DataFrame:

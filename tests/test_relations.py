@@ -46,7 +46,7 @@ def test_spearman_equals_pandas(spark, messy, limits):
     assert_same(got, messy.corr("spearman"))
 
 
-@pytest.mark.parametrize("limits", [{}, {"window_rows": 300}])
+@pytest.mark.parametrize("limits", [{}, {"group_rows": 300}])
 def test_kendall_equals_brute_force(spark, messy, limits):
     names = ["a", "c", "k"]
     df = spark.createDataFrame(messy[names])
