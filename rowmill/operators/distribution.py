@@ -22,7 +22,7 @@ from rowmill.functions.columns import (
 )
 from rowmill.functions.scalars import double
 from rowmill.functions.shipping import runs_in_workers
-from rowmill.operators.profile import iqr_fences, per_column
+from rowmill.operators.profile import distinct_and_nulls, iqr_fences, per_column
 from rowmill.operators.quantiles import extents, quantiles
 from rowmill.operators.ranks import count_values
 
@@ -273,56 +273,42 @@ def category_shares(
     names = require_columns(df, columns or categorical_columns(df))
     dates = [c for c in names if is_datetime(df.schema[c].dataType)]
     names = [c for c in names if c not in dates]
+    df = nan_to_null(df.select(*[col(c) for c in names]))
+    # The sizes decide first, so that only columns with few values are grouped by their text.
+    sizes = (
+        {names[r["item"]]: r for r in distinct_and_nulls(df, names).collect()} if names else {}
+    )
+    shown = [c for c in names if 2 <= sizes[c]["distinct"] <= max_categories]
+    reasons = [(c, None, None, None, None, "datetime") for c in dates]
+    for c in names:
+        if c not in shown:
+            few = sizes[c]["distinct"] < 2
+            reason = "fewer than 2 values" if few else "too many values"
+            reasons.append((c, None, None, None, sizes[c]["distinct"], reason))
     omitted = df.sparkSession.createDataFrame(
-        [(c, None, None, None, None, "datetime") for c in dates],
+        reasons,
         "column string, value string, n bigint, share double, distinct bigint, reason string",
     )
-    if not names:
+    if not shown:
         return omitted
-    counts = count_values(
-        nan_to_null(df.select(*[col(c) for c in names])).select(
-            *[col(c).cast("string").alias(c) for c in names]
-        ),
-        names,
-    )
-    # A weightless NULL per column keeps columns without values in the result.
-    empty = df.sparkSession.range(len(names)).select(
-        F.col("id").cast("int").alias("item"),
-        F.lit(None).cast("string").alias("value"),
-        F.lit(0).cast("long").alias("n"),
-    )
-    counts = counts.unionByName(empty)
-    sizes = counts.groupBy("item").agg(
-        F.count("value").alias("distinct"),
-        F.sum(F.when(F.col("value").isNotNull(), F.col("n")).otherwise(0)).alias("total"),
-    )
-    name = F.element_at(F.array(*[F.lit(c) for c in names]), F.col("item") + 1).alias("column")
-    shown = F.col("distinct").between(2, max_categories)
-    # One row per column, so the broadcast side is bounded by the schema.
+
+    def pick(values: Sequence[Column]) -> Column:
+        return F.element_at(F.array(*values), F.col("item") + 1)
+
+    texts = df.select(*[col(c).cast("string").alias(c) for c in shown])
     shares = (
-        counts.filter(F.col("value").isNotNull())
-        .join(F.broadcast(sizes.filter(shown)), "item")
+        count_values(texts, shown)
+        .filter("value is not null")
         .select(
-            name,
+            pick([F.lit(c) for c in shown]).alias("column"),
             "value",
             "n",
-            (F.col("n") / F.col("total")).alias("share"),
-            "distinct",
+            (F.col("n") / pick([F.lit(sizes[c]["present"]) for c in shown])).alias("share"),
+            pick([F.lit(sizes[c]["distinct"]) for c in shown]).cast("bigint").alias("distinct"),
             F.lit(None).cast("string").alias("reason"),
         )
     )
-    reasons = sizes.filter(~shown).select(
-        name,
-        F.lit(None).cast("string").alias("value"),
-        F.lit(None).cast("long").alias("n"),
-        F.lit(None).cast("double").alias("share"),
-        "distinct",
-        F.when(F.col("distinct") < 2, "fewer than 2 values")
-        .otherwise("too many values")
-        .alias("reason"),
-    )
-    result = shares.unionByName(reasons)
-    return result.unionByName(omitted) if dates else result
+    return shares.unionByName(omitted) if reasons else shares
 
 
 @dataclass(frozen=True)

@@ -38,6 +38,7 @@ from rowmill.functions.scalars import (
 )
 from rowmill.operators.quantiles import quantiles
 from rowmill.operators.ranks import count_values
+from rowmill.plans.storage import materialise
 
 # Longer text is compared by its SHA-256 digest when distinct values are counted.
 DIGEST_OVER_BYTES = 64
@@ -168,14 +169,15 @@ def _distinct_key(x: Column, data_type: T.DataType) -> tuple[Column, Column]:
 
 
 def distinct_and_nulls(df: DataFrame, columns: Sequence[str], exact: bool = True) -> DataFrame:
-    """(item, distinct, nulls): distinct non-null values and nulls of `columns[item]`."""
+    """(item, distinct, nulls, present): distinct values, nulls and values of `columns[item]`."""
     if not exact:
-        entries = [
-            (str(i), {"distinct": F.approx_count_distinct(col(c)), "nulls": _nulls(c)})
-            for i, c in enumerate(columns)
-        ]
+        entries = []
+        for i, c in enumerate(columns):
+            distinct = F.approx_count_distinct(col(c))
+            counts = {"distinct": distinct, "nulls": _nulls(c), "present": F.count(col(c))}
+            entries.append((str(i), counts))
         return per_column(df, entries).select(
-            F.col("column").cast("int").alias("item"), "distinct", "nulls"
+            F.col("column").cast("int").alias("item"), "distinct", "nulls", "present"
         )
     keys = []
     for i, c in enumerate(columns):
@@ -202,6 +204,7 @@ def distinct_and_nulls(df: DataFrame, columns: Sequence[str], exact: bool = True
         .agg(
             F.count_if(~missing).alias("distinct"),
             F.sum(F.when(missing, F.col("n")).otherwise(0)).alias("nulls"),
+            F.sum(F.when(missing, 0).otherwise(F.col("n"))).alias("present"),
         )
     )
 
@@ -427,7 +430,8 @@ def encoding_status(
         F.struct(F.lit(i).alias("item"), col(c).cast("string").alias("value"), col(key).alias("at"))
         for i, c in enumerate(names)
     ]
-    seen = (
+    # Read twice below, so written: the distinct values are far fewer than the rows.
+    seen = materialise(
         df.select(F.inline(F.array(*entries)))
         .groupBy("item", "value")
         .agg(F.min("at").alias("at"))

@@ -18,9 +18,6 @@ from rowmill.plans.storage import materialise
 SEPARATORS = {"comma": ",", "semicolon": ";", "tab": "\t", "custom": "|"}
 DEFAULT_SEPARATOR = ";"
 
-# File name extensions offered when a file is picked.
-EXTENSIONS = ("csv", "tsv", "txt")
-
 # Text read as a missing value.
 NULL_TOKENS = [
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",

@@ -105,6 +105,13 @@ def test_quotes_and_line_breaks(spark, text):
     assert rows(df) == [('x;y "z"', 1), ("two\nlines", 2)]
 
 
+def test_any_extension_folder_glob_or_list(spark, text, tmp_path):
+    one, two = text("a\tb\n1\tx\n", "one.tsv"), text("a\tb\n2\ty\n", "two.txt")
+    wanted = [(1, "x"), (2, "y")]
+    for path in (str(tmp_path), str(tmp_path / "*.t*"), [one, two]):
+        assert sorted(rows(rm.read_delimited(spark, path, "tab").df)) == wanted
+
+
 def test_record_and_row_ids(spark, text):
     path = text("a;b\n" + "".join(f"{i};v{i % 3}\n" for i in range(500)))
     loaded = rm.read_delimited(spark, path, row_id=True)
