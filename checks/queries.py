@@ -524,6 +524,11 @@ def normality(spark, sf):
     return rm.normality(table(spark, sf, "customer"), ["c_acctbal", "c_nationkey"], "c_custkey")
 
 
+@query
+def normality_supplier(spark, sf):
+    return rm.normality(table(spark, sf, "supplier"), ["s_acctbal", "s_nationkey"], "s_suppkey")
+
+
 @query
 def normality_events(spark, sf):
     return rm.normality(events_dirty(spark, sf), ["value"], "event_id")
