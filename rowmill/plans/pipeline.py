@@ -71,7 +71,11 @@ class Pipeline:
         except StepRefused as refused:
             self._lines.append(LogLine("refused", getattr(step, "column", None), str(refused)))
             raise
-        plan = self._remember(step) if isinstance(step, Retype) and actions else self._plan
+        plan, priors = self._plan, dict(self._priors)
+        if isinstance(step, Retype) and actions and step.column not in priors:
+            # Carry the values from before the first retype along, so that restoring is no join.
+            priors[step.column] = dtype_name(plan.schema[step.column].dataType)
+            plan = plan.withColumn(PRIOR_PREFIX + step.column, col(step.column))
         lines = []
         for action in actions:
             changed = action.apply(plan)
@@ -80,21 +84,14 @@ class Pipeline:
                 before, after = plan.count(), changed.count()
             lines.append(LogLine(action.op, action.column, action.detail, before, after))
             plan = changed
-        self._plan = plan
+        # Nothing of the pipeline changes before the whole step has worked.
+        self._plan, self._priors = plan, priors
         self._lines += lines
         self._actions += actions
         if isinstance(step, Retype):
             self._forget_if_back(step.column)
         return self
 
-    def _remember(self, step: Retype) -> DataFrame:
-        """Carry the values from before the first retype along, so that restoring is no join."""
-        prior = PRIOR_PREFIX + step.column
-        if step.column in self._priors:
-            return self._plan
-        self._priors[step.column] = dtype_name(self._plan.schema[step.column].dataType)
-        return self._plan.withColumn(prior, col(step.column))
-
     def _forget_if_back(self, column: str) -> None:
         if column in self._priors:
             if dtype_name(self._plan.schema[column].dataType) == self._priors[column]:

@@ -13,7 +13,7 @@ SF = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session("4", partitions=4, memory="6g")
+    session = local_session("4", partitions=2, memory="6g")
     yield session
     session.stop()
 

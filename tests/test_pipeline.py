@@ -60,6 +60,21 @@ def test_a_refused_step_changes_nothing(source):
     assert [r["op"] for r in p.log().orderBy("step_no").collect()] == ["load", "refused"]
 
 
+def test_a_failing_change_leaves_everything_as_it_was(source):
+    class Broken(rm.Retype):
+        def fit(self, df):
+            def fail(target):
+                raise RuntimeError("no")
+
+            return [rm.Action("retype", self.column, "", fail)]
+
+    p = rm.Pipeline(source)
+    with pytest.raises(RuntimeError):
+        p.apply(Broken("t", "float64"))
+    assert p.retyped == {} and p.current.columns == source.columns and p.log().count() == 1
+    assert p.restore("t").log().count() == 1
+
+
 def test_reset(source):
     p = rm.Pipeline(source)
     p.apply(rm.Retype("t", "float64")).apply(rm.Impute("c", other="drop_rows")).reset()
