@@ -118,7 +118,7 @@ def _unique_names(names: Sequence[str | None]) -> list[str]:
 
 
 def _integer(text: Column) -> Column:
-    return F.when(text.rlike(r"^\s*[+-]?\d+\s*$"), F.trim(text).try_cast("bigint"))
+    return text.try_cast("bigint")
 
 
 def _real(text: Column) -> Column:

@@ -37,6 +37,17 @@ def test_types_follow_the_values(spark, text):
     assert rm.infer_types(as_text).dtypes == loaded.df.dtypes
 
 
+@pytest.mark.parametrize(
+    "value,kind",
+    [("+5", "bigint"), (" 7 ", "bigint"), ("1.", "double"), ("9223372036854775808", "double"),
+     ("-Infinity", "double"), ("inf", "double"), ("5.e1", "double"), ("1d", "string"),
+     ("1f", "string"), ("1F\t", "string"), ("0x1p3", "string"), ("1_0", "string"),
+     ("NAN", "string"), ("1e", "string"), ("yes", "string")],
+)
+def test_what_counts_as_a_number(frame, value, kind):
+    assert rm.infer_types(frame([(value,)], "x string")).dtypes == [("x", kind)]
+
+
 def test_null_tokens(spark, text):
     path = text('a;b\n1;x\nNA;null\nnull;None\n#N/A; \n"";"q"\n')
     df = rm.read_delimited(spark, path).df
