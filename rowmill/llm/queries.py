@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rowmill.llm import decontaminate, secrets
+from rowmill.llm import decontaminate, language, packing, secrets
 from rowmill.plans.storage import shared_folder
 
 QUERIES = {}
@@ -21,6 +21,20 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+@query
+def op2_packing(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    columns = "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
+    return packing.pack(docs).select(*columns)
+
+
+@query
+def op3_language(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
+    found = language.identify(docs.select("doc_id", "text"), language.fit(docs))
+    return found.select("doc_id", language.held_out("doc_id").alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
 @query
 def op7_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
