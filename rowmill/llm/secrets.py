@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowmill.llm.common import with_columns
+from rowmill.plans.storage import materialise
 
 
 @dataclass(frozen=True)
@@ -138,7 +139,7 @@ def scan_versions(
             lambda w: (w["kind"] == f["kind"]) & F.array_contains("scanned", w["key"]),
         ),
     )
-    found = (
+    found = materialise(
         versions.sparkSession.read.schema(LEDGER)
         .parquet(ledger)
         .select("blob", current.alias("findings"))
@@ -146,6 +147,7 @@ def scan_versions(
         .groupBy("blob")
         .agg(F.flatten(F.collect_list("findings")).alias("findings"))
     )
+    # Written, so that both sides of this join are plain shuffles and a hot blob's paths can be split.
     paths = versions.select(row.alias("row"), F.sha2(text, 256).alias("blob"))
     joined = paths.join(found, "blob", "left")
     empty = F.array().cast(FINDINGS)
