@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rowmill.llm import decontaminate, language, packing, secrets
+from rowmill.llm import decontaminate, language, minhash, packing, secrets, vectors
 from rowmill.plans.storage import shared_folder
 
 QUERIES = {}
@@ -35,6 +35,16 @@ def op3_language(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", language.held_out("doc_id").alias("held_out"), "lang_pred", "score", "ambiguous")
 
 
+@query
+def op4_near_documents(spark: SparkSession, sf: str) -> DataFrame:
+    return minhash.near_documents(table(spark, sf, "documents"))
+
+
+@query
+def op6_near_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    return vectors.near_vectors(table(spark, sf, "embeddings"))
+
+
 @query
 def op7_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")

@@ -72,3 +72,48 @@ SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0):
        coalesce(spans, '') AS spans
 FROM d LEFT JOIN g USING (r)
 """
+
+
+_REACH = """
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+reach(r, t) AS (SELECT r, r FROM d UNION SELECT reach.r, e.b FROM reach JOIN e ON e.a = reach.t)
+"""
+
+ORACLE["op4_near_documents"] = f"""
+WITH RECURSIVE d AS (
+    SELECT row_number() OVER () AS r, doc_id,
+           list_filter(string_split_regex({LOWER}, '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS ws
+    FROM documents
+),
+s AS (
+    SELECT r, unnest(list_distinct(list_transform(range(greatest(len(ws) - 3, 0) + 1),
+           lambda i: array_to_string(ws[i + 1:i + 3], ' ')))) AS g FROM d WHERE len(ws) > 0
+),
+n AS (SELECT r, count(*) AS n FROM s GROUP BY r),
+p AS (SELECT x.r AS a, y.r AS b, count(*) AS c FROM s x JOIN s y USING (g) WHERE x.r < y.r GROUP BY ALL),
+l AS (SELECT a, b FROM p JOIN n x ON x.r = a JOIN n y ON y.r = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+{_REACH},
+c AS (SELECT reach.r, min(d.doc_id) AS component_id FROM reach JOIN d ON d.r = reach.t GROUP BY ALL)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
+FROM d JOIN c USING (r) LEFT JOIN n USING (r)
+"""
+
+ORACLE["op6_near_vectors"] = f"""
+WITH RECURSIVE d AS (
+    SELECT row_number() OVER () AS r, vec_id, embedding::DOUBLE[] AS v FROM embeddings
+),
+ok AS (
+    SELECT r, v, sqrt(list_sum(list_transform(v, lambda x: x * x))) AS s FROM d
+    WHERE len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(v, lambda x: x <> 0)) > 0
+),
+l AS (
+    SELECT x.r AS a, y.r AS b FROM ok x JOIN ok y ON x.r < y.r AND len(x.v) = len(y.v)
+    WHERE list_dot_product(x.v, y.v) / (x.s * y.s) >= 0.9
+),
+{_REACH},
+k AS (SELECT a AS r, count(*) AS n_links FROM e GROUP BY a),
+c AS (SELECT reach.r, min(d.vec_id) AS component_id FROM reach JOIN d ON d.r = reach.t GROUP BY ALL)
+SELECT vec_id, coalesce(n_links, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+FROM d JOIN c USING (r) LEFT JOIN k USING (r)
+"""
