@@ -2,24 +2,65 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; it works on all that the one before
 kept. `run` writes each result as parquet in the shared folder and reads it back as the next one's docs.
+All stages but the last return the columns of documents.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from rowmill.llm import decontaminate
+from rowmill.llm import decontaminate, language, minhash, packing, pii
 from rowmill.plans.storage import materialise
 
 
+def in_a_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is identified; texts without letters and ambiguous ones go."""
+    found = language.identify(docs, language.fit(docs))
+    kept = found.where((F.col("lang_pred") != language.UNKNOWN) & ~F.col("ambiguous"))
+    return kept.select(*docs.columns)
+
+
+def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies, the one with the smallest id.
+
+    Documents without id stay; of rows that share the smallest id, one stays.
+    """
+    groups = materialise(minhash.near_documents(docs))
+    gone = groups.where(~F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id").distinct()
+    named = docs.where(F.col("doc_id").isNotNull()).join(gone, "doc_id", "left_anti")
+    named = named.dropDuplicates(["doc_id"]).select(*docs.columns)
+    return named.unionByName(docs.where(F.col("doc_id").isNull()))
+
+
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no window of a benchmark item."""
     return decontaminate.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
-STAGES = [("benchmark decontamination", without_benchmark)]
+def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, personal data replaced by marks; n_chars follows the text."""
+    found = pii.find(docs, pii.fit(docs), redact=True)
+    return found.select(
+        *[F.char_length("text").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(c) for c in docs.columns]
+    )
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The place of every piece of every document in sequences of tokens."""
+    columns = "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
+    return packing.pack(docs).select(*columns)
+
+
+STAGES = [
+    ("language identification", in_a_language),
+    ("near-duplicate removal", without_copies),
+    ("benchmark decontamination", without_benchmark),
+    ("personal data", without_personal_data),
+    ("best-fit packing", packed),
+]
 
-# Language identification is a trained model, so SQL cannot express the rows.
+# Language identification and personal data are trained models, so SQL cannot express the rows.
 ORACLE_SQL = None
 
 

@@ -23,7 +23,10 @@ def _star(edges: DataFrame, larger: bool) -> DataFrame:
     else:
         # Around u: its smaller neighbours and u itself move to the smallest of these.
         around = edges
-    least = materialise(around.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
+    least = around.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+    if larger:
+        # Written, so that both sides of the join are plain shuffles and a hot vertex can be split.
+        least = materialise(least)
     moved = around.join(least, "u")
     if larger:
         moved = moved.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))

@@ -9,13 +9,13 @@ least `percent` * union.
    sketch: every sample flips one bit of a bitmap, and the number of bits in which two bitmaps differ
    estimates the share of equal samples, most precisely where it is high.
 2. In each band's bucket every class meets one pivot, chosen by a hash of class and band, so that twenty
-   bands give different pivots and a bucket of m classes m pairs. Rounds of this follow while they join
-   components: the pivot of the next round is another class.
+   bands give different pivots and a bucket of m classes m pairs. Up to `TURNS` rounds of this follow while
+   they find links, with other pivots, over the buckets whose classes are still in several components.
 3. What is left is exact. In a bucket whose classes are in more than one component, every class outside
    the bucket's largest component meets every class of another component. Such buckets are cut into
    chunks, so that their work spreads, and a pair is kept only if the sketches allow it.
-4. Candidate pairs whose sketches estimate less than `ESTIMATE` are dropped (five standard errors below the
-   threshold). All others are compared on their whole sets, which only documents with a candidate
+4. Candidate pairs whose sketches estimate less than `ESTIMATE` are dropped (nearly four standard errors
+   below the threshold). All others are compared on their whole sets, which only documents with a candidate
    partner send through a shuffle.
 5. Links give components by alternating stars.
 
@@ -44,7 +44,8 @@ SHINGLE = 3
 PERCENT = 85
 BANDS, ROWS = 20, 4
 SKETCH_WORDS = 4  # 64 bits each
-ESTIMATE = 0.62
+ESTIMATE = 0.7
+TURNS = 2
 TRIED_PIVOTS = 3
 CHUNK = 1000
 KNOWN_WORDS = 1 << 20
@@ -185,21 +186,24 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 class Buckets:
-    """Classes in the buckets of their bands, and the components found so far."""
+    """Classes in the buckets of their bands that still hold several components."""
 
     def __init__(self, classes: DataFrame, percent: int):
-        spread = classes.select("class", "n_shingles", "sketch", F.explode("bands").alias("band"))
+        spread = classes.select("class", F.explode("bands").alias("band"))
         busy = spread.groupBy("band").agg(F.count("*").alias("m")).where("m > 1").select("band")
-        self.rows = materialise(spread.join(materialise(busy), "band"))
+        rows = materialise(spread.join(materialise(busy), "band"))
+        about = classes.select("class", "n_shingles", "sketch")
+        self.rows = materialise(rows.join(about, "class").withColumn("component", F.col("class")))
         self.percent = percent
-        self.links: DataFrame | None = None
 
-    def labelled(self) -> DataFrame:
-        """Bucket rows with the component of their class."""
-        if self.links is None:
-            return self.rows.withColumn("component", F.col("class"))
-        labels = materialise(components(self.links)).withColumnRenamed("u", "class")
-        return self.rows.join(labels, "class", "left").withColumn("component", F.coalesce("component", "class"))
+    def relabel(self, links: DataFrame) -> None:
+        """Take over the components of links and leave the buckets that are of one component now."""
+        labels = materialise(components(links)).withColumnRenamed("u", "class")
+        rows = self.rows.drop("component").join(labels, "class", "left")
+        rows = rows.withColumn("component", F.coalesce("component", "class"))
+        spans = rows.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+        live = materialise(spans.where("low <> high").select("band"))
+        self.rows = materialise(rows.join(live, "band"))
 
     def possible(self, pairs: DataFrame) -> DataFrame:
         """Pairs of structs l and r (class, n_shingles, sketch) that sizes and sketches allow, once each."""
@@ -212,15 +216,15 @@ class Buckets:
             F.col("l.class").alias("of"), "estimate",
         )
 
-    def pivots(self, rows: DataFrame, turn: int) -> DataFrame:
+    def pivots(self, turn: int) -> DataFrame:
         """Pairs of a class and the pivot of a bucket, the likeliest of each class."""
+        rows = self.rows
         own = F.struct("class", "n_shingles", "sketch", "component")
         order = F.xxhash64(F.lit(turn), "class", "band")
         chosen = rows.groupBy("band").agg(
             F.min(F.struct(order.alias("order"), own.alias("r")))["r"].alias("r"),
-            F.min("component").alias("first"), F.max("component").alias("last"),
         )
-        chosen = materialise(chosen.where(F.col("first") != F.col("last")).select("band", "r"))
+        chosen = materialise(chosen)
         met = rows.select("band", own.alias("l")).join(chosen, "band")
         pairs = self.possible(met.where(F.col("l.component") != F.col("r.component")))
         pairs = pairs.groupBy("of", "a", "b").agg(F.max("estimate").alias("estimate"))
@@ -231,15 +235,16 @@ class Buckets:
         tried = pairs.groupBy("of").agg(F.explode(best).alias("p"))
         return tried.select("p.a", "p.b").distinct()
 
-    def rest(self, rows: DataFrame) -> DataFrame:
+    def rest(self) -> DataFrame:
         """All pairs across components in buckets that hold several of them."""
+        rows = self.rows
         sizes = rows.groupBy("band", "component").agg(F.count("*").alias("k"))
         kept = sizes.groupBy("band").agg(
             F.max(F.struct("k", "component"))["component"].alias("main"),
             F.sum("k").alias("m"), F.count("*").alias("parts"),
         )
         kept = materialise(kept.where("parts > 1").drop("parts"))
-        live = materialise(rows.join(kept, "band").withColumn("chunks", F.ceil(F.col("m") / CHUNK).cast("int")))
+        live = rows.join(kept, "band").withColumn("chunks", F.ceil(F.col("m") / CHUNK).cast("int"))
         own = F.struct("class", "n_shingles", "sketch", "component", "main")
         all_rows = live.select(
             "band", own.alias("l"), F.pmod(F.xxhash64("class"), F.col("chunks")).cast("int").alias("chunk")
@@ -269,19 +274,20 @@ def near_documents(
         )
     )
     buckets = Buckets(classes, percent)
-    sets = None
+    sets = links = None
     turn, found = 0, -1
     while True:
-        rows = materialise(buckets.labelled())
-        last = found == 0
-        pairs = materialise(buckets.rest(rows) if last else buckets.pivots(rows, turn))
+        last = found == 0 or turn == TURNS
+        pairs = materialise(buckets.rest() if last else buckets.pivots(turn))
         sets = added_sets(docs, classes, pairs, sets, shingle)
-        links = materialise(confirmed(pairs, sets, percent))
-        buckets.links = links if buckets.links is None else materialise(buckets.links.union(links))
-        found, turn = links.count(), turn + 1
+        new = materialise(confirmed(pairs, sets, percent))
+        links = new if links is None else links.union(new)
         if last:
             break
-    labels = components(buckets.links).withColumnRenamed("u", "class")
+        found, turn = new.count(), turn + 1
+        if found:
+            buckets.relabel(links)
+    labels = components(links).withColumnRenamed("u", "class")
     named = classes.select("class", "least").join(materialise(labels), "class", "left")
     named = materialise(named.withColumn("component", F.coalesce("component", "class")))
     first = materialise(named.groupBy("component").agg(F.min("least").alias("component_id")))

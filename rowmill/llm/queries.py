@@ -5,8 +5,11 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from rowmill.llm import decontaminate, language, minhash, packing, secrets, vectors
+from rowmill.llm import (
+    decontaminate, language, licences, minhash, packing, pii, secrets, toxicity, url_trust, vectors,
+)
 from rowmill.plans.storage import shared_folder
 
 QUERIES = {}
@@ -21,6 +24,12 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+@query
+def op1_url_filters(spark: SparkSession, sf: str) -> DataFrame:
+    judged = url_trust.judge(table(spark, sf, "pages"))
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
 @query
 def op2_packing(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
@@ -40,6 +49,12 @@ def op4_near_documents(spark: SparkSession, sf: str) -> DataFrame:
     return minhash.near_documents(table(spark, sf, "documents"))
 
 
+@query
+def op5_licences(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return licences.report(licences.find_licences(docs))
+
+
 @query
 def op6_near_vectors(spark: SparkSession, sf: str) -> DataFrame:
     return vectors.near_vectors(table(spark, sf, "embeddings"))
@@ -51,8 +66,26 @@ def op7_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return decontaminate.report(decontaminate.find_hits(docs, table(spark, sf, "benchmark")))
 
 
+@query
+def op8_personal_data(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return pii.report(pii.find(docs, pii.fit(docs)))
+
+
 @query
 def op9_secrets(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
     ledger = f"{shared_folder(spark)}/rowmill/ledger-{uuid.uuid4().hex}"
     return secrets.report(secrets.scan_versions(docs, ledger))
+
+
+# The chain's order: texts of low quality first, then toxic ones.
+CATEGORIES = {"low_quality": "quality = 0", "toxic": "toxic = 1"}
+
+
+@query
+def op10_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    chain = toxicity.fit(docs, table(spark, sf, "labels"), CATEGORIES)
+    found = toxicity.predict(docs, chain)
+    return found.select("doc_id", "p_low_quality", "p_toxic", (F.col("p_toxic") >= 0.5).alias("toxic"))
