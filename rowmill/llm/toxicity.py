@@ -1,7 +1,8 @@
 """Toxicity by a chain of linear classifiers.
 
 Categories are predicted in order. The model of a category sees the text's hashed words and the
-probabilities of all earlier categories. While learning, those probabilities are out-of-fold: they come from
+probabilities of all earlier categories; words count by themselves and by their beginnings, if they are more
+frequent in the category than chance explains. While learning, those probabilities are out-of-fold: they come from
 models that did not see the row, so a later model meets earlier predictions as good or bad as they will be
 on new texts. Models are logistic regressions with a quadratic penalty; rows of the rarer class of a category
 weigh more.
@@ -23,6 +24,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,25 +35,31 @@ from pyspark.sql import types as T
 MAX_ROWS = 6000
 BUCKETS = 1 << 18
 FOLDS = 4
-PENALTY = 2e-4
-STEPS = 60
+PENALTY = 1e-4
+STEPS = 150
+ROWS_OF_BUCKET = 3  # rows that a bucket needs to be used
+SURPRISE = 4.0  # standard errors by which it must be more frequent in the category than by chance
+BEGINNINGS = (4, 5)  # characters, for words built on one stem
 KNOWN_WORDS = 1 << 20
 
 WORD = re.compile(r"[^\W_]+")
 
 
 class WordBuckets(dict):
-    def __missing__(self, word: str) -> int:
+    """The buckets of a word and of its beginnings, remembered for up to KNOWN_WORDS words."""
+
+    def __missing__(self, word: str) -> tuple[int, ...]:
         if len(self) >= KNOWN_WORDS:
             self.clear()
-        self[word] = value = zlib.crc32(word.encode(errors="replace")) % BUCKETS
+        names = [word, *[f"{word[:k]}*" for k in BEGINNINGS if len(word) >= k]]
+        self[word] = value = tuple(zlib.crc32(n.encode(errors="replace")) % BUCKETS for n in names)
         return value
 
 
 def buckets(text: str | None, known: WordBuckets) -> np.ndarray:
     """The distinct buckets of a text's words."""
-    found = set(WORD.findall((text or "").lower()))
-    return np.unique(np.fromiter(map(known.__getitem__, found), dtype=np.int32, count=len(found)))
+    found = chain.from_iterable(map(known.__getitem__, set(WORD.findall((text or "").lower()))))
+    return np.array(sorted(set(found)), dtype=np.int32)
 
 
 def sigmoid(z: np.ndarray) -> np.ndarray:
@@ -72,26 +80,30 @@ class Linear:
 
 
 def fit_linear(rows: np.ndarray, columns: np.ndarray, earlier: np.ndarray, y: np.ndarray) -> Linear:
-    """Penalised logistic regression by gradient steps with a step size per weight."""
+    """Penalised logistic regression by gradient steps, over the buckets that tell the category."""
     n = len(y)
     share = y.mean() if n else 0.0
     model = Linear(np.zeros(BUCKETS, dtype=np.float64), np.zeros(earlier.shape[1]), 0.0)
     if share in (0.0, 1.0):
         model.constant = 30.0 if share else -30.0
         return model
+    seen = np.bincount(columns, minlength=BUCKETS)
+    hits = np.bincount(columns, weights=y[rows], minlength=BUCKETS)
+    surprise = (hits - seen * share - 0.5) / np.sqrt(seen * share * (1 - share) + 1e-9)
+    used = ((seen >= ROWS_OF_BUCKET) & (surprise >= SURPRISE))[columns]
+    rows, columns = rows[used], columns[used]
     weight = np.where(y > 0, 0.5 / share, 0.5 / (1 - share)) ** 0.5
     weight /= weight.sum()
-    # A weight that touches more rows takes smaller steps.
-    seen = np.bincount(columns, weights=weight[rows], minlength=BUCKETS)
-    moments = np.zeros(BUCKETS)
     model.constant = float(np.log(share / (1 - share)))
-    for step in range(STEPS):
+    speed = [np.zeros(BUCKETS), np.zeros(earlier.shape[1]), 0.0]
+    for _ in range(STEPS):
         wrong = weight * (sigmoid(model.margin(rows, columns, n, earlier)) - y)
-        gradient = np.bincount(columns, weights=wrong[rows], minlength=BUCKETS) + PENALTY * model.words
-        moments = 0.8 * moments + gradient
-        model.words -= 2.0 * moments / (seen + 0.02)**0.5 / (1 + 0.02 * step)
-        model.earlier -= 2.0 * (earlier.T @ wrong)
-        model.constant -= 0.5 * wrong.sum()
+        speed[0] = 0.9 * speed[0] + np.bincount(columns, weights=wrong[rows], minlength=BUCKETS) + PENALTY * model.words
+        speed[1] = 0.9 * speed[1] + earlier.T @ wrong + PENALTY * model.earlier
+        speed[2] = 0.9 * speed[2] + 0.5 * wrong.sum()
+        model.words -= speed[0]
+        model.earlier -= speed[1]
+        model.constant -= speed[2]
     return model
 
 
@@ -115,7 +127,7 @@ def learned(features: list[np.ndarray], folds: np.ndarray, labels: dict[str, np.
     n = len(features)
     rows = np.repeat(np.arange(n), [len(f) for f in features])
     columns = np.concatenate(features) if n else np.empty(0, dtype=np.int32)
-    chain, earlier = Chain(list(labels)), np.zeros((n, 0))
+    models, earlier = Chain(list(labels)), np.zeros((n, 0))
 
     def fitted(use: np.ndarray, y: np.ndarray) -> Linear:
         place = np.cumsum(use) - 1
@@ -124,7 +136,7 @@ def learned(features: list[np.ndarray], folds: np.ndarray, labels: dict[str, np.
 
     for y in labels.values():
         known = ~np.isnan(y)
-        chain.models.append(fitted(known, y))
+        models.models.append(fitted(known, y))
         out = np.zeros(n)
         for fold in range(FOLDS):
             away = folds == fold
@@ -132,7 +144,7 @@ def learned(features: list[np.ndarray], folds: np.ndarray, labels: dict[str, np.
                 model = fitted(known & ~away, y)
                 out[away] = sigmoid(model.margin(rows, columns, n, earlier))[away]
         earlier = np.column_stack([earlier, out])
-    return chain
+    return models
 
 
 def fit(
@@ -170,13 +182,13 @@ def fit(
     return learned(features, np.array([r[1] for r in listed], dtype=int), values)
 
 
-def predict(docs: DataFrame, chain: Chain, text: str = "text") -> DataFrame:
+def predict(docs: DataFrame, models: Chain, text: str = "text") -> DataFrame:
     """docs with p_<category> for each category."""
-    added = [f"p_{c}" for c in chain.categories]
+    added = [f"p_{c}" for c in models.categories]
     kept = [f for f in docs.schema.fields if f.name.lower() not in {a.lower() for a in added}]
     schema = T.StructType([*kept, *[T.StructField(a, T.DoubleType()) for a in added]])
     at = [f.name for f in kept].index(text)
-    shared = docs.sparkSession.sparkContext.broadcast(chain)
+    shared = docs.sparkSession.sparkContext.broadcast(models)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordBuckets()
