@@ -160,6 +160,19 @@ def features(text: str, chunks: list[tuple[int, int]], i: int, j: int) -> list[i
     return [bucket(n) for n in names]
 
 
+def possible(s: str) -> list[bool]:
+    """Whether a span can have each label at all: by its digits, groups and characters."""
+    d, groups = digits_of(s), re.findall("[0-9]+", s)
+    lettered = bool(re.search(r"[^\W\d_]", s))
+    return [
+        True,
+        "@" in s,
+        len(groups) == 4 and not lettered and all(len(g) <= 3 and int(g) <= 255 for g in groups),
+        13 <= len(d) <= 19 and not lettered and luhn(d),
+        9 <= len(d) <= 15 and not re.search(r"[^\x20().+0-9/-]", s),
+    ]
+
+
 class Field:
     """Weights of (feature, label) and of (label, label)."""
 
@@ -176,10 +189,11 @@ class Field:
             if j == i + 1 or text[chunks[i][0] : chunks[j - 1][1]].count("\n") == 0
         }
 
-    def scores(self, found: dict[tuple[int, int], list[int]]) -> dict[tuple[int, int], np.ndarray]:
+    def scores(self, text: str, chunks: list[tuple[int, int]], found: dict) -> dict[tuple[int, int], np.ndarray]:
         out = {}
         for (i, j), f in found.items():
             s = self.weights[f].sum(axis=0)
+            s[~np.array(possible(text[chunks[i][0] : chunks[j - 1][1]]))] = -np.inf
             if j > i + 1:
                 s[0] = -np.inf  # other chunks are segments of their own
             out[i, j] = s
@@ -211,7 +225,9 @@ class Field:
         found = self.lattice(text, chunks)
         if any((i, j) not in found for i, j, _ in gold):
             return
-        n, scores = len(chunks), self.scores(found)
+        n, scores = len(chunks), self.scores(text, chunks, found)
+        if any(not np.isfinite(scores[i, j][label]) for i, j, label in gold):
+            return
         alpha, beta = self.forward(n, scores), self.backward(n, scores)
         whole = np.logaddexp.reduce(alpha[n])
         before = 0
@@ -227,7 +243,7 @@ class Field:
 
     def find(self, text: str, chunks: list[tuple[int, int]]) -> list[Span]:
         """The best segmentation's segments of a kind whose probability is at least SURE."""
-        n, scores = len(chunks), self.scores(self.lattice(text, chunks))
+        n, scores = len(chunks), self.scores(text, chunks, self.lattice(text, chunks))
         best = np.full((n + 1, len(LABELS)), -np.inf)
         back: dict[tuple[int, int], tuple[int, int]] = {}
         best[0, 0] = 0.0

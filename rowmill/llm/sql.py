@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from rowmill.llm import secrets
+from rowmill.llm import licences, secrets, url_trust
 
 ORACLE = {}
 
@@ -117,3 +117,89 @@ c AS (SELECT reach.r, min(d.vec_id) AS component_id FROM reach JOIN d ON d.r = r
 SELECT vec_id, coalesce(n_links, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
 FROM d JOIN c USING (r) LEFT JOIN k USING (r)
 """
+
+
+_HOST = "translate(regexp_extract({}, '^[\\s\\S]*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_PATH = "regexp_extract({}, '^[\\s\\S]*?://[^/?#]*([^?#]*)', 1)"
+_RULES = ", ".join(f"('{v}', '{h}', '{p}', {len(h + p)})" for v, h, p in url_trust.RULES)
+_LINK = url_trust.LINK.replace("'", "''")
+
+
+def _rounds(name: str, seed: str, edges: str) -> str:
+    """ROUNDS rounds of one propagation, each a named table of (host, score)."""
+    out = [f"{name}0 AS (SELECT host, 1.0::DOUBLE AS score FROM hosts WHERE {seed})"]
+    for k in range(url_trust.ROUNDS):
+        out.append(
+            f"{name}{k + 1} AS MATERIALIZED (SELECT host, sum(score) AS score FROM ("
+            f"SELECT * FROM {name}0 UNION ALL SELECT e.b, {url_trust.DAMPING} * t.score / s.n "
+            f"FROM {name}{k} t JOIN {edges} e ON e.a = t.host JOIN (SELECT a, count(*) AS n FROM {edges} GROUP BY a) s "
+            f"ON s.a = t.host) GROUP BY host)"
+        )
+    return ",\n".join(out)
+
+
+ORACLE["op1_url_filters"] = f"""
+WITH p AS (SELECT row_number() OVER () AS r, page_id, html, coalesce({_HOST.format("url")}, '') AS host,
+                  coalesce({_PATH.format("url")}, '') AS path FROM pages),
+rules(verdict, rhost, rpath, size) AS (VALUES {_RULES}),
+fits AS (
+    SELECT r, rhost || rpath AS rule, verdict,
+           row_number() OVER (PARTITION BY r ORDER BY size DESC, verdict DESC, rhost || rpath DESC) AS k
+    FROM p JOIN rules ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath)
+),
+judged AS (SELECT p.*, rule, verdict AS ruled FROM p LEFT JOIN fits ON p.r = fits.r AND k = 1),
+hosts AS (
+    SELECT host, count(*) FILTER (ruled = 'allow') > count(*) / 2 AS trusted,
+           count(*) FILTER (ruled = 'block') > count(*) / 2 AS blocked
+    FROM judged WHERE host <> '' GROUP BY host
+),
+edges AS MATERIALIZED (
+    SELECT DISTINCT a, b FROM (
+        SELECT host AS a, translate(unnest(regexp_extract_all(html, '{_LINK}', 1)),
+               'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS b FROM p)
+    WHERE a <> '' AND b <> '' AND a <> b
+),
+back AS MATERIALIZED (SELECT b AS a, a AS b FROM edges),
+{_rounds("t", "trusted", "edges")},
+{_rounds("d", "blocked", "back")}
+SELECT page_id, host, path, rule, coalesce(ruled, CASE WHEN host <> '' AND
+       round(coalesce(d.score, 0), {url_trust.DIGITS}) - round(coalesce(t.score, 0), {url_trust.DIGITS}) >= {url_trust.THRESHOLD}
+       THEN 'block' ELSE 'allow' END) AS verdict
+FROM judged LEFT JOIN t{url_trust.ROUNDS} t USING (host) LEFT JOIN d{url_trust.ROUNDS} d USING (host)
+"""
+
+_GRAMS = ", ".join(
+    f"('{g}', {k}, '{name}', {len(licences.template_bigrams(body))})"
+    for k, (name, body) in enumerate(licences.TEMPLATES)
+    for g in licences.template_bigrams(body)
+)
+ORACLE["op5_licences"] = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+passages AS (
+    SELECT r, unnest(range(len(ls))) AS line, unnest(ls) AS text FROM (SELECT r, string_split(text, chr(10)) AS ls FROM d)
+    UNION ALL SELECT r, -1, text FROM d WHERE contains(text, chr(10))
+),
+ws AS (SELECT r, line, list_filter(string_split_regex({LOWER}, '{GAP}'), lambda w: w <> '') AS ws FROM passages),
+grams AS (
+    SELECT r, line, list_distinct(list_transform(range(len(ws) - 1), lambda i: ws[i + 1] || ' ' || ws[i + 2])) AS gs
+    FROM ws WHERE len(ws) > 1
+),
+known(g, template, licence, size) AS (VALUES {_GRAMS}),
+own AS (SELECT r, line, len(gs) AS n, unnest(gs) AS g FROM grams),
+dice AS (
+    SELECT r, line, licence, 2.0::DOUBLE * count(*) / (n + size) AS dice
+    FROM own JOIN known USING (g) GROUP BY r, line, n, template, licence, size
+),
+best AS (
+    SELECT r, line, licence, dice, row_number() OVER (PARTITION BY r, line ORDER BY dice DESC, licence) AS k
+    FROM dice WHERE dice >= {licences.DICE}
+),
+found AS (
+    SELECT r, count(*) AS n_findings, string_agg(DISTINCT licence, ',' ORDER BY licence) AS licences,
+           string_agg(line || ':' || licence, ',' ORDER BY line) AS lines, max(dice) AS best
+    FROM best WHERE k = 1 GROUP BY r
+)
+SELECT doc_id, coalesce(n_findings, 0)::BIGINT AS n_findings, coalesce(licences, '') AS licences,
+       coalesce(lines, '') AS lines, coalesce(best, 0.0)::DOUBLE AS best
+FROM d LEFT JOIN found USING (r)
+"""
