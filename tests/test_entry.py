@@ -3,6 +3,8 @@ import pytest
 
 import __spark_entry__ as entry
 from checks.compare import TABLES, differences
+from checks.oracle import ORACLE
+from checks.queries import QUERIES
 
 from conftest import SF
 
@@ -22,9 +24,10 @@ def test_entry(spark):
 
 def test_sql_belongs_to_queries():
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"normality", "normality_events"}
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(QUERIES) - set(ORACLE) == {"normality", "normality_events"}
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_sql(spark, connection, name):
     assert differences(spark, connection, name, SF) == []
