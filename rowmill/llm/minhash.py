@@ -5,18 +5,20 @@ of `shingle` consecutive words, as 64-bit hashes. Two documents are linked if 10
 least `percent` * union.
 
 1. Equal sets are one class, named by two hashes of the set; it stands for all its documents, so copies
-   are never compared. A class has MinHash samples, keys of `BANDS` bands of `ROWS` samples, and its odd
-   sketch: every sample flips one bit of a bitmap, and the number of bits in which two bitmaps differ
-   estimates the share of equal samples, most precisely where it is high.
+   are never compared. A class has MinHash samples for the keys of `BANDS` bands of `ROWS` samples, and its
+   odd sketch: one permutation is cut into 2^`BINS_LOG2` bins, the minimum of every bin that is not empty is a
+   sample, and every sample flips one bit of a bitmap. The number of bits in which two bitmaps differ
+   estimates how many samples differ, most precisely where few do.
 2. In each band's bucket every class meets one pivot, chosen by a hash of class and band, so that twenty
-   bands give different pivots and a bucket of m classes m pairs. Up to `TURNS` rounds of this follow while
-   they find links, with other pivots, over the buckets whose classes are still in several components.
-3. What is left is exact. In a bucket whose classes are in more than one component, every class outside
-   the bucket's largest component meets every class of another component. Such buckets are cut into
-   chunks, so that their work spreads, and a pair is kept only if the sketches allow it.
-4. Candidate pairs whose sketches estimate less than `ESTIMATE` are dropped (nearly four standard errors
-   below the threshold). All others are compared on their whole sets, which only documents with a candidate
-   partner send through a shuffle.
+   bands give different pivots and a bucket of m classes m pairs. `TURNS` rounds of this follow each other,
+   with other pivots, over the buckets whose classes are still in several components.
+3. In a bucket whose classes are in more than one component, every class outside the bucket's largest
+   component meets every class of another component. Such buckets are cut into chunks, so that their work
+   spreads. A first round keeps each class's likeliest partners; a last round, over the buckets that still
+   hold several components, keeps every pair that the sketches allow, and so what is left is exact.
+4. A candidate pair is dropped if its bitmaps differ by `DEVIATIONS` standard deviations more than those of
+   a pair at the threshold do. All others are compared on their whole sets, which are made once, of the
+   classes that share a bucket with another.
 5. Links give components by alternating stars.
 
 A linked pair shares no band with probability (1 - 0.85^4)^20 < 3e-6.
@@ -43,10 +45,11 @@ from rowmill.plans.storage import materialise
 SHINGLE = 3
 PERCENT = 85
 BANDS, ROWS = 20, 4
-SKETCH_WORDS = 4  # 64 bits each
-ESTIMATE = 0.7
+BINS_LOG2 = 13
+SKETCH_WORDS = 16  # 64 bits each
+DEVIATIONS = 5.0
 TURNS = 2
-TRIED_PIVOTS = 3
+TRIED = 3
 CHUNK = 1000
 KNOWN_WORDS = 1 << 20
 
@@ -105,28 +108,47 @@ def band_keys(minima: np.ndarray) -> np.ndarray:
     return keys.view(np.int64)
 
 
-def odd_sketch(minima: np.ndarray) -> np.ndarray:
-    """Bitmap in which every sample flips the bit that it and its place choose."""
-    places = mixed(minima + np.arange(len(minima), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-    flips = np.bincount((places % np.uint64(64 * SKETCH_WORDS)).astype(np.int64), minlength=64 * SKETCH_WORDS)
-    return np.packbits((flips & 1).astype(np.uint8)).view(np.int64)
+def odd_sketch(elements: np.ndarray) -> tuple[int, np.ndarray]:
+    """The number of samples of a sorted set, and the bitmap in which every sample flips the bit it chooses.
 
+    The samples are the minima of the bins into which the leading bits of a hash cut the elements.
+    """
+    bins = elements >> np.uint64(64 - BINS_LOG2)
+    minima = elements[np.flatnonzero(np.diff(bins, prepend=~bins[:1]))]
+    places = mixed(minima) % np.uint64(64 * SKETCH_WORDS)
+    flips = np.bincount(places.astype(np.int64), minlength=64 * SKETCH_WORDS)
+    return len(minima), np.packbits((flips & 1).astype(np.uint8)).view(np.int64)
 
-def estimate(a: Column, b: Column) -> Column:
-    """The share of equal samples that the sketches' differing bits suggest."""
-    bits, n = 64 * SKETCH_WORDS, BANDS * ROWS
-    differ = F.aggregate(
-        F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x
+
+def excess(l: Column, r: Column, percent: int) -> Column:
+    """Standard deviations by which the bitmaps of two classes differ more than at the threshold.
+
+    At the threshold s, a union of t elements fills u bins, s * u of them with the same sample, so the
+    samples of the two differ by d = filled(l) + filled(r) - 2 * s * u. The filled bins of both scale u, as
+    their numbers vary together. Which elements are minima and which samples meet in one bit make the
+    variance; one more keeps tiny sets safe.
+    """
+    bits, bins, s = 64.0 * SKETCH_WORDS, float(1 << BINS_LOG2), percent / 100
+    differ = sum(
+        (F.bit_count(l["sketch"][f"w{i}"].bitwiseXOR(r["sketch"][f"w{i}"])) for i in range(SKETCH_WORDS)),
+        F.lit(0),
     )
-    inside = F.greatest(1 - 2 * differ / F.lit(float(bits)), F.lit(1e-9))
-    return 1 + bits / (4.0 * n) * F.log(inside)
+    seen = -bits / 2 * F.log(F.greatest(1 - 2 * differ / F.lit(bits), F.lit(1e-3)))
+    t = (l["n_shingles"] + r["n_shingles"]) / F.lit(1 + s)
+    samples_of = l["filled"] + r["filled"]
+    expected = [1 - F.exp(-x / bins) for x in (t, l["n_shingles"], r["n_shingles"])]
+    u = samples_of * expected[0] / (expected[1] + expected[2])
+    # A bound on d keeps the exponential finite; beyond it a bitmap is full and drops no pair.
+    d = F.least(F.greatest(samples_of - 2 * s * u, F.lit(0.0)), F.lit(4 * bits))
+    variance = 4 * s * (1 - s) * u * F.greatest(1 - u / t, F.lit(0.0)) + bits / 4 * (F.exp(4 * d / bits) - 1) - d + 1
+    return (seen - d) / F.sqrt(variance)
 
 
-FEATURES = "n_shingles bigint, s1 bigint, s2 bigint, bands array<bigint>, sketch array<bigint>"
+FEATURES = "n_shingles bigint, s1 bigint, s2 bigint, bands array<bigint>, filled int, sketch array<bigint>"
 
 
 def features(docs: DataFrame, shingle: int) -> DataFrame:
-    """doc_id, set size, two hashes of the set (NULL if empty), band keys and sketch."""
+    """doc_id, set size, two hashes of the set (NULL if empty), band keys, samples and bitmap of the sketch."""
     schema = T.StructType([docs.schema["doc_id"], *T._parse_datatype_string(FEATURES).fields])
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -138,11 +160,11 @@ def features(docs: DataFrame, shingle: int) -> DataFrame:
                 if len(own):
                     minima, data = samples(own), own.tobytes()
                     digest = np.frombuffer(xxhash.xxh3_128_digest(data), dtype=np.int64)
-                    rows.append((len(own), *digest.tolist(), band_keys(minima), odd_sketch(minima)))
+                    rows.append((len(own), *digest.tolist(), band_keys(minima), *odd_sketch(own)))
                 else:
-                    rows.append((0, None, None, None, None))
-            columns = list(zip(*rows)) if rows else [()] * 5
-            kinds = [pa.int64()] * 3 + [pa.list_(pa.int64())] * 2
+                    rows.append((0, None, None, None, 0, None))
+            columns = list(zip(*rows)) if rows else [()] * 6
+            kinds = [pa.int64()] * 3 + [pa.list_(pa.int64()), pa.int32(), pa.list_(pa.int64())]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *[pa.array(c, k) for c, k in zip(columns, kinds)]], names=schema.names
             )
@@ -185,16 +207,26 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
+CLASS = "class", "n_shingles", "filled", "sketch"
+
+
 class Buckets:
     """Classes in the buckets of their bands that still hold several components."""
 
     def __init__(self, classes: DataFrame, percent: int):
         spread = classes.select("class", F.explode("bands").alias("band"))
         busy = spread.groupBy("band").agg(F.count("*").alias("m")).where("m > 1").select("band")
-        rows = materialise(spread.join(materialise(busy), "band"))
-        about = classes.select("class", "n_shingles", "sketch")
-        self.rows = materialise(rows.join(about, "class").withColumn("component", F.col("class")))
+        self.rows = materialise(spread.join(materialise(busy), "band").withColumn("component", F.col("class")))
         self.percent = percent
+        words = [F.col("sketch")[i].alias(f"w{i}") for i in range(SKETCH_WORDS)]
+        about = classes.withColumn("sketch", F.struct(*words)).select(*CLASS)
+        self.about = materialise(about.join(self.members(), "class", "left_semi"))
+
+    def members(self) -> DataFrame:
+        return self.rows.select("class").distinct()
+
+    def described(self) -> DataFrame:
+        return self.rows.join(self.about, "class")
 
     def relabel(self, links: DataFrame) -> None:
         """Take over the components of links and leave the buckets that are of one component now."""
@@ -206,46 +238,44 @@ class Buckets:
         self.rows = materialise(rows.join(live, "band"))
 
     def possible(self, pairs: DataFrame) -> DataFrame:
-        """Pairs of structs l and r (class, n_shingles, sketch) that sizes and sketches allow, once each."""
+        """Pairs of structs l and r of described classes that sizes and sketches allow."""
         low, high = (f("l.n_shingles", "r.n_shingles") for f in (F.least, F.greatest))
-        estimated = pairs.where(100 * low >= self.percent * high).withColumn(
-            "estimate", estimate(F.col("l.sketch"), F.col("r.sketch"))
-        )
-        return estimated.where(F.col("estimate") >= ESTIMATE).select(
+        sized = pairs.where(100 * low >= self.percent * high)
+        estimated = sized.withColumn("excess", excess(F.col("l"), F.col("r"), self.percent))
+        return estimated.where(F.col("excess") <= DEVIATIONS).select(
             F.least("l.class", "r.class").alias("a"), F.greatest("l.class", "r.class").alias("b"),
-            F.col("l.class").alias("of"), "estimate",
+            F.col("r.class").alias("of"), "band", "excess",
         )
 
+    @staticmethod
+    def likeliest(pairs: DataFrame) -> DataFrame:
+        """The TRIED likeliest of each class's best pairs of every band."""
+        best = pairs.groupBy("of", "band").agg(F.min(F.struct("excess", "a", "b")).alias("p"))
+        # A class has one best pair a band at most, so this list is short.
+        listed = F.slice(F.array_sort(F.collect_set("p")), 1, TRIED)
+        return best.groupBy("of").agg(F.explode(listed).alias("p")).select("p.a", "p.b").distinct()
+
     def pivots(self, turn: int) -> DataFrame:
         """Pairs of a class and the pivot of a bucket, the likeliest of each class."""
-        rows = self.rows
-        own = F.struct("class", "n_shingles", "sketch", "component")
+        rows = self.described()
+        own = F.struct(*CLASS, "component")
         order = F.xxhash64(F.lit(turn), "class", "band")
-        chosen = rows.groupBy("band").agg(
-            F.min(F.struct(order.alias("order"), own.alias("r")))["r"].alias("r"),
-        )
+        chosen = self.rows.groupBy("band").agg(F.min(F.struct(order.alias("order"), "class"))["class"].alias("class"))
         chosen = materialise(chosen)
-        met = rows.select("band", own.alias("l")).join(chosen, "band")
-        pairs = self.possible(met.where(F.col("l.component") != F.col("r.component")))
-        pairs = pairs.groupBy("of", "a", "b").agg(F.max("estimate").alias("estimate"))
-        best = F.slice(
-            F.sort_array(F.collect_list(F.struct("estimate", "a", "b")), asc=False), 1, TRIED_PIVOTS
-        )
-        # A class has at most one pivot in each band, so this list is short.
-        tried = pairs.groupBy("of").agg(F.explode(best).alias("p"))
-        return tried.select("p.a", "p.b").distinct()
-
-    def rest(self) -> DataFrame:
-        """All pairs across components in buckets that hold several of them."""
-        rows = self.rows
-        sizes = rows.groupBy("band", "component").agg(F.count("*").alias("k"))
+        pivots = materialise(rows.join(chosen, ["band", "class"], "left_semi").select("band", own.alias("l")))
+        met = rows.select("band", own.alias("r")).join(pivots, "band")
+        return self.likeliest(self.possible(met.where(F.col("l.component") != F.col("r.component"))))
+
+    def rest(self, likeliest: bool) -> DataFrame:
+        """Pairs across components in buckets that hold several of them: each class's likeliest, or all."""
+        sizes = self.rows.groupBy("band", "component").agg(F.count("*").alias("k"))
         kept = sizes.groupBy("band").agg(
             F.max(F.struct("k", "component"))["component"].alias("main"),
             F.sum("k").alias("m"), F.count("*").alias("parts"),
         )
         kept = materialise(kept.where("parts > 1").drop("parts"))
-        live = rows.join(kept, "band").withColumn("chunks", F.ceil(F.col("m") / CHUNK).cast("int"))
-        own = F.struct("class", "n_shingles", "sketch", "component", "main")
+        live = self.described().join(kept, "band").withColumn("chunks", F.ceil(F.col("m") / CHUNK).cast("int"))
+        own = F.struct(*CLASS, "component", "main")
         all_rows = live.select(
             "band", own.alias("l"), F.pmod(F.xxhash64("class"), F.col("chunks")).cast("int").alias("chunk")
         )
@@ -257,7 +287,8 @@ class Buckets:
             # Two minor classes meet twice; once is enough.
             & ((F.col("l.component") == F.col("l.main")) | (F.col("l.class") < F.col("r.class")))
         )
-        return self.possible(met).select("a", "b").distinct()
+        pairs = self.possible(met)
+        return self.likeliest(pairs) if likeliest else pairs.select("a", "b").distinct()
 
 
 def near_documents(
@@ -270,22 +301,17 @@ def near_documents(
     classes = materialise(
         full.groupBy("class").agg(
             F.min("doc_id").alias("least"),
-            *[F.first(c).alias(c) for c in ("s1", "s2", "n_shingles", "bands", "sketch")],
+            *[F.first(c).alias(c) for c in ("s1", "s2", "n_shingles", "bands", "filled", "sketch")],
         )
     )
     buckets = Buckets(classes, percent)
-    sets = links = None
-    turn, found = 0, -1
-    while True:
-        last = found == 0 or turn == TURNS
-        pairs = materialise(buckets.rest() if last else buckets.pivots(turn))
-        sets = added_sets(docs, classes, pairs, sets, shingle)
+    sets = sets_of(docs, classes.join(buckets.members(), "class", "left_semi"), shingle)
+    links = None
+    for turn in range(TURNS + 2):
+        pairs = materialise(buckets.pivots(turn) if turn < TURNS else buckets.rest(likeliest=turn == TURNS))
         new = materialise(confirmed(pairs, sets, percent))
         links = new if links is None else links.union(new)
-        if last:
-            break
-        found, turn = new.count(), turn + 1
-        if found:
+        if turn <= TURNS and not new.isEmpty():
             buckets.relabel(links)
     labels = components(links).withColumnRenamed("u", "class")
     named = classes.select("class", "least").join(materialise(labels), "class", "left")
@@ -302,16 +328,10 @@ def near_documents(
     )
 
 
-def added_sets(
-    docs: DataFrame, classes: DataFrame, pairs: DataFrame, sets: DataFrame | None, shingle: int
-) -> DataFrame:
-    """The sets of all classes in pairs, and of earlier ones; a class's first document gives its set."""
-    asked = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
-    if sets is not None:
-        asked = asked.join(sets.select("class"), "class", "left_anti")
-    wanted = materialise(asked.join(classes, "class").select("class", F.col("least").alias("doc_id"), "s1", "s2"))
+def sets_of(docs: DataFrame, classes: DataFrame, shingle: int) -> DataFrame:
+    """The sets of classes; a class's first document gives its set."""
+    wanted = materialise(classes.select("class", F.col("least").alias("doc_id"), "s1", "s2"))
     texts = docs.join(wanted.select("doc_id").distinct(), docs["doc_id"].eqNullSafe(wanted["doc_id"]), "left_semi")
     # Several documents can have the id, so the set's own hashes decide which one it is.
     made = whole_sets(texts, shingle).join(wanted, ["s1", "s2"]).select("class", "elements").dropDuplicates(["class"])
-    made = materialise(made)
-    return made if sets is None else sets.union(made)
+    return materialise(made)

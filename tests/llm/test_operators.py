@@ -235,14 +235,25 @@ def test_near_documents_defined_cases(docs):
 
 def test_odd_sketch_estimates(frame):
     rng = np.random.default_rng(4)
-    shared = rng.integers(0, 1 << 63, 4000, dtype=np.uint64)
-    errors = []
-    for extra in range(100, 700, 100):
-        a, b = (np.unique(np.concatenate([shared, rng.integers(0, 1 << 63, extra, dtype=np.uint64)])) for _ in range(2))
-        sketches = [minhash.odd_sketch(minhash.samples(x)).tolist() for x in (a, b)]
-        df = frame([tuple(sketches)], "a array<bigint>, b array<bigint>")
-        errors.append(df.select(minhash.estimate(F.col("a"), F.col("b"))).first()[0] - 4000 / (4000 + 2 * extra))
-    assert np.abs(errors).max() < 0.15 and abs(np.mean(errors)) < 0.06
+    rows = []
+    for size in (3, 30, 300, 1500, 4000):
+        for percent in (70, 85, 100):
+            for _ in range(20):
+                both = rng.integers(0, 1 << 64, round(2 * size / (1 + 100 / percent)), dtype=np.uint64)
+                own = rng.integers(0, 1 << 64, (2, size - len(both)), dtype=np.uint64)
+                sides = []
+                for side in own:
+                    filled, sketch = minhash.odd_sketch(np.unique(np.concatenate([both, side])))
+                    sides.append((size, filled, tuple(sketch.tolist())))
+                rows.append((size, percent, *sides))
+    bits = ", ".join(f"w{i}: bigint" for i in range(minhash.SKETCH_WORDS))
+    side = f"struct<n_shingles: bigint, filled: bigint, sketch: struct<{bits}>>"
+    df = frame(rows, f"size int, percent int, l {side}, r {side}")
+    found = df.select("size", "percent", minhash.excess(F.col("l"), F.col("r"), 85).alias("x")).collect()
+    # Pairs at the threshold lie around it and equal ones stay; of much less similar ones none stays.
+    assert all(abs(r.x) < minhash.DEVIATIONS for r in found if r.percent == 85)
+    assert all(r.x < minhash.DEVIATIONS for r in found if r.percent == 100)
+    assert all(r.x > minhash.DEVIATIONS for r in found if r.percent == 70 and 300 <= r.size <= 1500)
 
 
 # 5 licences
