@@ -9,17 +9,17 @@ least `percent` * union.
    odd sketch: one permutation is cut into 2^`BINS_LOG2` bins, the minimum of every bin that is not empty is a
    sample, and every sample flips one bit of a bitmap. The number of bits in which two bitmaps differ
    estimates how many samples differ, most precisely where few do.
-2. In each band's bucket every class meets one pivot, chosen by a hash of class and band, so that twenty
-   bands give different pivots and a bucket of m classes m pairs. `TURNS` rounds of this follow each other,
-   with other pivots, over the buckets whose classes are still in several components.
-3. In a bucket whose classes are in more than one component, every class outside the bucket's largest
+2. Classes that share a bucket with another get their whole sets, made once. An element that only one of these
+   sets holds is in no intersection, so the elements that are left bound the similarity of a class to any
+   other and of every pair. Classes whose bound is below the threshold leave all buckets, without loss.
+3. In each band's bucket every class meets one pivot, chosen by a hash of class and band, so that twenty
+   bands give different pivots and a bucket of m classes m pairs. The likeliest few of each class go on.
+4. In a bucket whose classes are still in several components, every class outside the bucket's largest
    component meets every class of another component. Such buckets are cut into chunks, so that their work
-   spreads. A first round keeps each class's likeliest partners; a last round, over the buckets that still
-   hold several components, keeps every pair that the sketches allow, and so what is left is exact.
-4. A candidate pair is dropped if its bitmaps differ by `DEVIATIONS` standard deviations more than those of
-   a pair at the threshold do. All others are compared on their whole sets, which are made once, of the
-   classes that share a bucket with another.
-5. Links give components by alternating stars.
+   spreads; a pair that bounds or sketches exclude never leaves the join.
+5. A candidate pair is dropped if its bitmaps differ by `DEVIATIONS` standard deviations more than those of
+   a pair at the threshold do. All others are compared on their whole sets.
+6. Links give components by alternating stars.
 
 A linked pair shares no band with probability (1 - 0.85^4)^20 < 3e-6.
 
@@ -48,9 +48,8 @@ BANDS, ROWS = 20, 4
 BINS_LOG2 = 13
 SKETCH_WORDS = 16  # 64 bits each
 DEVIATIONS = 5.0
-TURNS = 2
 TRIED = 3
-CHUNK = 1000
+CHUNK = 250
 KNOWN_WORDS = 1 << 20
 
 SEED = 77
@@ -207,88 +206,86 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
-CLASS = "class", "n_shingles", "filled", "sketch"
-
-
-class Buckets:
-    """Classes in the buckets of their bands that still hold several components."""
-
-    def __init__(self, classes: DataFrame, percent: int):
-        spread = classes.select("class", F.explode("bands").alias("band"))
-        busy = spread.groupBy("band").agg(F.count("*").alias("m")).where("m > 1").select("band")
-        self.rows = materialise(spread.join(materialise(busy), "band").withColumn("component", F.col("class")))
-        self.percent = percent
-        words = [F.col("sketch")[i].alias(f"w{i}") for i in range(SKETCH_WORDS)]
-        about = classes.withColumn("sketch", F.struct(*words)).select(*CLASS)
-        self.about = materialise(about.join(self.members(), "class", "left_semi"))
-
-    def members(self) -> DataFrame:
-        return self.rows.select("class").distinct()
-
-    def described(self) -> DataFrame:
-        return self.rows.join(self.about, "class")
-
-    def relabel(self, links: DataFrame) -> None:
-        """Take over the components of links and leave the buckets that are of one component now."""
-        labels = materialise(components(links)).withColumnRenamed("u", "class")
-        rows = self.rows.drop("component").join(labels, "class", "left")
-        rows = rows.withColumn("component", F.coalesce("component", "class"))
-        spans = rows.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        live = materialise(spans.where("low <> high").select("band"))
-        self.rows = materialise(rows.join(live, "band"))
-
-    def possible(self, pairs: DataFrame) -> DataFrame:
-        """Pairs of structs l and r of described classes that sizes and sketches allow."""
-        low, high = (f("l.n_shingles", "r.n_shingles") for f in (F.least, F.greatest))
-        sized = pairs.where(100 * low >= self.percent * high)
-        estimated = sized.withColumn("excess", excess(F.col("l"), F.col("r"), self.percent))
-        return estimated.where(F.col("excess") <= DEVIATIONS).select(
-            F.least("l.class", "r.class").alias("a"), F.greatest("l.class", "r.class").alias("b"),
-            F.col("r.class").alias("of"), "band", "excess",
-        )
+CLASS = "class", "n_shingles", "shared", "filled", "sketch"
 
-    @staticmethod
-    def likeliest(pairs: DataFrame) -> DataFrame:
-        """The TRIED likeliest of each class's best pairs of every band."""
-        best = pairs.groupBy("of", "band").agg(F.min(F.struct("excess", "a", "b")).alias("p"))
-        # A class has one best pair a band at most, so this list is short.
-        listed = F.slice(F.array_sort(F.collect_set("p")), 1, TRIED)
-        return best.groupBy("of").agg(F.explode(listed).alias("p")).select("p.a", "p.b").distinct()
-
-    def pivots(self, turn: int) -> DataFrame:
-        """Pairs of a class and the pivot of a bucket, the likeliest of each class."""
-        rows = self.described()
-        own = F.struct(*CLASS, "component")
-        order = F.xxhash64(F.lit(turn), "class", "band")
-        chosen = self.rows.groupBy("band").agg(F.min(F.struct(order.alias("order"), "class"))["class"].alias("class"))
-        chosen = materialise(chosen)
-        pivots = materialise(rows.join(chosen, ["band", "class"], "left_semi").select("band", own.alias("l")))
-        met = rows.select("band", own.alias("r")).join(pivots, "band")
-        return self.likeliest(self.possible(met.where(F.col("l.component") != F.col("r.component"))))
-
-    def rest(self, likeliest: bool) -> DataFrame:
-        """Pairs across components in buckets that hold several of them: each class's likeliest, or all."""
-        sizes = self.rows.groupBy("band", "component").agg(F.count("*").alias("k"))
-        kept = sizes.groupBy("band").agg(
-            F.max(F.struct("k", "component"))["component"].alias("main"),
-            F.sum("k").alias("m"), F.count("*").alias("parts"),
-        )
-        kept = materialise(kept.where("parts > 1").drop("parts"))
-        live = self.described().join(kept, "band").withColumn("chunks", F.ceil(F.col("m") / CHUNK).cast("int"))
-        own = F.struct(*CLASS, "component", "main")
-        all_rows = live.select(
-            "band", own.alias("l"), F.pmod(F.xxhash64("class"), F.col("chunks")).cast("int").alias("chunk")
-        )
-        minor = live.where("component != main").select(
-            "band", own.alias("r"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk")
-        )
-        met = all_rows.join(minor, ["band", "chunk"]).where(
-            (F.col("l.component") != F.col("r.component"))
-            # Two minor classes meet twice; once is enough.
-            & ((F.col("l.component") == F.col("l.main")) | (F.col("l.class") < F.col("r.class")))
-        )
-        pairs = self.possible(met)
-        return self.likeliest(pairs) if likeliest else pairs.select("a", "b").distinct()
+
+def described_classes(classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Size, shared elements and sketch of the classes with sets, without those that nothing can be linked with."""
+    holders = sets.select("class", F.explode("elements").alias("element")).groupBy("element")
+    single = holders.agg(F.count("*").alias("k"), F.min("class").alias("class")).where("k = 1")
+    single = materialise(single.groupBy("class").agg(F.count("*").alias("own")))
+    words = [F.col("sketch")[i].alias(f"w{i}") for i in range(SKETCH_WORDS)]
+    return (
+        classes.join(sets.select("class"), "class", "left_semi")
+        .join(single, "class", "left")
+        .withColumn("shared", F.col("n_shingles") - F.coalesce("own", F.lit(0)))
+        .where(100 * F.col("shared") >= percent * F.col("n_shingles"))
+        .select("class", "n_shingles", "shared", "filled", F.struct(*words).alias("sketch"))
+    )
+
+
+def busy(rows: DataFrame, column: str) -> DataFrame:
+    """The rows of the buckets in which the column has several values."""
+    spans = rows.groupBy("band").agg(F.min(column).alias("low"), F.max(column).alias("high"))
+    # Written, so that both sides of the join are plain shuffles and a hot bucket can be split.
+    return materialise(rows.join(materialise(spans.where("low <> high").select("band")), "band"))
+
+
+def possible(l: Column, r: Column, percent: int) -> Column:
+    """Whether sizes and shared elements of two described classes allow a link."""
+    low, high = (f(l["n_shingles"], r["n_shingles"]) for f in (F.least, F.greatest))
+    both = F.least(l["shared"], r["shared"])
+    return (100 * low >= percent * high) & (100 * both >= percent * (low + high - both))
+
+
+def pivot_pairs(rows: DataFrame, about: DataFrame, percent: int) -> DataFrame:
+    """Pairs of a class and a pivot of one of its buckets: the TRIED likeliest of each class."""
+    order = F.xxhash64("class", "band")
+    chosen = rows.groupBy("band").agg(F.min(F.struct(order.alias("order"), "class"))["class"].alias("pivot"))
+    pairs = rows.join(materialise(chosen), "band").where("class <> pivot").select("class", "pivot").distinct()
+    own = F.struct(*CLASS)
+    met = (
+        materialise(pairs)
+        .join(about.select("class", own.alias("r")), "class")
+        .join(about.select(F.col("class").alias("pivot"), own.alias("l")), "pivot")
+        .where(possible(F.col("l"), F.col("r"), percent))
+        .withColumn("excess", excess(F.col("l"), F.col("r"), percent))
+        .where(F.col("excess") <= DEVIATIONS)
+    )
+    # A class has one pivot a band at most, so this list is short.
+    listed = F.slice(F.array_sort(F.collect_list(F.struct("excess", "pivot"))), 1, TRIED)
+    likeliest = met.groupBy("class").agg(F.explode(listed).alias("p"))
+    return likeliest.select(
+        F.least("class", "p.pivot").alias("a"), F.greatest("class", "p.pivot").alias("b")
+    ).distinct()
+
+
+def rest_pairs(rows: DataFrame, about: DataFrame, percent: int) -> DataFrame:
+    """All possible pairs of classes of different components that share a bucket. rows: band, class, component."""
+    sizes = rows.groupBy("band", "component").agg(F.count("*").alias("k"))
+    mains = sizes.groupBy("band").agg(
+        F.max(F.struct("k", "component"))["component"].alias("main"),
+        F.ceil(F.sum("k") / CHUNK).cast("int").alias("chunks"),
+    )
+    live = rows.join(materialise(mains), "band").join(about, "class")
+    own = F.struct(*CLASS, "component", "main")
+    all_rows = live.select(
+        "band", own.alias("l"), F.pmod(F.xxhash64("class"), F.col("chunks")).cast("int").alias("chunk")
+    )
+    minor = live.where("component <> main").select(
+        "band", own.alias("r"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk")
+    )
+    l, r = F.col("l"), F.col("r")
+    met = all_rows.join(minor, ["band", "chunk"]).where(
+        (l["component"] != r["component"])
+        # Two minor classes meet twice; once is enough.
+        & ((l["component"] == l["main"]) | (l["class"] < r["class"]))
+        & possible(l, r, percent)
+        & (excess(l, r, percent) <= DEVIATIONS)
+    )
+    return met.select(
+        F.least("l.class", "r.class").alias("a"), F.greatest("l.class", "r.class").alias("b")
+    ).distinct()
 
 
 def near_documents(
@@ -304,15 +301,16 @@ def near_documents(
             *[F.first(c).alias(c) for c in ("s1", "s2", "n_shingles", "bands", "filled", "sketch")],
         )
     )
-    buckets = Buckets(classes, percent)
-    sets = sets_of(docs, classes.join(buckets.members(), "class", "left_semi"), shingle)
-    links = None
-    for turn in range(TURNS + 2):
-        pairs = materialise(buckets.pivots(turn) if turn < TURNS else buckets.rest(likeliest=turn == TURNS))
-        new = materialise(confirmed(pairs, sets, percent))
-        links = new if links is None else links.union(new)
-        if turn <= TURNS and not new.isEmpty():
-            buckets.relabel(links)
+    rows = busy(classes.select("class", F.explode("bands").alias("band")), "class")
+    sets = sets_of(docs, classes.join(rows.select("class").distinct(), "class", "left_semi"), shingle)
+    about = materialise(described_classes(classes, sets, percent))
+    rows = busy(rows.join(about.select("class"), "class", "left_semi"), "class")
+    pairs = materialise(pivot_pairs(rows, about, percent))
+    links = materialise(confirmed(pairs, sets, percent))
+    labels = materialise(components(links)).withColumnRenamed("u", "class")
+    labelled = rows.join(labels, "class", "left").withColumn("component", F.coalesce("component", "class"))
+    pairs = materialise(rest_pairs(busy(labelled, "component"), about, percent))
+    links = links.union(materialise(confirmed(pairs, sets, percent)))
     labels = components(links).withColumnRenamed("u", "class")
     named = classes.select("class", "least").join(materialise(labels), "class", "left")
     named = materialise(named.withColumn("component", F.coalesce("component", "class")))
