@@ -49,7 +49,7 @@ BINS_LOG2 = 13
 SKETCH_WORDS = 16  # 64 bits each
 DEVIATIONS = 5.0
 TRIED = 3
-CHUNK = 250
+BLOCK = 512
 KNOWN_WORDS = 1 << 20
 
 SEED = 77
@@ -119,8 +119,14 @@ def odd_sketch(elements: np.ndarray) -> tuple[int, np.ndarray]:
     return len(minima), np.packbits((flips & 1).astype(np.uint8)).view(np.int64)
 
 
-def excess(l: Column, r: Column, percent: int) -> Column:
-    """Standard deviations by which the bitmaps of two classes differ more than at the threshold.
+class Numbers:
+    """The functions of `deviations` for numpy arrays, under the names that Spark gives them."""
+
+    log, exp, sqrt, greatest, least, lit = np.log, np.exp, np.sqrt, np.maximum, np.minimum, float
+
+
+def deviations(differ, sizes, filled, percent: int, f):
+    """Standard deviations by which bitmaps differ more than at the threshold: columns (f: functions) or arrays.
 
     At the threshold s, a union of t elements fills u bins, s * u of them with the same sample, so the
     samples of the two differ by d = filled(l) + filled(r) - 2 * s * u. The filled bins of both scale u, as
@@ -128,19 +134,24 @@ def excess(l: Column, r: Column, percent: int) -> Column:
     variance; one more keeps tiny sets safe.
     """
     bits, bins, s = 64.0 * SKETCH_WORDS, float(1 << BINS_LOG2), percent / 100
+    seen = -bits / 2 * f.log(f.greatest(1 - 2 * differ / f.lit(bits), f.lit(1e-3)))
+    t = (sizes[0] + sizes[1]) / f.lit(1 + s)
+    samples_of = filled[0] + filled[1]
+    expected = [1 - f.exp(-x / bins) for x in (t, *sizes)]
+    u = samples_of * expected[0] / (expected[1] + expected[2])
+    # A bound on d keeps the exponential finite; beyond it a bitmap is full and drops no pair.
+    d = f.least(f.greatest(samples_of - 2 * s * u, f.lit(0.0)), f.lit(4 * bits))
+    variance = 4 * s * (1 - s) * u * f.greatest(1 - u / t, f.lit(0.0)) + bits / 4 * (f.exp(4 * d / bits) - 1) - d + 1
+    return (seen - d) / f.sqrt(variance)
+
+
+def excess(l: Column, r: Column, percent: int) -> Column:
+    """The deviations of two described classes."""
     differ = sum(
         (F.bit_count(l["sketch"][f"w{i}"].bitwiseXOR(r["sketch"][f"w{i}"])) for i in range(SKETCH_WORDS)),
         F.lit(0),
     )
-    seen = -bits / 2 * F.log(F.greatest(1 - 2 * differ / F.lit(bits), F.lit(1e-3)))
-    t = (l["n_shingles"] + r["n_shingles"]) / F.lit(1 + s)
-    samples_of = l["filled"] + r["filled"]
-    expected = [1 - F.exp(-x / bins) for x in (t, l["n_shingles"], r["n_shingles"])]
-    u = samples_of * expected[0] / (expected[1] + expected[2])
-    # A bound on d keeps the exponential finite; beyond it a bitmap is full and drops no pair.
-    d = F.least(F.greatest(samples_of - 2 * s * u, F.lit(0.0)), F.lit(4 * bits))
-    variance = 4 * s * (1 - s) * u * F.greatest(1 - u / t, F.lit(0.0)) + bits / 4 * (F.exp(4 * d / bits) - 1) - d + 1
-    return (seen - d) / F.sqrt(variance)
+    return deviations(differ, *[[l[c], r[c]] for c in ("n_shingles", "filled")], percent, F)
 
 
 FEATURES = "n_shingles bigint, s1 bigint, s2 bigint, bands array<bigint>, filled int, sketch array<bigint>"
@@ -220,7 +231,7 @@ def described_classes(classes: DataFrame, sets: DataFrame, percent: int) -> Data
         .join(single, "class", "left")
         .withColumn("shared", F.col("n_shingles") - F.coalesce("own", F.lit(0)))
         .where(100 * F.col("shared") >= percent * F.col("n_shingles"))
-        .select("class", "n_shingles", "shared", "filled", F.struct(*words).alias("sketch"))
+        .select("class", "n_shingles", "shared", "filled", F.struct(*words).alias("sketch"), "bands")
     )
 
 
@@ -263,29 +274,57 @@ def pivot_pairs(rows: DataFrame, about: DataFrame, percent: int) -> DataFrame:
 def rest_pairs(rows: DataFrame, about: DataFrame, percent: int) -> DataFrame:
     """All possible pairs of classes of different components that share a bucket. rows: band, class, component."""
     sizes = rows.groupBy("band", "component").agg(F.count("*").alias("k"))
-    mains = sizes.groupBy("band").agg(
-        F.max(F.struct("k", "component"))["component"].alias("main"),
-        F.ceil(F.sum("k") / CHUNK).cast("int").alias("chunks"),
+    mains = sizes.groupBy("band").agg(F.max(F.struct("k", "component")).alias("top"), F.sum("k").alias("m"))
+    blocks = [F.ceil(n / BLOCK).cast("int") for n in (F.col("m"), F.col("m") - F.col("top.k"))]
+    mains = materialise(
+        mains.select("band", F.col("top.component").alias("main"), blocks[0].alias("chunks"), blocks[1].alias("parts"))
     )
-    live = rows.join(materialise(mains), "band").join(about, "class")
-    own = F.struct(*CLASS, "component", "main")
-    all_rows = live.select(
-        "band", own.alias("l"), F.pmod(F.xxhash64("class"), F.col("chunks")).cast("int").alias("chunk")
+    # All classes are cut into chunks and those outside the main component into parts; all chunks meet all parts.
+    chunk, part = (F.pmod(F.xxhash64("class"), F.col(n)).cast("int") for n in ("chunks", "parts"))
+    minor = F.col("component") != F.col("main")
+    as_left = F.transform(
+        F.sequence(F.lit(0), F.col("parts") - 1),
+        lambda p: F.struct(F.lit(False).alias("right"), chunk.alias("chunk"), p.alias("part")),
     )
-    minor = live.where("component <> main").select(
-        "band", own.alias("r"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk")
+    as_right = F.transform(
+        F.sequence(F.lit(0), F.col("chunks") - 1),
+        lambda c: F.struct(F.lit(True).alias("right"), c.alias("chunk"), part.alias("part")),
     )
-    l, r = F.col("l"), F.col("r")
-    met = all_rows.join(minor, ["band", "chunk"]).where(
-        (l["component"] != r["component"])
-        # Two minor classes meet twice; once is enough.
-        & ((l["component"] == l["main"]) | (l["class"] < r["class"]))
-        & possible(l, r, percent)
-        & (excess(l, r, percent) <= DEVIATIONS)
+    placed = rows.join(mains, "band").withColumn(
+        "at", F.explode(F.when(minor, F.concat(as_left, as_right)).otherwise(as_left))
     )
-    return met.select(
-        F.least("l.class", "r.class").alias("a"), F.greatest("l.class", "r.class").alias("b")
-    ).distinct()
+    sketch = F.array(*[F.col("sketch")[f"w{i}"] for i in range(SKETCH_WORDS)])
+    placed = placed.join(about, "class").select(
+        "band", "at.*", "class", "component", minor.alias("minor"), "n_shingles", "shared", "filled",
+        sketch.alias("sketch"), "bands",
+    )
+
+    def meet(group: pa.Table) -> pa.Table:
+        group = group.combine_chunks()
+        of = {c: group[c].to_numpy() for c in ("class", "component", "minor", "n_shingles", "shared", "filled")}
+        lists = {c: group[c].combine_chunks().flatten().to_numpy().reshape(len(group), -1) for c in ("sketch", "bands")}
+        right = group["right"].to_numpy()
+        l, r = np.flatnonzero(~right), np.flatnonzero(right)
+        x, y = {c: v[l][:, None] for c, v in of.items()}, {c: v[r][None, :] for c, v in of.items()}
+        # Two minor classes meet twice; once is enough.
+        ok = (x["component"] != y["component"]) & (~x["minor"] | (x["class"] < y["class"]))
+        low, high = (f(x["n_shingles"], y["n_shingles"]) for f in (np.minimum, np.maximum))
+        both = np.minimum(x["shared"], y["shared"])
+        ok &= (100 * low >= percent * high) & (100 * both >= percent * (low + high - both))
+        keys = lists["bands"]
+        for t in range(int(np.flatnonzero(keys[:1] == group["band"][0].as_py())[0]) if len(group) else 0):
+            ok &= keys[l, t][:, None] != keys[r, t][None, :]
+        i, j = (side[k] for side, k in zip((l, r), np.nonzero(ok)))
+        differ = np.zeros(len(i))
+        # Unsigned, as numpy counts the bits of absolute values.
+        for w in lists["sketch"].view(np.uint64).T:
+            differ += np.bitwise_count(w[i] ^ w[j])
+        numbers = [[of[c][i].astype(float), of[c][j].astype(float)] for c in ("n_shingles", "filled")]
+        near = deviations(differ, *numbers, percent, Numbers) <= DEVIATIONS
+        a, b = of["class"][i[near]], of["class"][j[near]]
+        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+
+    return placed.groupBy("band", "chunk", "part").applyInArrow(meet, "a bigint, b bigint")
 
 
 def near_documents(
