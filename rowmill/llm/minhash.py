@@ -205,6 +205,9 @@ def whole_sets(docs: DataFrame, shingle: int) -> DataFrame:
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose whole sets are similar enough."""
+    # Only the sets of these pairs go through the joins.
+    ends = materialise(pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct())
+    sets = sets.join(ends, "class", "left_semi")
     left = sets.select(F.col("class").alias("a"), F.col("elements").alias("x"))
     right = sets.select(F.col("class").alias("b"), F.col("elements").alias("y"))
     both = F.size(F.array_intersect("x", "y"))
@@ -366,9 +369,11 @@ def near_documents(
 
 
 def sets_of(docs: DataFrame, classes: DataFrame, shingle: int) -> DataFrame:
-    """The sets of classes; a class's first document gives its set."""
-    wanted = materialise(classes.select("class", F.col("least").alias("doc_id"), "s1", "s2"))
-    texts = docs.join(wanted.select("doc_id").distinct(), docs["doc_id"].eqNullSafe(wanted["doc_id"]), "left_semi")
-    # Several documents can have the id, so the set's own hashes decide which one it is.
-    made = whole_sets(texts, shingle).join(wanted, ["s1", "s2"]).select("class", "elements").dropDuplicates(["class"])
-    return materialise(made)
+    """class, elements: the sets of classes, each from its first document.
+
+    Several documents can have that document's id; the sets of the others do no harm beside it.
+    """
+    wanted = materialise(classes.select(F.col("least").alias("doc_id")).distinct())
+    texts = docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["doc_id"]), "left_semi")
+    made = whole_sets(texts, shingle).select(F.xxhash64("s1", "s2").alias("class"), "elements")
+    return materialise(made.dropDuplicates(["class"]))
