@@ -20,8 +20,16 @@ DATETIME_FORMATS = [
     "yyyy-MM-dd'T'HH:mm:ss",
     "yyyy-MM-dd HH:mm:ss.SSSSSS",
     "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+    "yyyy-MM-dd HH:mm",
+    "yyyy-MM-dd'T'HH:mm",
+    "yyyy-MM-dd HH:mm:ssXXX",
+    "yyyy-MM-dd'T'HH:mm:ssXXX",
     "yyyy/MM/dd",
     "MM/dd/yyyy",
+    "yyyyMMdd",
+    "MMM d yyyy",
+    "MMM d, yyyy",
+    "d MMM yyyy",
 ]
 
 
@@ -84,6 +92,17 @@ def to_numeric_flexible(x: Column, data_type: T.DataType) -> Column:
     return F.lit(None).cast("double")
 
 
+def exact_integer(x: Column, data_type: T.DataType) -> Column:
+    """A whole number as bigint without a detour over double; NULL where x is not written as one."""
+    if isinstance(data_type, T.StringType):
+        return number_text(x).try_cast("bigint")
+    if isinstance(data_type, T.DecimalType):
+        return F.when(x == F.floor(x), x.try_cast("bigint"))
+    if is_numeric(data_type) and not is_fractional(data_type):
+        return x.cast("bigint")
+    return F.lit(None).cast("bigint")
+
+
 def numeric_null_token(x: Column, data_type: T.DataType) -> Column:
     """True where text stands for a missing number."""
     if isinstance(data_type, T.StringType):
@@ -100,13 +119,21 @@ def _ntz_from_micros(micros: Column) -> Column:
 
 
 def to_datetime(x: Column, data_type: T.DataType, formats: Sequence[str]) -> Column:
-    """Timestamp without zone; text by the first format that fits, numbers as epoch ns."""
+    """Timestamp without zone; text by the first format that fits, numbers as epoch ns.
+
+    Text with an offset (a format with X) becomes the time in UTC.
+    """
     if isinstance(data_type, (T.TimestampNTZType, T.TimestampType, T.DateType)):
         return x.cast("timestamp_ntz")
     if isinstance(data_type, T.StringType):
-        text = F.concat(F.trim(x), F.lit(" +0000"))
+        text = F.trim(x)
+        utc = F.concat(text, F.lit(" +0000"))
         parsed = F.coalesce(
-            *[F.try_to_timestamp(text, F.lit(f"{fmt} xx")) for fmt in formats]
+            *[
+                F.try_to_timestamp(text, F.lit(fmt)) if "X" in fmt
+                else F.try_to_timestamp(utc, F.lit(f"{fmt} xx"))
+                for fmt in formats
+            ]
         )
         return _ntz_from_micros(F.unix_micros(parsed))
     if is_fractional(data_type):

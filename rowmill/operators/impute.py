@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from rowmill.functions.columns import (
     col,
+    is_atomic,
     is_fractional,
     is_numeric,
     require_columns,
@@ -83,7 +84,7 @@ class Impute(Step):
             require_columns(df, [self.column])
             scope = [self.column]
         else:
-            scope = df.columns
+            scope = [f.name for f in df.schema if is_atomic(f.dataType)]
         lacking = set(columns_with_nulls(df))
         names = [c for c in scope if c in lacking]
         actions: list[Action] = []

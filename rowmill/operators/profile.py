@@ -159,6 +159,9 @@ def _distinct_key(x: Column, data_type: T.DataType) -> tuple[Column, Column]:
     """A number slot and a text slot that together identify a value."""
     if is_fractional(data_type):
         return double(x), F.lit(None).cast("string")
+    if isinstance(data_type, T.TimestampType):
+        # As text of a zone, the two passes of an hour that the clock repeats would be one.
+        return F.lit(None).cast("double"), F.unix_micros(x).cast("string")
     text = x.cast("string")
     if isinstance(data_type, T.StringType):
         text = F.when(F.octet_length(x) <= DIGEST_OVER_BYTES, x).otherwise(
@@ -383,7 +386,8 @@ def categorical_stats(
             "column string, distinct bigint, rows bigint, mode string, mode_count bigint, "
             "mode_share double",
         )
-    counts = count_values(df.select(*[col(c).cast("string").alias(c) for c in names]), names)
+    shown = nan_to_null(df.select(*[col(c) for c in names]))
+    counts = count_values(shown.select(*[col(c).cast("string").alias(c) for c in names]), names)
     order = F.struct(-F.col("n"), F.col("value").isNull(), F.col("value"))
     return (
         counts.groupBy("item")

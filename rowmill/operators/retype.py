@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from rowmill.functions.columns import ROW_ID, col, dtype_name, require_columns
 from rowmill.functions.scalars import (
     DATETIME_FORMATS,
+    exact_integer,
     integer_like,
     numeric_null_token,
     to_datetime,
@@ -41,8 +42,8 @@ class Retype(Step):
     The step is refused, with examples, when a value does not fit. Text numbers may use a decimal
     comma. Null tokens in text are valid missing values, or offending ones with
     `strict_tokens=True`. An int64 value may differ from a whole number by `atol` plus `rtol`
-    times its size. Text becomes a timestamp by the first of `formats` that fits; numbers are
-    nanoseconds since 1970.
+    times its size. Text becomes a timestamp by the first of `formats` that fits; `day_first` reads
+    MM/dd as dd/MM in all of them. Numbers are nanoseconds since 1970.
     """
 
     column: str
@@ -51,6 +52,7 @@ class Retype(Step):
     rtol: float = 0.0
     atol: float = 1e-8
     strict_tokens: bool = False
+    day_first: bool = False
 
     def __post_init__(self) -> None:
         if self.target not in TARGETS:
@@ -71,15 +73,19 @@ class Retype(Step):
         if self.target == "object":
             return x.cast("string")
         if self.target == "datetime64[ns]":
-            moment = to_datetime(x, data_type, self.formats)
+            formats = self.formats
+            if self.day_first:
+                formats = [f.replace("MM/dd", "dd/MM") for f in formats]
+            moment = to_datetime(x, data_type, formats)
             self._refuse_invalid(df, x.isNotNull() & moment.isNull(), "not a date")
             return moment
         number = to_numeric_flexible(x, data_type)
         invalid = x.isNotNull() & number.isNull()
         if not self.strict_tokens:
             invalid = invalid & ~numeric_null_token(x, data_type)
-        whole = F.rint(number).try_cast("bigint")
-        fractional = ~integer_like(number, self.rtol, self.atol) | whole.isNull()
+        exact = exact_integer(x, data_type)
+        whole = F.coalesce(exact, F.rint(number).try_cast("bigint"))
+        fractional = exact.isNull() & (~integer_like(number, self.rtol, self.atol) | whole.isNull())
         if self.target == "float64":
             self._refuse_invalid(df, invalid, "not a number")
             return number

@@ -65,11 +65,15 @@ def realign(current: DataFrame, prior: DataFrame, column: str, key: str) -> Data
     """Put the values of an earlier table back into one column, matched on the row key.
 
     Rows that were dropped since stay dropped. A pipeline restores without this join, as it carries
-    the prior values along; use it where only a saved table is at hand.
+    the prior values along; use it where only a saved table is at hand. A key that `prior` holds twice
+    is refused, as it would multiply rows.
     """
     require_columns(current, [column, key])
     require_columns(prior, [column, key])
-    old = prior.select(col(key), col(column).alias("__old"))
+    old = prior.where(col(key).isNotNull()).select(col(key), col(column).alias("__old"))
+    twice = old.groupBy(col(key)).count().where("count > 1").first()
+    if twice is not None:
+        raise StepRefused(f"{key}: {twice[0]} is the key of {twice[1]} rows of the prior table")
     joined = current.join(old, key, "left")
     return joined.select(
         *[col("__old").alias(column) if c == column else col(c) for c in current.columns]

@@ -27,6 +27,21 @@ class LogLine:
     rows_after: int | None = None
 
 
+def _keeping(column: str) -> Action:
+    def keep(df: DataFrame) -> DataFrame:
+        return df.withColumn(PRIOR_PREFIX + column, col(column))
+
+    return Action("keep", column, "values from before the retype", keep)
+
+
+def _restoring(column: str) -> Action:
+    def restore(df: DataFrame) -> DataFrame:
+        prior = PRIOR_PREFIX + column
+        return replace_columns(df, {column: col(prior)}).drop(prior)
+
+    return Action("restore", column, "values from before the retype", restore)
+
+
 class Pipeline:
     """The current table as a lazy plan over the source, with the steps that led to it.
 
@@ -71,11 +86,12 @@ class Pipeline:
         except StepRefused as refused:
             self._lines.append(LogLine("refused", getattr(step, "column", None), str(refused)))
             raise
-        plan, priors = self._plan, dict(self._priors)
+        plan, priors, kept = self._plan, dict(self._priors), []
         if isinstance(step, Retype) and actions and step.column not in priors:
             # Carry the values from before the first retype along, so that restoring is no join.
             priors[step.column] = dtype_name(plan.schema[step.column].dataType)
-            plan = plan.withColumn(PRIOR_PREFIX + step.column, col(step.column))
+            keep = _keeping(step.column)
+            plan, kept = keep.apply(plan), [keep]
         lines = []
         for action in actions:
             changed = action.apply(plan)
@@ -87,7 +103,7 @@ class Pipeline:
         # Nothing of the pipeline changes before the whole step has worked.
         self._plan, self._priors = plan, priors
         self._lines += lines
-        self._actions += actions
+        self._actions += kept + actions
         if isinstance(step, Retype):
             self._forget_if_back(step.column)
         return self
@@ -105,10 +121,11 @@ class Pipeline:
         """Undo the retypes of a column on the rows that are left, and later edits of it too."""
         if column not in self._priors or column not in self._plan.columns:
             return self
-        prior = col(PRIOR_PREFIX + column)
-        self._plan = replace_columns(self._plan, {column: prior})
-        self._forget(column)
-        self._lines.append(LogLine("restore", column, "values from before the retype"))
+        action = _restoring(column)
+        self._plan = action.apply(self._plan)
+        del self._priors[column]
+        self._actions.append(action)
+        self._lines.append(LogLine(action.op, column, action.detail))
         return self
 
     def reset(self) -> Pipeline:

@@ -10,10 +10,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
-from rowmill.functions.columns import nan_to_null
+from rowmill.functions.columns import PRIOR_PREFIX, nan_to_null
 from rowmill.plans.step import Action, apply_actions
 
 
 def replay(df: DataFrame, actions: Sequence[Action]) -> DataFrame:
     """Apply fitted changes to other rows of the same schema, batch or streaming."""
-    return apply_actions(nan_to_null(df), actions)
+    out = apply_actions(nan_to_null(df), actions)
+    return out.drop(*[c for c in out.columns if c.startswith(PRIOR_PREFIX)])

@@ -351,3 +351,71 @@ def test_realign(frame):
     prior = frame([(1, "a"), (2, "b"), (3, None)], "_row_id int, x string")
     now = prior.filter("_row_id > 1").selectExpr("_row_id", "'z' as x")
     assert column(rm.realign(now, prior, "x", "_row_id"), "x", "_row_id") == ["b", None]
+
+
+def test_whole_numbers_keep_all_their_digits(spark):
+    texts = spark.sql("select * from values ('9007199254740993'), ('-7'), ('12,0'), (null) t(x)")
+    got = [r.x for r in rm.Retype("x", "int64").run(texts).collect()]
+    assert got == [9007199254740993, -7, 12, None]
+    decimals = spark.sql("select cast('9007199254740993.00' as decimal(20, 2)) x")
+    assert rm.Retype("x", "int64").run(decimals).first().x == 9007199254740993
+    with pytest.raises(rm.StepRefused):
+        rm.Retype("x", "int64").run(spark.sql("select cast('1.50' as decimal(20, 2)) x"))
+
+
+@pytest.mark.parametrize(
+    "text, expected",
+    [
+        ("2024-01-01 10:30", "2024-01-01 10:30:00"),
+        ("2024-01-01T10:30:00Z", "2024-01-01 10:30:00"),
+        ("2024-01-01T10:30:00+02:00", "2024-01-01 08:30:00"),
+        ("20240105", "2024-01-05 00:00:00"),
+        ("Jan 5 2024", "2024-01-05 00:00:00"),
+        ("02/03/2024", "2024-02-03 00:00:00"),
+    ],
+)
+def test_common_dates(spark, text, expected):
+    df = rm.Retype("x", "datetime64[ns]").run(spark.createDataFrame([(text,)], "x string"))
+    assert str(df.first().x) == expected
+
+
+def test_day_first(spark):
+    dates = spark.createDataFrame([("13/02/2024",)], "x string")
+    with pytest.raises(rm.StepRefused):
+        rm.Retype("x", "datetime64[ns]").run(dates)
+    found = rm.Retype("x", "datetime64[ns]", day_first=True).run(dates).first().x
+    assert str(found) == "2024-02-13 00:00:00"
+
+
+def test_imputation_leaves_nested_columns(spark):
+    df = spark.sql("select * from values (1.0D, array(1)), (null, null) t(x, y)")
+    assert [(r.x, r.y) for r in rm.Impute().run(df).orderBy("y").collect()] == [(1.0, None), (1.0, [1])]
+
+
+def test_realign_refuses_repeated_keys(spark):
+    now = spark.createDataFrame([(1, "a")], "k int, x string")
+    before = spark.createDataFrame([(1, "b"), (1, "c")], "k int, x string")
+    with pytest.raises(rm.StepRefused):
+        rm.realign(now, before, "x", "k")
+
+
+def test_replay_after_restore(spark):
+    df = spark.createDataFrame([("1,5",), ("2",)], "x string")
+    p = rm.Pipeline(df)
+    p.apply(rm.Retype("x", "float64"))
+    assert rm.replay(df, p.actions).columns == ["x"]
+    p.restore("x")
+    again = rm.replay(df, p.actions)
+    assert again.schema == p.current.schema
+    assert sorted(r.x for r in again.collect()) == ["1,5", "2"]
+
+
+def test_instants_of_a_repeated_hour_and_nan(spark):
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+    try:
+        df = spark.sql("select timestamp_seconds(s) t from values (1729987200 + 1800), (1729990800 + 1800) v(s)")
+        assert rm.column_report(df).first().distinct == 2
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    values = spark.sql("select * from values (double('NaN')), (1.0D) v(x)")
+    assert rm.categorical_stats(values, ["x"]).first().distinct == 1
