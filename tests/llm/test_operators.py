@@ -273,6 +273,23 @@ def test_licences(docs):
     assert licences.find_licences(docs(texts), templates=()).where(F.size("findings") > 0).count() == 0
 
 
+def test_licences_across_lines_and_within_them(docs):
+    mit = (
+        'Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated '
+        'documentation files (the "Software"), to deal\nin the Software without restriction, including without limitation the rights\n'
+    )
+    texts = [
+        (1, "Some words first.\n\n" + mit + "to use, copy, modify, merge, publish, distribute, sublicense, and/or sell"),
+        (2, "This file is released under the MIT License. See LICENSE for details and the full terms of use."),
+        (3, "See below\nfor it: licensed under the GNU Lesser General\nPublic License, version 3. Other words follow it here, and more of them."),
+        (4, "Either of two. Licensed under CC BY 4.0. Or, if you like, it is also released under the MIT License. Take it."),
+        (5, "the license of the software and the rights of the public"), (6, "x\n" + mit), (6, "x\n" + mit),
+    ]
+    found = [(r.doc_id, r.lines) for r in licences.report(licences.find_licences(docs(texts))).orderBy("doc_id").collect()]
+    assert found[:5] == [(1, "2:MIT"), (2, "0:MIT"), (3, "1:LGPL-3.0"), (4, "0:CC-BY-4.0,0:MIT"), (5, "")]
+    assert found[5] == found[6] and "MIT" in found[5][1]
+
+
 def test_size_bounds_prune_nothing_that_passes():
     for size in range(1, 40):
         low, high = licences.bounds(size, 0.75)
