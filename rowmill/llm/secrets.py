@@ -31,6 +31,8 @@ class Rule:
     pattern: str
     version: int = 1
     needs: str = ""  # a text that every match holds; it spares the pattern where absent
+    matched: str = ""  # what is matched in place of pattern, if matches are dropped after they took their text
+    least: int = 0  # the characters that group 1 of such a match needs
 
     @property
     def key(self) -> str:
@@ -39,12 +41,15 @@ class Rule:
 
 # Published shapes of credentials. The minimal lengths are part of the patterns: a
 # match is always the whole run of its last class, so a run that is too short fails at every start.
+# Not so for assign, as a value can hold a keyword: a short value is matched first and then dropped.
 KEYWORDS = (
     "[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]"
     "|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy]"
 )
+ASSIGN = rf"(?:{KEYWORDS})[\"']?\x20*[:=]\x20*[\"']?"
+VALUE = "[A-Za-z0-9+/_.=-]"
 BASE_RULES = (
-    Rule("assign", rf"(?:{KEYWORDS})[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9+/_.=-]{{12,}}"),
+    Rule("assign", f"{ASSIGN}{VALUE}{{12,}}", version=2, matched=f"{ASSIGN}({VALUE}+)", least=12),
     Rule("access", "AKIA[A-Z0-9]{14,}", needs="AKIA"),
     Rule("hex", "[0-9a-f]{16,}"),
 )
@@ -65,14 +70,19 @@ def located(text: Column, rule: Rule, hits: Column) -> Column:
 
     The pieces between matches come from splitting at the rule; running lengths give the positions.
     """
-    pieces = F.split(text, rule.pattern, -1)
+    pattern = rule.matched or rule.pattern
+    pieces = F.split(text, pattern, -1)
     start = F.struct(F.lit(0).alias("at"), F.array().cast(FINDINGS).alias("found"))
 
     def step(state: Column, pair: Column) -> Column:
         begin = state["at"] + F.char_length(pair["piece"])
         end = begin + F.char_length(pair["hit"])
         found = F.struct(F.lit(rule.kind).alias("kind"), begin.alias("start"), end.alias("end"))
-        return F.struct(end.alias("at"), F.concat(state["found"], F.array(found)).alias("found"))
+        more = F.concat(state["found"], F.array(found))
+        if rule.matched:
+            long = F.char_length(F.regexp_extract(pair["hit"], pattern, 1)) >= rule.least
+            more = F.when(long, more).otherwise(state["found"])
+        return F.struct(end.alias("at"), more.alias("found"))
 
     pairs = F.zip_with(
         F.slice(pieces, 1, F.size(hits)), hits, lambda p, h: F.struct(p.alias("piece"), h.alias("hit"))
@@ -88,7 +98,7 @@ def scan(blobs: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
         due = ~F.array_contains("seen", r.key)
         if r.needs:
             due &= F.contains("content", F.lit(r.needs))
-        hits[f"hits{i}"] = F.when(due, F.regexp_extract_all("content", F.lit(r.pattern), 0))
+        hits[f"hits{i}"] = F.when(due, F.regexp_extract_all("content", F.lit(r.matched or r.pattern), 0))
         own = F.col(f"hits{i}")
         found.append(F.when(F.size(own) > 0, located(F.col("content"), r, own)).otherwise(none))
     keys = F.array(*[F.lit(r.key) for r in rules])
