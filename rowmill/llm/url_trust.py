@@ -8,7 +8,7 @@ against them from blocked seeds, so a host that links to blocked hosts shares th
     trust(h)    = seed(h) + damping * sum of trust(g) / links of g     over g that link to h
     distrust(h) = seed(h) + damping * sum of distrust(g) / links to g  over g that h links to
 
-Scores are not divided by the number of seeds, so thresholds mean the same at every size. A page without a
+Rounds go on until no score changes by TOLERANCE. Scores are not divided by the number of seeds, so thresholds mean the same at every size. A page without a
 rule is blocked if its host's distrust exceeds its trust by `threshold`.
 
 Links of a page's html count once per pair of hosts. Joins of a round salt the edges by their other end, so
@@ -36,8 +36,9 @@ RULES = (
 )
 DAMPING = 0.85
 THRESHOLD = 0.05
-ROUNDS = 30
+ROUNDS = 30  # of the SQL beside the query
 TOLERANCE = 1e-6
+MOST_ROUNDS = 1000  # 0.85^1000 is below any tolerance, so more are an error
 DIGITS = 9  # scores are compared at so many digits, as sums depend on the order of their terms
 SALTS = 16
 
@@ -92,7 +93,7 @@ def propagated(seeds: DataFrame, edges: DataFrame) -> DataFrame:
     edges = edges.select("a", "b", salt)
     seeds = seeds.select("host", F.lit(1.0).alias("score"))
     scores, shares = materialise(seeds), materialise(shares)
-    for _ in range(ROUNDS):
+    for _ in range(MOST_ROUNDS):
         sent = scores.join(shares, scores["host"] == shares["a"]).select(
             "a", (DAMPING * F.col("score") / F.col("n")).alias("score"),
             F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"),
@@ -104,8 +105,8 @@ def propagated(seeds: DataFrame, edges: DataFrame) -> DataFrame:
         scores = new.select("host", "score")
         change = new.agg(F.max(F.abs(F.col("score") - F.coalesce("old", F.lit(0.0))))).first()[0]
         if (change or 0.0) < TOLERANCE:
-            break
-    return scores
+            return scores
+    raise RuntimeError(f"scores still change by {change} after {MOST_ROUNDS} rounds")
 
 
 def judge(
