@@ -87,7 +87,7 @@ def emails(text: str) -> Iterator[tuple[int, int]]:
 def passes(kind: str, s: str) -> bool:
     d = digits_of(s)
     if kind == "ip":
-        return all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in s.split("."))
+        return all(len(p) <= 3 and int(p or "0") <= 255 for p in (part.lstrip("0") for part in s.split(".")))
     if kind == "card":
         return 13 <= len(d) <= 19 and luhn(d)
     return kind != "phone" or 9 <= len(d) <= 15
@@ -181,13 +181,15 @@ class Field:
         self.moves = np.zeros((len(LABELS), len(LABELS)))
         self.trained = False
 
-    def lattice(self, text: str, chunks: list[tuple[int, int]]) -> dict[tuple[int, int], list[int]]:
+    def segments(self, text: str, chunks: list[tuple[int, int]]) -> Iterator[tuple[tuple[int, int], list[int]]]:
         n = len(chunks)
-        return {
-            (i, j): features(text, chunks, i, j)
-            for i in range(n) for j in range(i + 1, min(i + LONGEST, n) + 1)
-            if j == i + 1 or text[chunks[i][0] : chunks[j - 1][1]].count("\n") == 0
-        }
+        for i in range(n):
+            for j in range(i + 1, min(i + LONGEST, n) + 1):
+                if j == i + 1 or text[chunks[i][0] : chunks[j - 1][1]].count("\n") == 0:
+                    yield (i, j), features(text, chunks, i, j)
+
+    def lattice(self, text: str, chunks: list[tuple[int, int]]) -> dict[tuple[int, int], list[int]]:
+        return dict(self.segments(text, chunks))
 
     def scores(self, text: str, chunks: list[tuple[int, int]], found: dict) -> dict[tuple[int, int], np.ndarray]:
         out = {}
@@ -243,7 +245,9 @@ class Field:
 
     def find(self, text: str, chunks: list[tuple[int, int]]) -> list[Span]:
         """The best segmentation's segments of a kind whose probability is at least SURE."""
-        n, scores = len(chunks), self.scores(text, chunks, self.lattice(text, chunks))
+        n, scores = len(chunks), {}
+        for segment, own in self.segments(text, chunks):  # islands can be long, so their features are not kept
+            scores |= self.scores(text, chunks, {segment: own})
         best = np.full((n + 1, len(LABELS)), -np.inf)
         back: dict[tuple[int, int], tuple[int, int]] = {}
         best[0, 0] = 0.0
@@ -341,8 +345,7 @@ def all_spans(text: str, field: Field) -> tuple[list[Span], list[Span]]:
     more = []
     if field.trained:
         for chunks in islands(text):
-            for at in range(0, len(chunks), 400):  # very long islands in parts
-                more += field.find(text, chunks[at : at + 400])
+            more += field.find(text, chunks)
     taken = sorted((b, e) for _, b, e in base)
     starts = [b for b, _ in taken]
     ends = list(np.maximum.accumulate([e for _, e in taken])) if taken else []
