@@ -15,10 +15,12 @@ least `percent` * union.
 3. In each band's bucket every class meets one pivot, chosen by a hash of class and band, so that twenty
    bands give different pivots and a bucket of m classes m pairs. The likeliest few of each class go on.
 4. In a bucket whose classes are still in several components, every class outside the bucket's largest
-   component meets every class of another component. Such buckets are cut into chunks, so that their work
-   spreads; a pair that bounds or sketches exclude never leaves the join.
+   component meets every class of another component. Each brings its differences from the bucket's pivot P:
+   m, the elements of P that it lacks, and x, those it has beyond P. As |A and B| = |P| - |mA or mB| +
+   |xA and xB|, pairs are compared exactly where they meet, and a block returns a spanning forest of the links
+   it confirms, at most one row per class. Buckets are cut into blocks of bounded size, so that they spread.
 5. A candidate pair is dropped if its bitmaps differ by `DEVIATIONS` standard deviations more than those of
-   a pair at the threshold do. All others are compared on their whole sets.
+   a pair at the threshold do. All others are compared on their whole sets, or on their differences.
 6. Links give components by alternating stars.
 
 A linked pair shares no band with probability (1 - 0.85^4)^20 < 3e-6.
@@ -30,7 +32,7 @@ copies of each other; a NULL id is larger than all others; an empty table gives
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +42,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rowmill.llm.components import components
+from rowmill.llm.vectors import spanning
 from rowmill.plans.storage import materialise
 
 SHINGLE = 3
@@ -49,7 +52,9 @@ BINS_LOG2 = 13
 SKETCH_WORDS = 16  # 64 bits each
 DEVIATIONS = 5.0
 TRIED = 3
-BLOCK = 512
+# Elements in the differences of a block's classes, a class counting ROW_WEIGHT more.
+BLOCK_WEIGHT, ROW_WEIGHT = 1 << 18, 256
+PART = 2048
 KNOWN_WORDS = 1 << 20
 
 SEED = 77
@@ -158,8 +163,12 @@ FEATURES = "n_shingles bigint, s1 bigint, s2 bigint, bands array<bigint>, filled
 
 
 def features(docs: DataFrame, shingle: int) -> DataFrame:
-    """doc_id, set size, two hashes of the set (NULL if empty), band keys, samples and bitmap of the sketch."""
-    schema = T.StructType([docs.schema["doc_id"], *T._parse_datatype_string(FEATURES).fields])
+    """doc_id, set size, two hashes of the set (NULL if empty), band keys, samples and bitmap of the sketch.
+
+    Columns after doc_id and text are carried.
+    """
+    carried = docs.schema.fields[2:]
+    schema = T.StructType([docs.schema["doc_id"], *T._parse_datatype_string(FEATURES).fields, *carried])
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
@@ -176,7 +185,8 @@ def features(docs: DataFrame, shingle: int) -> DataFrame:
             columns = list(zip(*rows)) if rows else [()] * 6
             kinds = [pa.int64()] * 3 + [pa.list_(pa.int64()), pa.int32(), pa.list_(pa.int64())]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *[pa.array(c, k) for c, k in zip(columns, kinds)]], names=schema.names
+                [batch.column(0), *[pa.array(c, k) for c, k in zip(columns, kinds)], *batch.columns[2:]],
+                names=schema.names,
             )
 
     return docs.mapInArrow(describe, schema)
@@ -274,17 +284,62 @@ def pivot_pairs(rows: DataFrame, about: DataFrame, percent: int) -> DataFrame:
     ).distinct()
 
 
-def rest_pairs(rows: DataFrame, about: DataFrame, percent: int) -> DataFrame:
-    """All possible pairs of classes of different components that share a bucket. rows: band, class, component."""
+def differences(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """class, pivot, pivot_size, missing, extra: the set of every class of `rows` beside that of its pivots."""
+    pairs = materialise(rows.select("class", "pivot").distinct())
+    ends = materialise(pairs.select("class").union(pairs.select("pivot")).distinct())
+    sets = materialise(sets.join(ends, "class", "left_semi"))
+    pivots = sets.select(F.col("class").alias("pivot"), F.col("elements").alias("whole"))
+    # The pivot of one bucket is that of most others its classes are in, so this is little more than one row each.
+    met = pairs.join(sets, "class").join(pivots, "pivot")
+    return materialise(
+        met.select(
+            "class", "pivot", F.size("whole").alias("pivot_size"),
+            F.array_except("whole", "elements").alias("missing"), F.array_except("elements", "whole").alias("extra"),
+        )
+    )
+
+
+def ragged(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """The row of each value of a list column, and the values."""
+    lists = column.combine_chunks()
+    return np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy())), lists.flatten().to_numpy()
+
+
+def overlaps(rows: tuple, values: tuple, shape: tuple[int, int]) -> np.ndarray:
+    """How many values the lists of the left rows share with those of the right rows."""
+    out = np.zeros(shape, dtype=np.float32)
+    common = np.intersect1d(*values)
+    for at in range(0, len(common), PART):
+        part, sides = common[at : at + PART], []
+        for r, v, n in zip(rows, values, shape):
+            place = np.minimum(np.searchsorted(part, v), len(part) - 1)
+            held = part[place] == v
+            side = np.zeros((n, len(part)), dtype=np.float32)
+            side[r[held], place[held]] = 1
+            sides.append(side)
+        out += sides[0] @ sides[1].T
+    return out
+
+
+def rest_links(rows: DataFrame, about: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links that join the components of classes which share a bucket. rows: band, class, component."""
     sizes = rows.groupBy("band", "component").agg(F.count("*").alias("k"))
-    mains = sizes.groupBy("band").agg(F.max(F.struct("k", "component")).alias("top"), F.sum("k").alias("m"))
-    blocks = [F.ceil(n / BLOCK).cast("int") for n in (F.col("m"), F.col("m") - F.col("top.k"))]
-    mains = materialise(
-        mains.select("band", F.col("top.component").alias("main"), blocks[0].alias("chunks"), blocks[1].alias("parts"))
+    mains = sizes.groupBy("band").agg(F.max(F.struct("k", "component"))["component"].alias("main"))
+    # One order of classes for all bands, so that a class has few pivots.
+    order = F.struct(F.xxhash64("class").alias("order"), "class")
+    pivots = rows.groupBy("band").agg(F.min(order)["class"].alias("pivot"))
+    rows = materialise(rows.join(materialise(mains.join(pivots, "band")), "band"))
+    apart = differences(rows, sets)
+    minor = F.col("component") != F.col("main")
+    rows = rows.join(apart.withColumn("weight", ROW_WEIGHT + F.size("missing") + F.size("extra")), ["class", "pivot"])
+    rows = materialise(rows)
+    weights = rows.groupBy("band").agg(
+        F.ceil(F.sum("weight") / BLOCK_WEIGHT).cast("int").alias("chunks"),
+        F.ceil(F.sum(F.when(minor, F.col("weight"))) / BLOCK_WEIGHT).cast("int").alias("parts"),
     )
     # All classes are cut into chunks and those outside the main component into parts; all chunks meet all parts.
     chunk, part = (F.pmod(F.xxhash64("class"), F.col(n)).cast("int") for n in ("chunks", "parts"))
-    minor = F.col("component") != F.col("main")
     as_left = F.transform(
         F.sequence(F.lit(0), F.col("parts") - 1),
         lambda p: F.struct(F.lit(False).alias("right"), chunk.alias("chunk"), p.alias("part")),
@@ -293,13 +348,15 @@ def rest_pairs(rows: DataFrame, about: DataFrame, percent: int) -> DataFrame:
         F.sequence(F.lit(0), F.col("chunks") - 1),
         lambda c: F.struct(F.lit(True).alias("right"), c.alias("chunk"), part.alias("part")),
     )
-    placed = rows.join(mains, "band").withColumn(
-        "at", F.explode(F.when(minor, F.concat(as_left, as_right)).otherwise(as_left))
-    )
     sketch = F.array(*[F.col("sketch")[f"w{i}"] for i in range(SKETCH_WORDS)])
-    placed = placed.join(about, "class").select(
-        "band", "at.*", "class", "component", minor.alias("minor"), "n_shingles", "shared", "filled",
-        sketch.alias("sketch"), "bands",
+    placed = (
+        rows.join(about, "class")
+        .join(materialise(weights), "band")
+        .withColumn("at", F.explode(F.when(minor, F.concat(as_left, as_right)).otherwise(as_left)))
+        .select(
+            "band", "at.*", "class", "component", minor.alias("minor"), "n_shingles", "shared", "filled",
+            sketch.alias("sketch"), "bands", "pivot_size", "missing", "extra",
+        )
     )
 
     def meet(group: pa.Table) -> pa.Table:
@@ -317,54 +374,85 @@ def rest_pairs(rows: DataFrame, about: DataFrame, percent: int) -> DataFrame:
         keys = lists["bands"]
         for t in range(int(np.flatnonzero(keys[:1] == group["band"][0].as_py())[0]) if len(group) else 0):
             ok &= keys[l, t][:, None] != keys[r, t][None, :]
-        i, j = (side[k] for side, k in zip((l, r), np.nonzero(ok)))
+        i, j = np.nonzero(ok)
         differ = np.zeros(len(i))
         # Unsigned, as numpy counts the bits of absolute values.
         for w in lists["sketch"].view(np.uint64).T:
-            differ += np.bitwise_count(w[i] ^ w[j])
-        numbers = [[of[c][i].astype(float), of[c][j].astype(float)] for c in ("n_shingles", "filled")]
+            differ += np.bitwise_count(w[l[i]] ^ w[r[j]])
+        numbers = [[of[c][l[i]].astype(float), of[c][r[j]].astype(float)] for c in ("n_shingles", "filled")]
         near = deviations(differ, *numbers, percent, Numbers) <= DEVIATIONS
-        a, b = of["class"][i[near]], of["class"][j[near]]
+        i, j = i[near], j[near]
+        # Only the classes of these pairs need their differences compared.
+        sides = [np.unique(k) for k in (i, j)]
+        shape = len(sides[0]), len(sides[1])
+        shared = {}
+        for name in ("missing", "extra"):
+            owner, values = ragged(group[name])
+            place = []
+            for side, own in zip((l, r), sides):
+                at = np.full(len(group), -1)
+                at[side[own]] = np.arange(len(own))
+                place.append(at[owner])
+            rows_in = [p[p >= 0] for p in place]
+            shared[name] = overlaps(rows_in, [values[p >= 0] for p in place], shape)
+            shared[name, "sizes"] = [np.bincount(p, minlength=n) for p, n in zip(rows_in, shape)]
+        either = shared["missing", "sizes"][0][:, None] + shared["missing", "sizes"][1] - shared["missing"]
+        both = (group["pivot_size"][0].as_py() if len(group) else 0) - either + shared["extra"]
+        size = [of["n_shingles"][side[own]] for side, own in zip((l, r), sides)]
+        asked = np.zeros(shape, dtype=bool)
+        asked[np.searchsorted(sides[0], i), np.searchsorted(sides[1], j)] = True
+        links = asked & (100 * both >= percent * (size[0][:, None] + size[1] - both))
+        tree = np.array(spanning(links), dtype=np.int64).reshape(-1, 2)
+        a, b = (of["class"][side[own[tree[:, k]]]] for k, (side, own) in enumerate(zip((l, r), sides)))
         return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
     return placed.groupBy("band", "chunk", "part").applyInArrow(meet, "a bigint, b bigint")
 
 
-def near_documents(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, percent: int = PERCENT
+def near_groups(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, percent: int = PERCENT,
+    carried: Sequence[str] = (),
 ) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id (its smallest id), kept (has this id)."""
-    docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    described = materialise(features(docs, shingle).withColumn("class", F.xxhash64("s1", "s2")))
-    full = described.where("n_shingles > 0")
-    classes = materialise(
-        full.groupBy("class").agg(
-            F.min("doc_id").alias("least"),
-            *[F.first(c).alias(c) for c in ("s1", "s2", "n_shingles", "bands", "filled", "sketch")],
-        )
+    """One row per document: doc_id, n_shingles, component_id (its smallest id), component, carried columns.
+
+    `component` tells components apart whose smallest ids are equal or NULL; it is NULL for empty sets.
+    """
+    docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), *[F.col(c) for c in carried])
+    described = materialise(features(docs, shingle))
+    sets_by = ["s1", "s2"]
+    found = described.where("n_shingles > 0").groupBy(*sets_by).agg(
+        F.min("doc_id").alias("least"),
+        *[F.first(c).alias(c) for c in ("n_shingles", "bands", "filled", "sketch")],
     )
+    # A number of its own for each pair of hashes: no two sets share one.
+    classes = materialise(found.withColumn("class", F.monotonically_increasing_id()))
     rows = busy(classes.select("class", F.explode("bands").alias("band")), "class")
-    sets = sets_of(docs, classes.join(rows.select("class").distinct(), "class", "left_semi"), shingle)
+    met = classes.join(rows.select("class").distinct(), "class", "left_semi")
+    sets = sets_of(docs.select("doc_id", "text"), met, shingle)
     about = materialise(described_classes(classes, sets, percent))
     rows = busy(rows.join(about.select("class"), "class", "left_semi"), "class")
     pairs = materialise(pivot_pairs(rows, about, percent))
     links = materialise(confirmed(pairs, sets, percent))
     labels = materialise(components(links)).withColumnRenamed("u", "class")
     labelled = rows.join(labels, "class", "left").withColumn("component", F.coalesce("component", "class"))
-    pairs = materialise(rest_pairs(busy(labelled, "component"), about, percent))
-    links = links.union(materialise(confirmed(pairs, sets, percent)))
+    links = links.union(materialise(rest_links(busy(labelled, "component"), about, sets, percent)))
     labels = components(links).withColumnRenamed("u", "class")
-    named = classes.select("class", "least").join(materialise(labels), "class", "left")
+    named = classes.select("class", *sets_by, "least").join(materialise(labels), "class", "left")
     named = materialise(named.withColumn("component", F.coalesce("component", "class")))
     first = materialise(named.groupBy("component").agg(F.min("least").alias("component_id")))
-    named = materialise(named.join(first, "component").select("class", "component_id"))
-    out = described.select(
-        "doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("class")).alias("class")
-    ).join(named, "class", "left")
-    component = F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select(
-        "doc_id", "n_shingles", component.alias("component_id"),
-        F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"),
+    named = materialise(named.join(first, "component").select(*sets_by, "component", "component_id"))
+    out = described.select("doc_id", "n_shingles", *sets_by, *carried).join(named, sets_by, "left")
+    own = F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+    return out.select("doc_id", "n_shingles", own.alias("component_id"), "component", *carried)
+
+
+def near_documents(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, percent: int = PERCENT
+) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id (its smallest id), kept (has this id)."""
+    return near_groups(docs, doc_id, text, shingle, percent).select(
+        "doc_id", "n_shingles", "component_id",
+        F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept"),
     )
 
 
@@ -375,5 +463,5 @@ def sets_of(docs: DataFrame, classes: DataFrame, shingle: int) -> DataFrame:
     """
     wanted = materialise(classes.select(F.col("least").alias("doc_id")).distinct())
     texts = docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["doc_id"]), "left_semi")
-    made = whole_sets(texts, shingle).select(F.xxhash64("s1", "s2").alias("class"), "elements")
-    return materialise(made.dropDuplicates(["class"]))
+    made = whole_sets(texts, shingle).dropDuplicates(["s1", "s2"])
+    return materialise(made.join(classes.select("s1", "s2", "class"), ["s1", "s2"]).select("class", "elements"))
