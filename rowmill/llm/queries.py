@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators and of the pipeline, on whole tables."""
+"""The registered queries of the operators, on whole tables."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowmill.llm import (
-    decontaminate, language, licences, minhash, packing, pii, secrets, toxicity, url_trust, vectors,
+    decontaminate, language, licences, minhash, packing, pii, ranked_search, secrets, toxicity, url_trust, vectors,
 )
 from rowmill.plans.storage import shared_folder
 
@@ -89,3 +89,9 @@ def op10_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     chain = toxicity.fit(docs, table(spark, sf, "labels"), CATEGORIES)
     found = toxicity.predict(docs, chain)
     return found.select("doc_id", "p_low_quality", "p_toxic", (F.col("p_toxic") >= 0.5).alias("toxic"))
+
+
+@query
+def op13_ranked_search(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return ranked_search.search(docs, table(spark, sf, "benchmark"))

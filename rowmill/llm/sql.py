@@ -203,3 +203,29 @@ SELECT doc_id, coalesce(n_findings, 0)::BIGINT AS n_findings, coalesce(licences,
        coalesce(lines, '') AS lines, coalesce(best, 0.0)::DOUBLE AS best
 FROM d LEFT JOIN found USING (r)
 """
+
+_TERMS = f"regexp_extract_all({LOWER}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+ORACLE["op13_ranked_search"] = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS ts FROM documents),
+sized AS (SELECT r, doc_id, ts, len(ts) AS n FROM d WHERE len(ts) > 0),
+total AS (SELECT count(*) AS n_docs, sum(n)::BIGINT AS len FROM sized),
+tf AS (SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(ts) AS t FROM sized) GROUP BY r, t),
+w AS (
+    SELECT t, floor(1000 * ln((2.0::DOUBLE * any_value(n_docs) + 2) / (2.0::DOUBLE * count(*) + 1)))::BIGINT AS w
+    FROM tf, total GROUP BY t
+),
+asked AS (
+    SELECT q, t, count(*) AS times
+    FROM (SELECT q, unnest(ts) AS t FROM (SELECT row_number() OVER () AS q, {_TERMS} AS ts FROM benchmark)) GROUP BY q, t
+),
+scored AS (
+    SELECT q, r, sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * n_docs) // len))))::BIGINT AS score
+    FROM asked JOIN w USING (t) JOIN tf USING (t) JOIN sized USING (r), total GROUP BY q, r
+),
+ranked AS (
+    SELECT q, doc_id, score, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id) AS rank
+    FROM scored JOIN sized USING (r) WHERE score > 0
+)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score
+FROM ranked JOIN (SELECT row_number() OVER () AS q, item_id FROM benchmark) USING (q) WHERE rank <= 10
+"""
