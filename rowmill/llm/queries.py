@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowmill.llm import (
-    decontaminate, language, licences, minhash, packing, pii, ranked_search, secrets, toxicity, url_trust, vectors,
+    decontaminate, language, licences, minhash, mixing, packing, pii, ranked_search, secrets, toxicity, url_trust, vectors,
 )
 from rowmill.plans.storage import shared_folder
 
@@ -91,6 +91,12 @@ def op10_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", "p_low_quality", "p_toxic", (F.col("p_toxic") >= 0.5).alias("toxic"))
 
 
+@query
+def op11_source_mix(spark: SparkSession, sf: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf, "documents").select("doc_id", "text", "source"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
 @query
 def op13_ranked_search(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
