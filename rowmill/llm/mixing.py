@@ -67,8 +67,8 @@ def apportioned(parties: DataFrame, keys: list[str]) -> DataFrame:
     settled, and the quotients inside the bracket are ranked, ties by a hash of the party.
     """
     half, seats, total = F.col("parties") / 2, F.col("seats"), F.col("total").cast("double")
-    high = F.when(seats > half, total / (seats - half) * (1 + 1e-9))
-    low = total / (seats + half) * (1 - 1e-9)
+    high = F.when(seats > half, F.try_divide(total, seats - half) * (1 + 1e-9))
+    low = F.try_divide(total, seats + half) * (1 - 1e-9)
     given = lambda d: F.floor(F.col("weight") / d + 0.5)
     sized = parties.withColumn("settled", F.coalesce(given(high), F.lit(0))).withColumn("most", given(low))
     first = F.array(F.struct(F.lit(float("inf")).alias("quotient"), F.col("settled").alias("seats_of")))
