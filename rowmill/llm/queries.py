@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowmill.llm import (
-    decontaminate, language, licences, minhash, mixing, packing, pii, ranked_search, secrets, toxicity, url_trust, vectors,
+    alignment, decontaminate, language, licences, minhash, mixing, packing, pii, ranked_search, secrets, toxicity, url_trust, vectors,
 )
 from rowmill.plans.storage import shared_folder
 
@@ -97,6 +97,12 @@ def op11_source_mix(spark: SparkSession, sf: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query
+def op12_tokenizer_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    found = alignment.linked(table(spark, sf, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 @query
 def op13_ranked_search(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
