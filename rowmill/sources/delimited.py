@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -13,6 +12,7 @@ from pyspark.sql import types as T
 from rowmill.functions.columns import ROW_ID, col
 from rowmill.functions.scalars import parse_number
 from rowmill.plans.storage import materialise
+from rowmill.sources.records import FILE, PLACE, Records, field_count
 
 # Choices of the separator menu; the last one stands for a text of one's own.
 SEPARATORS = {"comma": ",", "semicolon": ";", "tab": "\t", "custom": "|"}
@@ -33,13 +33,13 @@ ENCODINGS = {
 }
 FALLBACK = "latin1"
 
-# What Spark puts in the place of bytes it cannot decode.
-REPLACEMENT = "\ufffd"
-
 # Line ends of these take more than one byte, so Spark cannot cut their files into lines.
 WIDE_CHARSETS = ("UTF-16", "UTF-16LE", "UTF-16BE", "UTF-32")
 
-_SURPLUS = "__surplus"
+# Different first lines that the files of one table may have.
+HEADERS = 1000
+
+_SURPLUS, _AT = "__surplus", "__at"
 
 
 @dataclass(frozen=True)
@@ -90,29 +90,20 @@ def encodings_to_try(encoding: str | None) -> list[str]:
     return [n for n in names if n in ENCODINGS]
 
 
-def _undecodable(spark: SparkSession, path: str | Sequence[str], charset: str) -> bool:
-    """Whether some bytes are not valid in UTF-8 or ASCII; other encodings are trusted."""
-    value = F.col("value")
-    if charset == "UTF-8":
-        bad = ~F.is_valid_utf8(value)
-    elif charset == "US-ASCII":
-        bad = F.octet_length(value) != F.char_length(value)
-    else:
-        return False
-    return bool(spark.read.text(path).filter(bad).limit(1).count())
-
-
 def _unique_names(names: Sequence[str | None]) -> list[str]:
-    """Header names made usable: empty ones are numbered, repeated ones get .1, .2, ..."""
+    """Header names made usable: empty ones are numbered, repeated ones get .1, .2, ...
+
+    Names that differ by case alone count as repeated, as Spark would not tell them apart.
+    """
     taken: set[str] = set()
     out = []
     for i, name in enumerate(names):
         name = name if name else f"Unnamed: {i}"
         candidate, again = name, 0
-        while candidate in taken:
+        while candidate.lower() in taken:
             again += 1
             candidate = f"{name}.{again}"
-        taken.add(candidate)
+        taken.add(candidate.lower())
         out.append(candidate)
     return out
 
@@ -175,71 +166,93 @@ def _without_tokens(x: Column) -> Column:
     return F.when(~x.isin(NULL_TOKENS), x)
 
 
-def _split_lines(
-    spark: SparkSession, path: str | Sequence[str], separator: str, header: bool, charset: str
-) -> tuple[DataFrame, list[str | None]]:
-    """Fields of every line as __0, __1, ..., for a separator that is a regular expression."""
-    # The CSV reader with a separator that no line holds yields decoded whole lines.
-    lines = spark.read.csv(
-        path, schema="value string", sep="\u0001", quote="\u0000", encoding=charset,
-        header=False, mode="PERMISSIVE", ignoreLeadingWhiteSpace=False,
-        ignoreTrailingWhiteSpace=False, multiLine=charset in WIDE_CHARSETS,
-    ).filter("value is not null")
-    head = lines.first()
-    if head is None:
-        return lines.limit(0).select(F.lit("").alias("__0")), []
-    first = re.split(separator, head["value"])
-    if header:
-        lines = _skip_headers(spark, path, charset, lines)
-    fields = F.split("value", separator, -1)
-    width = len(first)
-    parts = [F.get(fields, i).alias(f"__{i}") for i in range(width)]
-    surplus = F.when(F.size(fields) > width, F.get(fields, width)).alias(_SURPLUS)
-    split = lines.select(*parts, surplus)
-    return split, list(first)
-
-
-def _skip_headers(
-    spark: SparkSession, path: str | Sequence[str], charset: str, lines: DataFrame
-) -> DataFrame:
-    return spark.read.csv(
-        path, schema="value string", sep="\u0001", quote="\u0000", encoding=charset,
-        header=True, enforceSchema=True, mode="PERMISSIVE", ignoreLeadingWhiteSpace=False,
-        ignoreTrailingWhiteSpace=False, multiLine=charset in WIDE_CHARSETS,
-    ).filter("value is not null")
-
-
-def _first_fields(
-    spark: SparkSession, path: str | Sequence[str], separator: str, charset: str, multiline: bool
-) -> list[str | None]:
-    head = spark.read.csv(
-        path, sep=separator, encoding=charset, header=False, inferSchema=False, multiLine=multiline
-    )
-    row = head.first()
-    return list(row) if row is not None else []
+def _fields_of(text: Column, separator: str, width: int) -> list[Column]:
+    """The fields of a record by the rules of quoted text."""
+    schema = T.StructType([T.StructField(f"f{i}", T.StringType()) for i in range(width)])
+    # A quoted carriage return or line feed stays as it is.
+    options = {"sep": separator, "escape": '"', "multiLine": "true", "mode": "PERMISSIVE"}
+    parsed = F.from_csv(text, schema.simpleString(), options)
+    return [parsed[f"f{i}"] for i in range(width)]
 
 
-def _read_fields(
-    spark: SparkSession, path: str | Sequence[str], separator: str, header: bool, charset: str,
-    regex_separator: bool, multiline: bool,
+def _head_fields(spark: SparkSession, heads: Sequence[str], separator: str, regex: bool) -> list[list[str | None]]:
+    """The fields of first records, split as all others are."""
+    rows = spark.createDataFrame([(i, h) for i, h in enumerate(heads)], "i int, value string")
+    if regex:
+        rows = rows.select("i", F.split("value", separator, -1).alias("fields"))
+    else:
+        width = rows.agg(F.max(field_count(F.col("value"), separator))).first()[0]
+        own = field_count(F.col("value"), separator)
+        fields = F.slice(F.array(*_fields_of(F.col("value"), separator, width)), F.lit(1), own)
+        rows = rows.select("i", fields.alias("fields"))
+    return [r.fields for r in rows.orderBy("i").collect()]
+
+
+def _orders(names: list[list[str]], files: list[str]) -> list[list[int]]:
+    """Where each header's file has the columns of the first one."""
+    out = []
+    for own, file in zip(names, files):
+        if sorted(own) != sorted(names[0]):
+            raise ValueError(f"the columns of {file} differ from those of {files[0]}: {own}, not {names[0]}")
+        out.append([own.index(n) for n in names[0]])
+    return out
+
+
+def _wide_fields(
+    spark: SparkSession, path: str | Sequence[str], separator: str, header: bool, charset: str
 ) -> tuple[DataFrame, list[str | None]]:
-    """All rows as text columns __0, __1, ... and the surplus field; and the first line."""
-    if regex_separator:
-        return _split_lines(spark, path, separator, header, charset)
-    first = _first_fields(spark, path, separator, charset, multiline)
+    """Rows of files whose line ends take more than a byte, which Spark reads whole; and the first line."""
+    row = spark.read.csv(path, sep=separator, encoding=charset, header=False, inferSchema=False, multiLine=True).first()
+    first = list(row) if row is not None else []
     fields = [T.StructField(f"__{i}", T.StringType()) for i in range(len(first))]
     text = spark.read.csv(
-        path,
-        schema=T.StructType([*fields, T.StructField(_SURPLUS, T.StringType())]),
-        sep=separator,
-        encoding=charset,
-        header=header,
-        enforceSchema=True,
-        mode="PERMISSIVE",
-        multiLine=multiline,
-        escape='"',
+        path, schema=T.StructType([*fields, T.StructField(_SURPLUS, T.StringType())]), sep=separator,
+        encoding=charset, header=header, enforceSchema=True, mode="PERMISSIVE", multiLine=True, escape='"',
     )
-    return text, first
+    return text.withColumn(_SURPLUS, F.col(_SURPLUS).isNotNull()), first
+
+
+def _narrow_fields(
+    spark: SparkSession, path: str | Sequence[str], separator: str, header: bool, encodings: list[str], regex: bool
+) -> tuple[DataFrame, list[str | None], str]:
+    """Rows of all other files, in reading order by __at; the first line; the encodings in use."""
+    records = Records(spark, path, None if regex else separator, {n: ENCODINGS[n] for n in encodings})
+    heads = records.heads(None if regex else separator, HEADERS + 1 if header else 1)
+    if not heads:
+        raise ValueError(f"no columns to read in {path}")
+    if len(heads) > HEADERS:
+        raise ValueError(f"more than {HEADERS} different first lines in {path}")
+    fields = _head_fields(spark, [h for h, _ in heads], separator, regex)
+    first, width = fields[0], len(fields[0])
+    rows, value = records.rows, F.col("value")
+    if regex:
+        split = F.split(value, separator, -1)
+        own, count = [F.get(split, i) for i in range(width)], F.size(split)
+    else:
+        own, count = _fields_of(value, separator, width), field_count(value, separator)
+    if header:
+        orders = _orders([_unique_names(f) for f in fields], [f for _, f in heads])
+        distinct = sorted(set(map(tuple, orders)))
+        if len(distinct) > 1:
+            names = {i: o for i, o in enumerate(distinct)}
+            kinds = [(h, distinct.index(tuple(o))) for (h, _), o in zip(heads, orders)]
+            rows = rows.join(_header_kinds(spark, records, kinds), FILE)
+            own = [_by_kind([own[o[k]] for o in names.values()]) for k in range(width)]
+        rows = rows.where(~records.is_first())
+    at = F.struct(FILE, *PLACE).alias(_AT)
+    text = rows.select(*[c.alias(f"__{i}") for i, c in enumerate(own)], (count > width).alias(_SURPLUS), at)
+    return text, first, ", ".join(records.encodings())
+
+
+def _header_kinds(spark: SparkSession, records: Records, kinds: list[tuple[str, int]]) -> DataFrame:
+    """Each file and the number of its order of columns; the lists of both are short."""
+    known = spark.createDataFrame(kinds, "value string, __kind int")
+    first = records.rows.where(records.is_first()).select(FILE, "value")
+    return materialise(first.join(F.broadcast(known), "value").select(FILE, "__kind"))
+
+
+def _by_kind(columns: list[Column]) -> Column:
+    return F.element_at(F.array(*columns), F.col("__kind") + 1)
 
 
 def read_delimited(
@@ -249,51 +262,45 @@ def read_delimited(
     header: bool = True,
     encoding: str | None = "utf-8",
     regex_separator: bool = False,
-    multiline: bool = False,
+    multiline: bool = True,
     infer: bool = True,
     row_id: bool = False,
 ) -> Loaded:
     """Read one file, a folder or a list of files of delimited text.
 
-    The wanted encoding is tried first, then utf-8, then latin1. A row with more fields than the
-    first one is an error, a shorter one is filled with NULL. Without a header the columns are
-    called "0", "1", ... With `row_id` the table is written once with an id per row in reading
-    order. `multiline` allows line breaks inside quotes, at the price of one task per file; UTF-16
-    and UTF-32 files are always read that way.
+    Every file is read in the first encoding that all its bytes are valid in: the wanted one, utf-8,
+    latin1. A row with more fields than the first one is an error, also if they are empty; a shorter one
+    is filled with NULL. Files whose columns come in another order are read by name, other columns
+    are an error. Without a header the columns are called "0", "1", ... Quoted fields may hold line breaks
+    (a regular expression as separator knows no quotes); an open quote at the end of a file is an error. All
+    this takes many tasks per file, but for UTF-16 and UTF-32, which are read by one each and alone.
+    With `row_id` the table is written once with an id per row in reading order. `multiline` has no effect
+    any more.
     """
     separator = resolve_separator(separator)
-    for name in encodings_to_try(encoding):
-        charset = ENCODINGS[name]
-        text, first = _read_fields(
-            spark, path, separator, header, charset, regex_separator,
-            multiline or charset in WIDE_CHARSETS,
-        )
+    tried = encodings_to_try(encoding)
+    if ENCODINGS[tried[0]] in WIDE_CHARSETS:
+        name = tried[0]
+        if regex_separator:
+            raise ValueError(f"a regular expression cannot separate {name}")
+        text, first = _wide_fields(spark, path, separator, header, ENCODINGS[name])
         if not first:
             raise ValueError(f"no columns to read in {path}")
-        names = _unique_names(first) if header else [str(i) for i in range(len(first))]
-        cleaned = text.select(
-            *[_without_tokens(F.col(f"__{i}")).alias(n) for i, n in enumerate(names)], _SURPLUS
-        )
-        # One pass answers three questions: are there longer rows, may bytes have been replaced
-        # in decoding, and which types fit.
-        suspect = F.lit(False)
-        for c in cleaned.columns:
-            suspect = suspect | F.coalesce(F.contains(col(c), F.lit(REPLACEMENT)), F.lit(False))
-        tests = _type_tests(names) if infer else []
-        too_long, replaced, *found = cleaned.agg(
-            F.count(F.col(_SURPLUS)), F.count_if(suspect), *tests
-        ).first()
-        replaced = replaced or any(REPLACEMENT in (t or "") for t in first)
-        if replaced and _undecodable(spark, path, charset):
-            continue
-        if too_long:
-            raise ValueError(f"{too_long} rows have more than {len(names)} fields")
-        break
-    df = cleaned.drop(_SURPLUS)
-    if infer:
-        df = df.select(*_typed(df, names, found))
-    if row_id:
-        df = with_row_id(df)
+    else:
+        text, first, name = _narrow_fields(spark, path, separator, header, tried, regex_separator)
+    names = _unique_names(first) if header else [str(i) for i in range(len(first))]
+    kept = [c for c in (_SURPLUS, _AT) if c in text.columns]
+    cleaned = text.select(*[_without_tokens(F.col(f"__{i}")).alias(n) for i, n in enumerate(names)], *kept)
+    # One pass answers both questions: are there longer rows, and which types fit.
+    too_long, *found = cleaned.agg(F.count_if(F.col(_SURPLUS)), *(_type_tests(names) if infer else [])).first()
+    if too_long:
+        raise ValueError(f"{too_long} rows have more than {len(names)} fields")
+    columns = _typed(cleaned, names, found) if infer else [col(n) for n in names]
+    if row_id and _AT in kept:
+        df = with_row_id(cleaned.select(*columns, _AT).orderBy(_AT)).drop(_AT)
+    else:
+        df = cleaned.select(*columns)
+        df = with_row_id(df) if row_id else df
     shown = path if isinstance(path, str) else ", ".join(path)
     return Loaded(df, shown, separator, header, name)
 
