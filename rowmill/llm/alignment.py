@@ -27,7 +27,6 @@ import hashlib
 from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -61,8 +60,9 @@ class Vocabularies:
             b"" if self.b.is_control(k) else bytes([int(p[3:-1], 16)]) if self.b.is_byte(k) else p.replace(BLANK, " ").encode()
             for k, p in enumerate(map(self.b.id_to_piece, range(self.b.vocab_size())))
         ]
-        self.a_sizes, self.b_sizes = (list(map(len, v)) for v in (self.a_bytes, self.b_bytes))
-        self.a_names, self.b_names = (list(map(str, range(len(v)))) for v in (self.a_bytes, self.b_bytes))
+        self.sizes = [np.array(list(map(len, v)), dtype=np.int64) for v in (self.a_bytes, self.b_bytes)]
+        marks = (self.a_bytes, ","), (self.a_bytes, "|"), (self.b_bytes, ","), (self.b_bytes, ";")
+        self.texts = [f"{k}{mark}" for tokens, mark in marks for k in range(len(tokens))]
         self.pairs = self.possible()
 
     def possible(self) -> np.ndarray:
@@ -97,9 +97,25 @@ class Vocabularies:
             return [], []
         a = self.a.encode_ordinary(" " + text)
         b = self.b.encode(text, num_threads=1)
-        same = all(b"".join(map(v.__getitem__, k)) == whole for v, k in ((self.a_bytes, a), (self.b_bytes, b)))
+        same = self.a.decode_bytes(a) == whole and b"".join(map(self.b_bytes.__getitem__, b)) == whole
         return (a, b) if same else ([], [])
 
+    def digest(self, a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray) -> str:
+        """SHA-256 of the groups `a1,a2|b1;a3|b2,b3`; empty without tokens.
+
+        Every id is a text with the mark that follows it; ids of B lie behind all ids of A up to their group's end.
+        """
+        if not len(i):
+            return ""
+        written = np.empty(len(a) + len(b), dtype=np.int64)
+        a, b = a.copy(), b + 2 * len(self.a_bytes)
+        a[i] += len(self.a_bytes)
+        b[j] += len(self.b_bytes)
+        before = np.concatenate([[0], j[:-1] + 1])
+        written[np.arange(len(a)) + np.repeat(before, np.diff(i, prepend=-1))] = a
+        written[np.arange(len(b)) + np.repeat(i + 1, np.diff(j, prepend=-1))] = b
+        return hashlib.sha256("".join(map(self.texts.__getitem__, written.tolist()))[:-1].encode()).hexdigest()
+
     def numbers(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """The numbers of linked pairs."""
         return np.searchsorted(self.pairs, a.astype(np.int64) * len(self.b_bytes) + b).astype(np.int32)
@@ -115,42 +131,33 @@ def common(short: list[int], long: list[int]) -> tuple[list[int], list[int]]:
     at, size = 0, len(long)
     i, j = [], []
     for k, value in enumerate(short):
-        # Gallop: the first place that is not smaller lies in (at + step / 2, at + step].
-        step = 1
-        while at + step < size and long[at + step] < value:
-            step *= 2
-        at = bisect_left(long, value, at, min(at + step + 1, size)) if long[at] < value else at
         if at == size:
             break
-        if long[at] == value:
+        found = long[at]
+        if found < value:
+            # Gallop: the first place that is not smaller lies in (at + step / 2, at + step].
+            step = 1
+            while at + step < size and long[at + step] < value:
+                step *= 2
+            at = bisect_left(long, value, at + step // 2 + 1, min(at + step, size))
+            if at == size:
+                break
+            found = long[at]
+        if found == value:
             i.append(k)
             j.append(at)
+            at += 1
     return i, j
 
 
-def aligned(a_sizes: list[int], b_sizes: list[int]) -> tuple[list[int], list[int]]:
-    """The ranks in both token lists of the tokens that end together."""
-    a, b = list(accumulate(a_sizes)), list(accumulate(b_sizes))
+def aligned(a: list[int], b: list[int]) -> tuple[list[int], list[int]]:
+    """The ranks of the tokens that end together, from the ends of both lists of tokens."""
     if len(a) <= len(b):
         return common(a, b)
     j, i = common(b, a)
     return i, j
 
 
-def digest(a: list[str], b: list[str], i: list[int], j: list[int]) -> str:
-    """SHA-256 of the groups `a1,a2|b1;a3|b2,b3`; empty without tokens."""
-    if not i:
-        return ""
-    parts, x, y = [], 0, 0
-    for p, q in zip(i, j):
-        if p == x and q == y:
-            parts.append(f"{a[x]}|{b[y]}")
-        else:
-            parts.append(f"{','.join(a[x : p + 1])}|{','.join(b[y : q + 1])}")
-        x, y = p + 1, q + 1
-    return hashlib.sha256(";".join(parts).encode()).hexdigest()
-
-
 def groups_of(a: list[int], b: list[int], i: list[int], j: list[int]) -> list[dict]:
     """The token ids of both sides of every group."""
     return [
@@ -176,15 +183,15 @@ def align(
             for part in (batch.slice(at, 512) for at in range(0, len(batch), 512)):
                 figures, groups, ends, last_a, last_b = [], [], [0], [], []
                 for value in part.column(1):
-                    x, y = both.tokens(value.as_py())
-                    i, j = aligned([both.a_sizes[k] for k in x], [both.b_sizes[k] for k in y])
-                    names = [both.a_names[k] for k in x], [both.b_names[k] for k in y]
-                    figures.append((len(x), len(y), len(i), digest(*names, i, j)))
-                    groups.append(groups_of(x, y, i, j) if with_groups else None)
-                    last_a += [x[k] for k in i]
-                    last_b += [y[k] for k in j]
-                    ends.append(len(last_a))
-                numbers = both.numbers(np.array(last_a, dtype=np.int64), np.array(last_b, dtype=np.int64))
+                    x, y = (np.array(k, dtype=np.int64) for k in both.tokens(value.as_py()))
+                    found = aligned(*(sizes[k].cumsum().tolist() for sizes, k in zip(both.sizes, (x, y))))
+                    i, j = (np.array(k, dtype=np.int64) for k in found)
+                    figures.append((len(x), len(y), len(i), both.digest(x, y, i, j)))
+                    groups.append(groups_of(x.tolist(), y.tolist(), *found) if with_groups else None)
+                    last_a.append(x[i])
+                    last_b.append(y[j])
+                    ends.append(ends[-1] + len(i))
+                numbers = both.numbers(np.concatenate(last_a), np.concatenate(last_b))
                 kinds = [pa.int64()] * 3 + [pa.string()]
                 columns = [pa.array(c, k) for c, k in zip(zip(*figures), kinds)]
                 links = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(numbers))
