@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -26,6 +27,10 @@ DATETIME_FORMATS = [
     "yyyy-MM-dd'T'HH:mm:ssXXX",
     "yyyy/MM/dd",
     "MM/dd/yyyy",
+    "dd/MM/yyyy",
+    "MM-dd-yyyy",
+    "dd-MM-yyyy",
+    "dd.MM.yyyy",
     "yyyyMMdd",
     "MMM d yyyy",
     "MMM d, yyyy",
@@ -64,15 +69,21 @@ def integer_like(x: Column, rtol: float, atol: float) -> Column:
 
 def parse_number(text: Column) -> Column:
     """Strict number parsing: NULL unless the whole text is a number or an infinity."""
-    # Spark itself also accepts type suffixes such as '1d' and '1f', hexadecimal and NaN. Looking
-    # for their letters is far cheaper than a pattern.
-    number, lower = text.try_cast("double"), F.lower(text)
+    # Spark itself also accepts type suffixes such as '1d' and '1f', hexadecimal and NaN. A cast that
+    # fails raises inside, so only text of the right characters is tried.
+    number = text.try_cast("double")
+    infinite = F.lower(F.ltrim(text, F.lit("+-"))).isin("inf", "infinity")
+    return F.when(made_of(text, "0123456789+-.eE"), number).when(infinite, number)
 
-    def has(letters: str) -> Column:
-        return F.contains(lower, F.lit(letters))
 
-    odd = has("d") | has("x") | (has("f") & ~has("inf")) | F.isnan(number)
-    return F.when(~odd, number)
+def made_of(text: Column, characters: str) -> Column:
+    """Whether a text holds these characters and blanks alone."""
+    return F.translate(text, characters + " \t\r\n", "") == ""
+
+
+def parse_integer(text: Column) -> Column:
+    """A whole number written as one, as bigint; NULL otherwise."""
+    return F.when(made_of(text, "0123456789+-"), text.try_cast("bigint"))
 
 
 def number_text(x: Column) -> Column:
@@ -95,7 +106,7 @@ def to_numeric_flexible(x: Column, data_type: T.DataType) -> Column:
 def exact_integer(x: Column, data_type: T.DataType) -> Column:
     """A whole number as bigint without a detour over double; NULL where x is not written as one."""
     if isinstance(data_type, T.StringType):
-        return number_text(x).try_cast("bigint")
+        return parse_integer(number_text(x))
     if isinstance(data_type, T.DecimalType):
         return F.when(x == F.floor(x), x.try_cast("bigint"))
     if is_numeric(data_type) and not is_fractional(data_type):
@@ -118,22 +129,58 @@ def _ntz_from_micros(micros: Column) -> Column:
     return F.expr("timestamp_ntz'1970-01-01 00:00:00'") + F.make_dt_interval(secs=seconds)
 
 
+# What the letters of a format stand for, by how often they are repeated; any other letter for anything.
+_DIGITS = "yMdHhmsS"
+
+
+def format_shape(fmt: str) -> str:
+    """A pattern that every text of a date format has."""
+    out = []
+    for quoted, letters, other in re.findall(r"'([^']*)'|(([A-Za-z])\3*|[^A-Za-z'])", fmt):
+        n = len(letters)
+        if quoted or not letters[:1].isalpha():
+            out.append(re.escape(quoted or letters))
+        elif other == "M" and n > 2:
+            out.append("[A-Za-z]{3}" if n == 3 else "[A-Za-z]+")
+        elif other in _DIGITS:
+            out.append(f"[0-9]{{{n}}}" if n > 1 else "[0-9]{1,2}")
+        else:
+            out.append(".+")
+    return "^" + "".join(out) + "$"
+
+
+def parse_moment(text: Column, fmt: str) -> Column:
+    """Trimmed text as a timestamp by one format, NULL if it does not fit; text with an offset (X) in UTC."""
+    if "X" in fmt:
+        return F.try_to_timestamp(text, F.lit(fmt))
+    return F.try_to_timestamp(F.concat(text, F.lit(" +0000")), F.lit(f"{fmt} xx"))
+
+
+def format_bits(text: Column, formats: Sequence[str]) -> Column:
+    """The set of formats a trimmed text fits, one bit each; a parser only runs where the shape is right."""
+    by_shape: dict[str, list[int]] = {}
+    for k, fmt in enumerate(formats):
+        by_shape.setdefault(format_shape(fmt), []).append(k)
+    bits = F.lit(0).cast("long")
+    for shape, fits in by_shape.items():
+        own = F.lit(0).cast("long")
+        for k in fits:
+            own = own.bitwiseOR(F.when(parse_moment(text, formats[k]).isNotNull(), F.lit(1 << k).cast("long")).otherwise(0))
+        bits = bits.bitwiseOR(F.when(text.rlike(shape), own).otherwise(0))
+    return bits
+
+
 def to_datetime(x: Column, data_type: T.DataType, formats: Sequence[str]) -> Column:
-    """Timestamp without zone; text by the first format that fits, numbers as epoch ns.
+    """Timestamp without zone; text by the first of its formats, numbers as epoch ns.
 
-    Text with an offset (a format with X) becomes the time in UTC.
+    One format is one parse per value; with several, a text is parsed by the first that it fits.
     """
     if isinstance(data_type, (T.TimestampNTZType, T.TimestampType, T.DateType)):
         return x.cast("timestamp_ntz")
     if isinstance(data_type, T.StringType):
         text = F.trim(x)
-        utc = F.concat(text, F.lit(" +0000"))
-        parsed = F.coalesce(
-            *[
-                F.try_to_timestamp(text, F.lit(fmt)) if "X" in fmt
-                else F.try_to_timestamp(utc, F.lit(f"{fmt} xx"))
-                for fmt in formats
-            ]
+        parsed = parse_moment(text, formats[0]) if len(formats) == 1 else F.coalesce(
+            *[F.when(text.rlike(format_shape(f)), parse_moment(text, f)) for f in formats]
         )
         return _ntz_from_micros(F.unix_micros(parsed))
     if is_fractional(data_type):

@@ -7,11 +7,13 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rowmill.functions.columns import ROW_ID, col, dtype_name, require_columns
 from rowmill.functions.scalars import (
     DATETIME_FORMATS,
     exact_integer,
+    format_bits,
     integer_like,
     numeric_null_token,
     to_datetime,
@@ -42,8 +44,9 @@ class Retype(Step):
     The step is refused, with examples, when a value does not fit. Text numbers may use a decimal
     comma. Null tokens in text are valid missing values, or offending ones with
     `strict_tokens=True`. An int64 value may differ from a whole number by `atol` plus `rtol`
-    times its size. Text becomes a timestamp by the first of `formats` that fits; `day_first` reads
-    MM/dd as dd/MM in all of them. Numbers are nanoseconds since 1970.
+    times its size. Text becomes a timestamp by the one of `formats` that fits all values; if several
+    do, the first of them counts (with `day_first` the first with the day before the month), and
+    the log names the others. `mixed=True` lets every value choose. Numbers are nanoseconds since 1970.
     """
 
     column: str
@@ -53,6 +56,7 @@ class Retype(Step):
     atol: float = 1e-8
     strict_tokens: bool = False
     day_first: bool = False
+    mixed: bool = False
 
     def __post_init__(self) -> None:
         if self.target not in TARGETS:
@@ -62,10 +66,15 @@ class Retype(Step):
         require_columns(df, [self.column])
         data_type = df.schema[self.column].dataType
         before = dtype_name(data_type)
-        converted = self._checked(df)
         if before == self.target:
             return []
         detail = f"{before} -> {self.target}"
+        if self.target == "datetime64[ns]" and isinstance(data_type, T.StringType) and not self.mixed:
+            fmt, others = self._one_format(df)
+            converted = self._moment(df, [fmt])
+            detail += f" by {fmt}" + (f", {', '.join(others)} would fit as well" if others else "")
+        else:
+            converted = self._checked(df)
         return [Action("retype", self.column, detail, replacing({self.column: converted}))]
 
     def _checked(self, df: DataFrame) -> Column:
@@ -73,10 +82,7 @@ class Retype(Step):
         if self.target == "object":
             return x.cast("string")
         if self.target == "datetime64[ns]":
-            formats = self.formats
-            if self.day_first:
-                formats = [f.replace("MM/dd", "dd/MM") for f in formats]
-            moment = to_datetime(x, data_type, formats)
+            moment = self._moment(df, self._formats())
             self._refuse_invalid(df, x.isNotNull() & moment.isNull(), "not a date")
             return moment
         number = to_numeric_flexible(x, data_type)
@@ -98,6 +104,37 @@ class Retype(Step):
             self._refuse(df, number.isNotNull() & fractional, uneven, "not a whole number")
         return whole
 
+    def _formats(self) -> list[str]:
+        """The formats to try, those with the day before the month first if wanted."""
+        formats = list(dict.fromkeys(self.formats))
+        return sorted(formats, key=lambda f: not 0 <= f.find("d") < f.find("M")) if self.day_first else formats
+
+    def _moment(self, df: DataFrame, formats: Sequence[str]) -> Column:
+        return to_datetime(col(self.column), df.schema[self.column].dataType, formats)
+
+    def _one_format(self, df: DataFrame) -> tuple[str, list[str]]:
+        """The format that fits all values, and others that would.
+
+        Every value has the set of formats it fits, as bits; few sets differ, so counts of sets are all
+        that is collected. Their intersection decides.
+        """
+        formats = self._formats()
+        if len(formats) > 62:
+            raise ValueError("at most 62 formats can be told apart")
+        bits = format_bits(F.trim(col(self.column)), formats).alias("bits")
+        sets = df.where(col(self.column).isNotNull()).select(bits).groupBy("bits").count().collect()
+        every = (1 << len(formats)) - 1
+        for row in sets:
+            every &= row.bits
+        fits = [f for k, f in enumerate(formats) if every >> k & 1]
+        if fits:
+            return fits[0], fits[1:] if sets else []
+        counts = [sum(r["count"] for r in sets if r.bits >> k & 1) for k in range(len(formats))]
+        best = counts.index(max(counts))
+        moment = self._moment(df, [formats[best]])
+        reason = f"not a date by {formats[best]}, which fits most" if counts[best] else "not a date"
+        self._refuse(df, col(self.column).isNotNull() & moment.isNull(), sum(r["count"] for r in sets) - counts[best], reason)
+
     def _refuse_invalid(self, df: DataFrame, invalid: Column, reason: str) -> None:
         bad = df.agg(F.count_if(invalid)).first()[0]
         if bad:

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
 from rowmill.functions.columns import (
     PRIOR_PREFIX,
@@ -25,6 +26,7 @@ class LogLine:
     detail: str
     rows_before: int | None = None
     rows_after: int | None = None
+    counts: bool = False
 
 
 def _keeping(column: str) -> Action:
@@ -94,12 +96,8 @@ class Pipeline:
             plan, kept = keep.apply(plan), [keep]
         lines = []
         for action in actions:
-            changed = action.apply(plan)
-            before = after = None
-            if action.drops_rows and self._count_rows:
-                before, after = plan.count(), changed.count()
-            lines.append(LogLine(action.op, action.column, action.detail, before, after))
-            plan = changed
+            plan = action.apply(plan)
+            lines.append(LogLine(action.op, action.column, action.detail, counts=action.drops_rows and self._count_rows))
         # Nothing of the pipeline changes before the whole step has worked.
         self._plan, self._priors = plan, priors
         self._lines += lines
@@ -133,10 +131,35 @@ class Pipeline:
         self._start("reset to the original")
         return self
 
+    def _counted(self) -> list[LogLine]:
+        """The lines with the rows before and after the steps that drop some.
+
+        One job over the fitted changes counts for all of them: each is observed on both sides.
+        """
+        waiting = [k for k, l in enumerate(self._lines) if l.counts and l.rows_before is None]
+        if waiting:
+            plan, seen = self.source, []
+            for action in self._actions:
+                if not (action.drops_rows and self._count_rows):
+                    plan = action.apply(plan)
+                    continue
+                sides = Observation(), Observation()
+                plan = action.apply(plan.observe(sides[0], F.count(F.lit(1)).alias("n")))
+                plan = plan.observe(sides[1], F.count(F.lit(1)).alias("n"))
+                seen.append(sides)
+            plan.select(F.lit(1)).write.format("noop").mode("overwrite").save()
+            found = [[side.get["n"] for side in sides] for sides in seen]
+            of_lines = [k for k, l in enumerate(self._lines) if l.counts]
+            for k, (before, after) in zip(of_lines, found):
+                self._lines[k] = replace(self._lines[k], rows_before=before, rows_after=after)
+        return self._lines
+
     def log(self) -> DataFrame:
+        """The steps so far. Rows are counted here, by one job for all steps that drop some."""
+        lines = self._counted()
         rows = [
             (i, l.op, l.column, l.detail, l.rows_before, l.rows_after)
-            for i, l in enumerate(self._lines)
+            for i, l in enumerate(lines)
         ]
         return self.source.sparkSession.createDataFrame(
             rows,

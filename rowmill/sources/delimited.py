@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rowmill.functions.columns import ROW_ID, col
-from rowmill.functions.scalars import parse_number
+from rowmill.functions.scalars import parse_integer, parse_number
 from rowmill.plans.storage import materialise
 from rowmill.sources.records import FILE, PLACE, Records, field_count
 
@@ -109,7 +109,7 @@ def _unique_names(names: Sequence[str | None]) -> list[str]:
 
 
 def _integer(text: Column) -> Column:
-    return text.try_cast("bigint")
+    return parse_integer(text)
 
 
 def _real(text: Column) -> Column:

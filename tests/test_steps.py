@@ -311,18 +311,37 @@ def test_near_integers(frame):
 
 def test_dates(frame):
     df = frame([("2024-01-01",), ("01/02/2024",), ("2024-03-05 06:07:08",), (None,)], "d string")
-    assert values(rm.Retype("d", "datetime64[ns]").run(df)) == [
+    assert values(rm.Retype("d", "datetime64[ns]", mixed=True).run(df)) == [
         datetime.datetime(2024, 1, 1), datetime.datetime(2024, 1, 2),
         datetime.datetime(2024, 3, 5, 6, 7, 8), None,
     ]
+    # A column has one format.
+    with pytest.raises(rm.StepRefused, match="2 values, not a date by yyyy-MM-dd"):
+        rm.Retype("d", "datetime64[ns]").run(df)
+    month_first = rm.Retype("d", "datetime64[ns]", formats=["MM/dd/yyyy"])
     with pytest.raises(rm.StepRefused, match="13/02/2024"):
-        rm.Retype("d", "datetime64[ns]").run(frame([("13/02/2024",)], "d string"))
+        month_first.run(frame([("13/02/2024",)], "d string"))
     day_first = rm.Retype("d", "datetime64[ns]", formats=["dd/MM/yyyy"])
     assert values(day_first.run(frame([("13/02/2024",)], "d string"))) == [
         datetime.datetime(2024, 2, 13)
     ]
 
 
+def test_the_format_of_all_values_is_found(frame):
+    df = frame([("01/02/2024",), ("13/02/2024",), (None,), (" 03/04/2024 ",)], "d string")
+    assert values(rm.Retype("d", "datetime64[ns]").run(df)) == [
+        datetime.datetime(2024, 2, 1), datetime.datetime(2024, 2, 13), None, datetime.datetime(2024, 4, 3),
+    ]
+    with pytest.raises(rm.StepRefused, match="02/13/2024"):
+        rm.Retype("d", "datetime64[ns]").run(frame([("13/02/2024",), ("14/02/2024",), ("02/13/2024",)], "d string"))
+    either = frame([("01/02/2024",)], "d string")
+    for day_first, month, detail in ((False, 1, "MM/dd/yyyy, dd/MM/yyyy would"), (True, 2, "dd/MM/yyyy, MM/dd/yyyy would")):
+        step = rm.Retype("d", "datetime64[ns]", day_first=day_first)
+        assert detail in step.fit(either)[0].detail
+        assert values(step.run(either))[0].month == month
+    assert values(rm.Retype("d", "datetime64[ns]").run(frame([(None,)], "d string"))) == [None]
+
+
 def test_dates_do_not_depend_on_the_session_zone(spark, frame):
     df = frame([("2024-03-10 02:30:00",)], "d string")
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")
@@ -381,10 +400,9 @@ def test_common_dates(spark, text, expected):
 
 def test_day_first(spark):
     dates = spark.createDataFrame([("13/02/2024",)], "x string")
-    with pytest.raises(rm.StepRefused):
-        rm.Retype("x", "datetime64[ns]").run(dates)
-    found = rm.Retype("x", "datetime64[ns]", day_first=True).run(dates).first().x
-    assert str(found) == "2024-02-13 00:00:00"
+    for day_first in (False, True):
+        found = rm.Retype("x", "datetime64[ns]", day_first=day_first).run(dates).first().x
+        assert str(found) == "2024-02-13 00:00:00"
 
 
 def test_imputation_leaves_nested_columns(spark):
