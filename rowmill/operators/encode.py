@@ -16,17 +16,15 @@ from rowmill.functions.columns import (
     replace_columns,
     require_columns,
 )
-from rowmill.operators.ranks import (
-    BROADCAST_ROWS,
-    WINDOW_ROWS,
-    attach_by_value,
-    running_weight,
-)
+from rowmill.operators.ranks import attach_by_value, running_weight
 from rowmill.plans.step import ALL, Action, Step, StepRefused, replacing, unchanged
 from rowmill.plans.storage import materialise
 
 METHODS = ("label", "onehot", "ordinal", "binary")
 
+# Codes given by hand are literals of the plan.
+ORDINAL_CODES = 500_000
+
 # Up to this many codes are compared in place instead of joined.
 INLINE_CODES = 32
 
@@ -45,10 +43,7 @@ def _case(x: Column, codes: Mapping[str, int]) -> Column:
 
 
 def label_codes(
-    df: DataFrame,
-    column: str,
-    null_label: str | None = None,
-    window_rows: int = WINDOW_ROWS,
+    df: DataFrame, column: str, null_label: str | None = None
 ) -> tuple[DataFrame, int, int]:
     """(value, n, code) with codes 0.. in text order; plus its row count and the rows it covers."""
     counts = materialise(
@@ -58,7 +53,7 @@ def label_codes(
         .agg(F.count(F.lit(1)).alias("n"), F.lit(1).cast("bigint").alias("one"))
     )
     levels, rows = counts.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
-    codes = running_weight(counts, [], "value", ["one"], levels, window_rows)
+    codes = running_weight(counts, [], "value", ["one"])
     return codes.select("value", "n", F.col("before_one").alias("code")), levels, rows
 
 
@@ -76,14 +71,12 @@ class LabelEncode(Step):
 
     column: str = ALL
     null_label: str | None = None
-    window_rows: int = WINDOW_ROWS
-    broadcast_rows: int = BROADCAST_ROWS
 
     def fit(self, df: DataFrame) -> list[Action]:
         return [self._fit_column(df, c) for c in _scope(df, self.column)]
 
     def _fit_column(self, df: DataFrame, c: str) -> Action:
-        codes, levels, rows = label_codes(df, c, self.null_label, self.window_rows)
+        codes, levels, rows = label_codes(df, c, self.null_label)
         detail = f"label: {levels} codes"
         if levels <= INLINE_CODES:
             table = {r["value"]: r["code"] for r in codes.collect()}
@@ -93,9 +86,7 @@ class LabelEncode(Step):
 
         def apply(target: DataFrame) -> DataFrame:
             keyed = target.withColumn("__key", _labelled(col(c), self.null_label))
-            joined = attach_by_value(
-                keyed, codes, "__key", "value", "n", ["code"], levels, rows, self.broadcast_rows
-            )
+            joined = attach_by_value(keyed, codes, "__key", "value", "n", ["code"], rows)
             return joined.select(
                 *[F.col("code").alias(c) if n == c else col(n) for n in target.columns]
             )
@@ -139,8 +130,8 @@ class OrdinalEncode(Step):
     column: str = ALL
 
     def fit(self, df: DataFrame) -> list[Action]:
-        if len(self.codes) > BROADCAST_ROWS:
-            raise StepRefused(f"at most {BROADCAST_ROWS} ordinal codes")
+        if len(self.codes) > ORDINAL_CODES:
+            raise StepRefused(f"at most {ORDINAL_CODES} ordinal codes")
         detail = f"ordinal: {len(self.codes)} codes"
         return [
             Action("encode", c, detail, self._appending(df, c)) for c in _scope(df, self.column)

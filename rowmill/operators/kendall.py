@@ -1,113 +1,69 @@
-"""Kendall's tau-b over pairwise complete rows, without forming pairs of rows.
-
-Ordering the distinct (x, y) pairs by (x, y) and by (y, x) gives two total orders; a pair of rows is
-discordant exactly when the two orders disagree on it. Both orders are cut into ranges of bounded
-size. Rows sharing a range of either order are counted inside one bounded group; all other
-discordant pairs differ in both ranges, and their number is the same question about the table of
-range pairs, which is far smaller.
+"""Kendall's tau-b of many column pairs over pairwise complete rows, without forming pairs of rows.
+
+Values become dense places within their columns. Two rows whose places in y differ part at one bit, the
+highest in which they differ; above it they agree. So among the rows that agree above a bit, the discordant
+pairs that part there are those in which a row with the bit set has the smaller x. That is a running sum
+over x, for every bit and every group of rows that agree above it: one sorted table for all of them and for
+all column pairs, cut into ranges whose totals give each range what lies before it. Rows of one x are summed
+first, as they form no pair.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowmill.functions.columns import col
-from rowmill.functions.shipping import runs_in_workers
+from rowmill.operators.ranks import running_weight
 from rowmill.plans.storage import materialise
 
-runs_in_workers(__name__)
-
-# Rows that one Python task counts, about.
-GROUP_ROWS = 500_000
-
-
-def discordant_weight(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> float:
-    """Sum of w_i * w_j over pairs with x_i < x_j and y_i > y_j, in O(n log n)."""
-    order = np.lexsort((y, x))
-    rank = np.unique(y, return_inverse=True)[1].reshape(-1)[order]
-    w = weight[order].astype(np.float64)
-    total = 0.0
-    # Two rows of different rank part at one bit of the rank: the earlier one is discordant with
-    # the later one when it holds the 1.
-    for bit in range(int(rank.max()).bit_length() - 1 if len(rank) else -1, -1, -1):
-        prefix = rank >> (bit + 1)
-        ones = np.where((rank >> bit) & 1 == 1, w, 0.0)
-        before = np.cumsum(ones) - ones
-        starts = np.flatnonzero(np.r_[True, prefix[1:] != prefix[:-1]])
-        base = np.repeat(before[starts], np.diff(np.r_[starts, len(prefix)]))
-        total += float(np.sum(np.where((rank >> bit) & 1 == 0, w * (before - base), 0.0)))
-        step = np.argsort(rank >> bit, kind="stable")
-        rank, w = rank[step], w[step]
-    return total
-
-
-def _group_weight(pdf: pd.DataFrame) -> pd.DataFrame:
-    total = discordant_weight(pdf["x"].to_numpy(), pdf["y"].to_numpy(), pdf["n"].to_numpy())
-    return pd.DataFrame({"d": [total]})
 
-
-def _sum_of_groups(table: DataFrame, group: str, x: str) -> float:
-    parts = (
-        table.select(col(group).alias("g"), col(x).alias("x"), "y", "n")
-        .groupBy("g")
-        .applyInPandas(_group_weight, "d double")
-    )
-    return parts.agg(F.sum("d")).first()[0] or 0.0
-
-
-def discordant_pairs(table: DataFrame, rows: int, group_rows: int = GROUP_ROWS) -> float:
-    """Discordant weight of a written table (x, y, n) with one row per (x, y)."""
-    if rows <= group_rows:
-        return _sum_of_groups(table.withColumn("g", F.lit(0)), "g", "x")
-    # Ranges of about half the bound, so that uneven cuts stay below it, but never so many that
-    # their pairs are not a small part of the rows.
-    ranges = max(2, min(math.ceil(2 * rows / group_rows), math.isqrt(rows) // 4))
-    cut = materialise(
-        table.repartitionByRange(ranges, "x", "y")
-        .withColumn("p", F.spark_partition_id())
-        .repartitionByRange(ranges, "y", "x")
-        .withColumn("q", F.spark_partition_id())
-    )
-    total = _sum_of_groups(cut, "p", "x") + _sum_of_groups(cut, "q", "p")
-    cells = materialise(
-        cut.groupBy(F.col("p").alias("x"), F.col("q").alias("y")).agg(F.sum("n").alias("n"))
+def discordant_weights(table: DataFrame, bits: int) -> dict[int, float]:
+    """Per pair, the sum of n * n' over its rows with x < x' and y > y'. table: pair, x, y, n; y below 2^bits."""
+    each = table.withColumn("bit", F.explode(F.sequence(F.lit(0), F.lit(max(bits, 1) - 1))))
+    shifted = lambda by: F.call_function("shiftright", F.col("y"), by)
+    high = shifted(F.col("bit")).bitwiseAND(F.lit(1)) == 1
+    rows = each.groupBy("pair", "bit", shifted(F.col("bit") + 1).alias("above"), "x").agg(
+        F.coalesce(F.sum(F.when(high, F.col("n"))), F.lit(0)).alias("ones"),
+        F.coalesce(F.sum(F.when(~high, F.col("n"))), F.lit(0)).alias("zeros"),
     )
-    return total + discordant_pairs(cells, cells.count(), group_rows)
+    parted = running_weight(rows, ["pair", "bit", "above"], "x", ["ones"])
+    weight = F.sum(F.col("zeros").cast("double") * F.col("before_ones")).alias("d")
+    return {r.pair: r.d for r in parted.groupBy("pair").agg(weight).collect()}
 
 
 def _tied(n: Column) -> Column:
     n = n.cast("double")
-    return F.coalesce(F.sum(n * (n - 1) / 2), F.lit(0.0))
+    return F.coalesce(F.sum(n * (n - 1) / 2), F.lit(0.0)).alias("tied")
 
 
-def kendall_pair(
-    df: DataFrame, a: str, b: str, group_rows: int = GROUP_ROWS
-) -> float | None:
-    """tau-b of two double columns; None where it is undefined."""
-    if a == b:
-        low, high = df.agg(F.min(col(a)), F.max(col(a))).first()
-        return 1.0 if low is not None and low < high else None
+def kendall(places: DataFrame, pairs: Sequence[tuple[int, int]]) -> dict[tuple[int, int], float | None]:
+    """tau-b of pairs of different columns i, j, whose dense places are __d<i> and __d<j>; None where undefined."""
+    pairs = [p for p in pairs if p[0] != p[1]]
+    entries = []
+    for k, (i, j) in enumerate(pairs):
+        x, y = F.col(f"__d{i}"), F.col(f"__d{j}")
+        own = F.struct(F.lit(k).alias("pair"), x.alias("x"), y.alias("y"))
+        entries.append(F.when(x.isNotNull() & y.isNotNull(), own))
     table = materialise(
-        df.select(col(a).alias("x"), col(b).alias("y"))
-        .filter("x is not null and y is not null")
-        .groupBy("x", "y")
+        places.select(F.inline(F.array(*entries)))
+        .filter("pair is not null")
+        .groupBy("pair", "x", "y")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    rows, n, both = table.agg(F.count(F.lit(1)), F.sum("n"), _tied(F.col("n"))).first()
-    if not rows:
-        return None
+    totals = table.groupBy("pair").agg(F.sum("n").alias("n"), _tied(F.col("n")), F.max("y").alias("high")).collect()
     ties = {}
     for c in ("x", "y"):
-        ties[c] = table.groupBy(c).agg(F.sum("n").alias("n")).agg(_tied(F.col("n"))).first()[0]
-    pairs = n * (n - 1) / 2
-    scale = math.sqrt(pairs - ties["x"]) * math.sqrt(pairs - ties["y"])
-    if scale == 0:
-        return None
-    untied = pairs - ties["x"] - ties["y"] + both
-    tau = (untied - 2 * discordant_pairs(table, rows, group_rows)) / scale
-    return max(-1.0, min(1.0, tau))
+        sums = table.groupBy("pair", c).agg(F.sum("n").alias("n"))
+        ties[c] = {r.pair: r.tied for r in sums.groupBy("pair").agg(_tied(F.col("n"))).collect()}
+    discordant = discordant_weights(table, max((r.high for r in totals), default=0).bit_length())
+    out: dict[tuple[int, int], float | None] = dict.fromkeys(pairs)
+    for r in totals:
+        rows, x, y = r.n * (r.n - 1) / 2, ties["x"][r.pair], ties["y"][r.pair]
+        scale = math.sqrt(rows - x) * math.sqrt(rows - y)
+        if scale:
+            tau = (rows - x - y + r.tied - 2 * discordant[r.pair]) / scale
+            out[pairs[r.pair]] = max(-1.0, min(1.0, tau))
+    return out

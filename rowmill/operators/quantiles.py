@@ -17,8 +17,7 @@ from pyspark.sql import functions as F
 
 from rowmill.functions.columns import col, nan_to_null, require_numeric
 from rowmill.functions.scalars import double
-from rowmill.operators.ranks import WINDOW_ROWS, running_weight
-from rowmill.plans.storage import materialise
+from rowmill.operators.ranks import running_weight
 
 # Up to this many rows `percentile` is exact, cheap and bounded in memory.
 DIRECT_ROWS = 250_000
@@ -145,7 +144,7 @@ def _settle(
     return good + retry
 
 
-def _pick(df: DataFrame, columns: list[str], segments: list[_Segment], window_rows: int) -> dict:
+def _pick(df: DataFrame, columns: list[str], segments: list[_Segment]) -> dict:
     """The value at every (column, rank) of the segments."""
     found = {(s.column, r): s.low for s in segments if s.low == s.high for r in s.ranks}
     open_ = [s for s in segments if s.low != s.high]
@@ -164,12 +163,7 @@ def _pick(df: DataFrame, columns: list[str], segments: list[_Segment], window_ro
         .groupBy("segment", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    # The rows inside bound the number of values, so few of them need no written table.
-    rows = sum(s.upto - s.below for s in open_)
-    if rows > window_rows:
-        counts = materialise(counts)
-        rows = counts.count()
-    ranked = running_weight(counts, ["segment"], "value", ["n"], rows, window_rows)
+    ranked = running_weight(counts, ["segment"], "value", ["n"])
     hit = F.lit(False)
     for j, s in enumerate(open_):
         for r in s.ranks:
@@ -195,7 +189,6 @@ def quantiles(
     exact: bool = True,
     extent: dict[str, tuple[int, float, float]] | None = None,
     direct_rows: int = DIRECT_ROWS,
-    window_rows: int = WINDOW_ROWS,
 ) -> dict[str, list[float | None]]:
     """Quantiles of each column at `probs`; None where a column has no values.
 
@@ -220,7 +213,7 @@ def quantiles(
             for p in probs:
                 t.ranks.update(_order_statistics(t.n, p)[:2])
     segments = _settle(df, columns, targets, _brackets(df, columns, targets, HALF_WIDTH))
-    found = _pick(df, columns, segments, window_rows)
+    found = _pick(df, columns, segments)
     result: dict[str, list[float | None]] = {}
     for i, (c, t) in enumerate(zip(columns, targets)):
         values = []

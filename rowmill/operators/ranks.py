@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -11,12 +10,6 @@ from pyspark.sql import functions as F
 from rowmill.functions.columns import col
 from rowmill.plans.storage import materialise
 
-# A window over at most this many rows runs in one task.
-WINDOW_ROWS = 2_000_000
-
-# A lookup of at most this many rows is broadcast.
-BROADCAST_ROWS = 500_000
-
 # A value holding at least 1 / HOT_SHARE of the weight is hot; so there are at most as many.
 HOT_SHARE = 65536
 
@@ -30,32 +23,15 @@ def _exclusive_sum(weight: str, partition: Sequence[Column], order: Sequence[str
     return F.coalesce(F.sum(col(weight)).over(w), F.lit(0))
 
 
-def running_weight(
-    table: DataFrame,
-    groups: Sequence[str],
-    order: str,
-    weights: Sequence[str],
-    rows: int,
-    window_rows: int = WINDOW_ROWS,
-) -> DataFrame:
+def running_weight(table: DataFrame, groups: Sequence[str], order: str, weights: Sequence[str]) -> DataFrame:
     """Add before_<w> per weight w: its sum over the rows of the group that sort before a row.
 
-    `table` has `rows` rows, one per (groups, order), and is cheap to read again, that is, written.
-    Above `window_rows` rows it is range-partitioned by value, the totals of the ranges give each
-    range its offset, and windows only run inside a range.
+    `table` has one row per (groups, order). It is range-partitioned and written once; the totals of the
+    ranges give each range its offset, and windows only run inside a range.
     """
-    outs = {w: f"before_{w}" for w in weights}
     by_group = [col(g) for g in groups]
-    if rows <= window_rows:
-        return table.select(
-            "*", *[_exclusive_sum(w, by_group, [order]).alias(o) for w, o in outs.items()]
-        )
-
-    ranges = max(2, math.ceil(2 * rows / window_rows))
     ranged = materialise(
-        table.repartitionByRange(ranges, *by_group, col(order)).withColumn(
-            "__range", F.spark_partition_id()
-        )
+        table.repartitionByRange(*by_group, col(order)).withColumn("__range", F.spark_partition_id())
     )
     keys = [*groups, "__range"]
     by_range = [col(k) for k in keys]
@@ -63,18 +39,44 @@ def running_weight(
     totals = ranged.groupBy(*by_range).agg(*[F.sum(col(w)).alias(f"__total_{w}") for w in weights])
     offsets = totals.select(
         *by_range,
-        *[
-            _exclusive_sum(f"__total_{w}", by_group, ["__range"]).alias(f"__offset_{w}")
-            for w in weights
-        ],
-    )
-    inside = ranged.select(
-        "*", *[_exclusive_sum(w, by_range, [order]).alias(f"__inside_{w}") for w in weights]
+        *[_exclusive_sum(f"__total_{w}", by_group, ["__range"]).alias(f"__offset_{w}") for w in weights],
     )
+    inside = ranged.select("*", *[_exclusive_sum(w, by_range, [order]).alias(f"__inside_{w}") for w in weights])
     return inside.join(offsets, keys).select(
         *[col(c) for c in table.columns],
-        *[(col(f"__offset_{w}") + col(f"__inside_{w}")).alias(o) for w, o in outs.items()],
+        *[(col(f"__offset_{w}") + col(f"__inside_{w}")).alias(f"before_{w}") for w in weights],
+    )
+
+
+def placed_values(df: DataFrame, columns: Sequence[str], partners: Sequence[int] = ()) -> DataFrame:
+    """Places of the values of several columns of one type in their columns' orders, row by row.
+
+    Per column i: __d<i>, how many smaller values there are; __r<i>, the average rank; and per partner j
+    __r<i>_<j>, the average rank over the rows that have column j. NULL has no places, and rows of NULLs alone
+    are left out. All columns are one long table: counted, ordered and looked up together, and one shuffle
+    by row puts their places side by side. A hot value is one row until the look-up, whose skew Spark splits.
+    """
+    entries = []
+    for i, c in enumerate(columns):
+        fields = [F.lit(i).alias("item"), col(c).alias("value")]
+        fields += [col(columns[j]).isNotNull().cast("int").alias(f"has_{j}") for j in partners]
+        entries.append(F.when(col(c).isNotNull(), F.struct(*fields)))
+    rows = materialise(df.select(*[col(c) for c in columns]).withColumn("__row", F.monotonically_increasing_id()))
+    long = rows.select("__row", F.inline(F.array(*entries))).filter("item is not null")
+    weights = {"n": "", **{f"n_{j}": f"_{j}" for j in partners}}
+    counts = long.groupBy("item", "value").agg(
+        F.count(F.lit(1)).alias("n"), *[F.sum(f"has_{j}").alias(f"n_{j}") for j in partners]
+    )
+    places = running_weight(counts.withColumn("one", F.lit(1).cast("long")), ["item"], "value", [*weights, "one"])
+    ranks = {f"__r{suffix}": col(f"before_{w}") + (col(w) + 1) / F.lit(2.0) for w, suffix in weights.items()}
+    places = materialise(
+        places.select("item", "value", col("before_one").alias("__d"), *[r.alias(n) for n, r in ranks.items()])
     )
+    found = long.select("__row", "item", "value").join(places, ["item", "value"])
+    named = {f"__d{i}": (i, "__d") for i in range(len(columns))}
+    named |= {f"__r{i}{suffix}": (i, f"__r{suffix}") for i in range(len(columns)) for suffix in weights.values()}
+    picked = [F.max(F.when(F.col("item") == i, col(c))).alias(n) for n, (i, c) in named.items()]
+    return found.groupBy("__row").agg(*picked)
 
 
 def attach_by_value(
@@ -84,23 +86,16 @@ def attach_by_value(
     value: str,
     weight: str,
     outputs: Sequence[str],
-    lookup_rows: int,
     total: int,
-    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Left-join `outputs` of `lookup` (one row per `value`) to `rows` on key = value.
 
-    `lookup_rows` is the number of its rows and `total` the sum of its `weight`.
-    A small lookup is broadcast. For a large one the hot values, at most HOT_SHARE of them, are
+    `total` is the sum of its `weight`. The hot values, at most HOT_SHARE of them, are
     broadcast and their rows, like rows with a NULL key, are spread over all tasks of the join.
     """
     slim = lookup.select(
         col(value).alias("__value"), *[col(o) for o in outputs], col(weight).alias("__weight")
     )
-    if lookup_rows <= broadcast_rows:
-        small = F.broadcast(slim.drop("__weight"))
-        return rows.join(small, col(key) == F.col("__value"), "left").drop("__value")
-
     is_hot = F.col("__weight") * HOT_SHARE >= F.lit(total)
     hot = slim.filter(is_hot).select(
         F.col("__value").alias("__hot"), *[col(o).alias(f"__hot_{o}") for o in outputs]

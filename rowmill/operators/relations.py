@@ -15,14 +15,8 @@ from pyspark.sql import functions as F
 
 from rowmill.functions.columns import col, nan_to_null, numeric_columns, require_numeric
 from rowmill.functions.scalars import double, rounded
-from rowmill.operators.kendall import GROUP_ROWS, kendall_pair
-from rowmill.operators.ranks import (
-    BROADCAST_ROWS,
-    WINDOW_ROWS,
-    attach_by_value,
-    running_weight,
-)
-from rowmill.plans.storage import materialise
+from rowmill.operators.kendall import kendall
+from rowmill.operators.ranks import placed_values
 
 METHODS = ("pearson", "spearman", "kendall")
 
@@ -161,117 +155,48 @@ def covariance(
     return _matrix(df, names, dict(zip(pairs, row)), "covariance", digits)
 
 
-def average_ranks(
-    df: DataFrame,
-    columns: Sequence[str],
-    window_rows: int = WINDOW_ROWS,
-    broadcast_rows: int = BROADCAST_ROWS,
-) -> DataFrame:
+def average_ranks(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Replace every value by its average rank within its column; NULL stays NULL."""
     names = require_numeric(df, columns)
-    ranked = _ranked(_doubles(df, names), names, [], window_rows, broadcast_rows)
-    return ranked.select(*[col(f"__r{i}").alias(c) for i, c in enumerate(names)])
-
-
-def _ranked(
-    df: DataFrame,
-    names: Sequence[str],
-    partners: Sequence[int],
-    window_rows: int,
-    broadcast_rows: int,
-) -> DataFrame:
-    """Add __r<i>, the rank within column i, and __r<i>_<j>, that over the rows having column j."""
-    entries = []
-    for i, c in enumerate(names):
-        fields = [F.lit(i).alias("item"), col(c).alias("value")]
-        fields += [col(names[j]).isNotNull().cast("int").alias(f"has_{j}") for j in partners]
-        entries.append(F.when(col(c).isNotNull(), F.struct(*fields)))
-    counts = materialise(
-        df.select(F.inline(F.array(*entries)))
-        .filter("item is not null")
-        .groupBy("item", "value")
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            *[F.sum(f"has_{j}").alias(f"n_{j}") for j in partners],
-        )
-    )
-    sizes = {
-        r["item"]: (r["values"], r["rows"])
-        for r in counts.groupBy("item")
-        .agg(F.count(F.lit(1)).alias("values"), F.sum("n").alias("rows"))
-        .collect()
-    }
-    weights = {"n": "", **{f"n_{j}": f"_{j}" for j in partners}}
-    ranks = running_weight(
-        counts, ["item"], "value", list(weights), sum(v for v, _ in sizes.values()), window_rows
-    )
-    if sum(v for v, _ in sizes.values()) > broadcast_rows:
-        # A large lookup is read twice: for its hot values and for the others.
-        ranks = materialise(ranks)
-    # Small lookups first: together the broadcast ones stay below the limit.
-    out, sent = df, 0
-    for i in sorted(range(len(names)), key=lambda i: sizes.get(i, (0, 0))):
-        values, rows = sizes.get(i, (0, 0))
-        sent += values
-        outputs = [f"__r{i}{suffix}" for suffix in weights.values()]
-        lookup = ranks.filter(F.col("item") == i).select(
-            "value",
-            "n",
-            *[
-                (col(f"before_{w}") + (col(w) + 1) / F.lit(2.0)).alias(o)
-                for w, o in zip(weights, outputs)
-            ],
-        )
-        out = attach_by_value(
-            out, lookup, names[i], "value", "n", outputs, sent, rows, broadcast_rows
-        )
-    return out
+    values = _doubles(df, names)
+    ranked = placed_values(values, names).select(*[col(f"__r{i}").alias(c) for i, c in enumerate(names)])
+    without = values.filter(F.coalesce(*[col(c) for c in names]).isNull())
+    return ranked.unionByName(without.select(*[F.lit(None).cast("double").alias(c) for c in names]))
 
 
-def _spearman(
-    df: DataFrame,
-    names: Sequence[str],
-    columns: Sequence[_Column],
-    window_rows: int,
-    broadcast_rows: int,
-) -> dict:
+def _spearman(df: DataFrame, names: Sequence[str], columns: Sequence[_Column]) -> dict:
     partners = [j for j, c in enumerate(columns) if c.gaps]
-    ranked = _ranked(df, names, partners, window_rows, broadcast_rows)
+    ranked = placed_values(df, names, partners)
     sides: dict[tuple[int, int | None], Column] = {}
     for i in range(len(names)):
         sides[i, None] = col(f"__r{i}")
         for j in partners:
             # Ranks over fewer rows are smaller, so pairs with gaps have ranks of their own.
-            sides[i, j] = F.when(col(names[j]).isNotNull(), col(f"__r{i}_{j}"))
+            sides[i, j] = F.when(col(f"__r{j}").isNotNull(), col(f"__r{i}_{j}"))
     centred = [replace(c, centre=(c.n + 1) / 2) for c in columns]
     return _pair_correlations(ranked, sides, centred)
 
 
+def _kendall(df: DataFrame, names: Sequence[str], columns: Sequence[_Column]) -> dict:
+    pairs = _pairs(len(names))
+    own = {(i, i): 1.0 if c.varies else None for i, c in enumerate(columns)}
+    return own | kendall(placed_values(df, names), pairs)
+
+
 def correlation(
     df: DataFrame,
     columns: Sequence[str] | None = None,
     method: str = "pearson",
     digits: int | None = None,
     max_columns: int | None = MAX_COLUMNS,
-    window_rows: int = WINDOW_ROWS,
-    broadcast_rows: int = BROADCAST_ROWS,
-    group_rows: int = GROUP_ROWS,
 ) -> DataFrame:
     """Pearson, Spearman or Kendall tau-b of every pair of columns."""
     if method not in METHODS:
         raise ValueError(f"unknown correlation method: {method}")
     names = _checked(df, columns, max_columns)
     df = _doubles(df, names)
-    if method == "kendall":
-        values = {
-            (i, j): kendall_pair(df, names[i], names[j], group_rows) for i, j in _pairs(len(names))
-        }
-    else:
-        survey = _survey(df, names)
-        if method == "pearson":
-            values = _pearson(df, names, survey)
-        else:
-            values = _spearman(df, names, survey, window_rows, broadcast_rows)
+    of_method = {"pearson": _pearson, "spearman": _spearman, "kendall": _kendall}[method]
+    values = of_method(df, names, _survey(df, names))
     return _matrix(df, names, values, "r", digits)
 
 

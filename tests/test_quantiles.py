@@ -12,10 +12,9 @@ def test_interpolation(ties):
     assert found == pytest.approx([1.07, 2.0, 3.75, 7.0, 9.79])
 
 
-@pytest.mark.parametrize("window_rows", [40, 500_000])
-def test_bracketed_path_equals_pandas(spark, messy, window_rows):
+def test_bracketed_path_equals_pandas(spark, messy):
     df = spark.createDataFrame(messy).repartition(5)
-    found = rm.quantiles(df, list(messy), PROBS, direct_rows=0, window_rows=window_rows)
+    found = rm.quantiles(df, list(messy), PROBS, direct_rows=0)
     expected = messy.quantile(PROBS)
     for c in messy:
         assert found[c] == pytest.approx(list(expected[c]), abs=1e-12)

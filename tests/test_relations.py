@@ -3,7 +3,7 @@ import pandas as pd
 import pytest
 
 import rowmill as rm
-from rowmill.operators.kendall import discordant_weight
+from rowmill.operators.kendall import discordant_weights
 from rowmill.operators.ranks import attach_by_value
 
 
@@ -39,34 +39,34 @@ def test_pearson_and_covariance_equal_pandas(spark, messy):
     assert_same(wide(rm.covariance(df), "covariance", list(messy)), messy.cov())
 
 
-@pytest.mark.parametrize("limits", [{}, {"window_rows": 60, "broadcast_rows": 30}])
-def test_spearman_equals_pandas(spark, messy, limits):
+def test_spearman_equals_pandas(spark, messy):
     df = spark.createDataFrame(messy).repartition(3)
-    got = wide(rm.correlation(df, method="spearman", **limits), "r", list(messy))
+    got = wide(rm.correlation(df, method="spearman"), "r", list(messy))
     assert_same(got, messy.corr("spearman"))
 
 
-@pytest.mark.parametrize("limits", [{}, {"group_rows": 300}])
-def test_kendall_equals_brute_force(spark, messy, limits):
-    names = ["a", "c", "k"]
+def test_kendall_equals_brute_force(spark, messy):
+    names = ["a", "b", "c", "k"]
     df = spark.createDataFrame(messy[names])
-    got = wide(rm.correlation(df, method="kendall", **limits), "r", names)
+    got = wide(rm.correlation(df, method="kendall"), "r", names)
     expected = pd.DataFrame(
         {i: {j: tau_b(messy[i], messy[j]) for j in names} for i in names}
     )
     assert_same(got, expected)
 
 
-def test_discordant_weight_equals_brute_force():
+def test_discordant_weights_equal_brute_force(frame):
     rng = np.random.default_rng(3)
-    for size in (0, 1, 2, 17, 60):
-        for spread in (1, 3, 100):
-            x, y = rng.integers(0, spread, size), rng.integers(0, spread, size)
-            w = rng.integers(1, 5, size)
-            less = x[:, None] < x[None, :]
-            more = y[:, None] > y[None, :]
-            expected = float((np.outer(w, w) * (less & more)).sum())
-            assert discordant_weight(x, y, w) == expected
+    rows, expected = [], {}
+    for pair, (size, spread) in enumerate([(1, 1), (2, 3), (17, 3), (60, 3), (60, 100), (90, 5)]):
+        x, y = rng.integers(0, spread, size), rng.integers(0, spread, size)
+        w = rng.integers(1, 5, size)
+        less = x[:, None] < x[None, :]
+        more = y[:, None] > y[None, :]
+        expected[pair] = float((np.outer(w, w) * (less & more)).sum())
+        rows += [(pair, int(a), int(b), int(n)) for a, b, n in zip(x, y, w)]
+    table = frame(rows, "pair int, x bigint, y bigint, n bigint")
+    assert discordant_weights(table, 7) == expected
 
 
 def test_constant_columns_have_no_correlation(frame):
@@ -76,10 +76,11 @@ def test_constant_columns_have_no_correlation(frame):
         assert np.isnan(r.loc["x", "y"]) and np.isnan(r.loc["x", "x"]) and r.loc["y", "y"] == 1.0
 
 
-@pytest.mark.parametrize("limits", [{}, {"window_rows": 60, "broadcast_rows": 30}])
-def test_average_ranks_equal_pandas(spark, messy, limits):
+def test_average_ranks_equal_pandas(spark, messy):
+    messy = messy.copy()
+    messy.loc[:2, ["b", "c"]] = None
     df = spark.createDataFrame(messy.reset_index())
-    ranks = rm.average_ranks(df.repartition(6), ["b", "c"], **limits).toPandas()
+    ranks = rm.average_ranks(df.repartition(6), ["b", "c"]).toPandas()
     expected = messy[["b", "c"]].rank()
     order = ["b", "c"]
     assert_same(
@@ -88,15 +89,12 @@ def test_average_ranks_equal_pandas(spark, messy, limits):
     )
 
 
-@pytest.mark.parametrize("broadcast_rows", [0, 1000])
-def test_attach_keeps_rows_with_hot_and_missing_keys(spark, broadcast_rows):
+def test_attach_keeps_rows_with_hot_and_missing_keys(spark):
     keys = ["hot"] * 700 + [None] * 200 + [f"k{i}" for i in range(100)] + ["absent"]
     rows = spark.createDataFrame([(i, k) for i, k in enumerate(keys)], "i int, k string")
     counts = [("hot", 700_000, 7)] + [(f"k{i}", 1, i) for i in range(100)]
     lookup = spark.createDataFrame(counts, "value string, n long, code int")
-    got = attach_by_value(
-        rows.repartition(5), lookup, "k", "value", "n", ["code"], 101, 700_100, broadcast_rows
-    )
+    got = attach_by_value(rows.repartition(5), lookup, "k", "value", "n", ["code"], 700_100)
     codes = dict((v, c) for v, _, c in counts)
     assert {(r["i"], r["code"]) for r in got.collect()} == {
         (i, codes.get(k)) for i, k in enumerate(keys)
