@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from rowmill.sources.delimited import NULL_TOKENS
+
 DIRTY = """
 events_dirty AS (
   SELECT event_id, ts, user_id,
@@ -213,6 +215,27 @@ UNION ALL SELECT 'c_nationkey', 'c_acctbal', r FROM t
 UNION ALL SELECT 'c_acctbal', 'c_nationkey', r FROM t"""
 
 
+KENDALL_GAPS = {
+    "c_nationkey": "c_nationkey::DOUBLE", "c_acctbal": "c_acctbal", "mixed": "(c_custkey * 7919 % 1000)::DOUBLE",
+    "gappy": "(CASE WHEN c_custkey % 11 = 0 THEN NULL ELSE c_custkey END)::DOUBLE",
+}
+
+
+def kendall_rows() -> str:
+    """Over all ordered pairs of rows that have both values."""
+    rows = []
+    for a, x in KENDALL_GAPS.items():
+        for b, y in KENDALL_GAPS.items():
+            if a == b:
+                rows.append(f"SELECT '{a}' AS col_a, '{b}' AS col_b, 1.0::DOUBLE AS r")
+                continue
+            rows.append(f"""SELECT '{a}', '{b}', round(sum(sign(p.x - q.x) * sign(p.y - q.y))::DOUBLE
+  / (sqrt(sum(abs(sign(p.x - q.x)))::DOUBLE) * sqrt(sum(abs(sign(p.y - q.y)))::DOUBLE)), 6)
+FROM (SELECT {x} AS x, {y} AS y FROM customer WHERE ({x}) IS NOT NULL AND ({y}) IS NOT NULL) p,
+  (SELECT {x} AS x, {y} AS y FROM customer WHERE ({x}) IS NOT NULL AND ({y}) IS NOT NULL) q""")
+    return union(rows)
+
+
 def bins_of(source: str, column: str, bins: str, extra: str = "") -> str:
     """bins: an expression in n."""
     return f"""SELECT '{column}' AS "column", g.b::INTEGER AS bin,
@@ -323,6 +346,8 @@ FROM (
   GROUP BY n, w, z)"""
 
 
+TOKENS = ", ".join(f"'{t}'" for t in NULL_TOKENS)
+
 ORDERS = "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders"
 
 ORACLE: dict[str, str] = {
@@ -503,6 +528,7 @@ SELECT event_id, CASE WHEN outcome = (SELECT outcome FROM o ORDER BY event_id LI
     "corr_pearson": f"WITH {NET.strip()}\n{pearson_rows(NET_COLUMNS, 6)}",
     "corr_spearman": f"WITH {NET.strip()}\n{spearman_rows(NET_COLUMNS)}",
     "corr_kendall": KENDALL,
+    "corr_kendall_gaps": kendall_rows(),
     "mean_abs_corr": f"""WITH {NET.strip()}
 SELECT round(avg(m), 6) AS mean_abs_corr FROM (
   SELECT col_a, avg(abs(r)) AS m FROM ({pearson_rows(NET_COLUMNS, None)}) GROUP BY col_a)""",
@@ -588,6 +614,26 @@ LIMIT 8"""
     "normality_supplier": union(
         shapiro("supplier", c) for c in ("s_acctbal", "s_nationkey")
     ),
+    "retype_datetime_day_first": """SELECT event_id, CAST(CAST(ts AS DATE) AS TIMESTAMP) AS day_text
+FROM events""",
+    "csv_quoted_breaks": f"""SELECT doc_id, source, CASE WHEN text NOT IN ({TOKENS}) THEN text END AS text
+FROM documents""",
+    "csv_mixed_encodings": """SELECT o_orderkey, 'señal ' || o_orderpriority AS note FROM orders""",
+    "csv_ragged": """SELECT o_orderkey AS "0", o_orderstatus AS "1",
+  CASE WHEN o_orderkey % 3 <> 0 THEN o_orderpriority END AS "2" FROM orders""",
+    "csv_control_character": """SELECT o_orderkey, o_orderstatus || chr(1) || o_orderpriority AS note
+FROM orders""",
+    "csv_by_name": ORDERS,
+    "csv_written": ORDERS,
+    "pipeline_log": dirty(
+        """SELECT 1 AS step_no, 'event_type' AS "column", count(*) AS rows_before,
+  count(event_type) AS rows_after FROM events_dirty
+UNION ALL SELECT 3, 'value', count(*), count(value) FROM events_dirty WHERE event_type IS NOT NULL"""
+    ),
+    "pipeline_reset": dirty(
+        f"""SELECT count(*) AS rows, 9::BIGINT AS columns, {nulls_of(DIRTY_COLUMNS)} AS nulls,
+  5::BIGINT AS categorical, 1::BIGINT AS operations FROM events_dirty"""
+    ),
     "csv_round_trip": ORDERS,
     "csv_custom_separator": ORDERS,
     "csv_regex_separator": ORDERS,

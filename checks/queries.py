@@ -374,6 +374,15 @@ def corr_kendall(spark, sf):
     )
 
 
+@query
+def corr_kendall_gaps(spark, sf):
+    df = table(spark, sf, "customer").selectExpr(
+        "c_nationkey", "c_acctbal", "c_custkey * 7919 % 1000 AS mixed",
+        "CASE WHEN c_custkey % 11 = 0 THEN NULL ELSE c_custkey END AS gappy",
+    )
+    return rm.correlation(df, ["c_nationkey", "c_acctbal", "mixed", "gappy"], "kendall", digits=6)
+
+
 @query
 def mean_abs_corr(spark, sf):
     return rm.mean_abs_correlation(lineitem_net(spark, sf), digits=6)
@@ -456,6 +465,12 @@ def retype_datetime(spark, sf):
     return rm.Retype("day_text", "datetime64[ns]").run(df)
 
 
+@query
+def retype_datetime_day_first(spark, sf):
+    df = table(spark, sf, "events").selectExpr("event_id", "date_format(ts, 'dd/MM/yyyy') AS day_text")
+    return rm.Retype("day_text", "datetime64[ns]").run(df)
+
+
 @query
 def retype_text(spark, sf):
     df = events_dirty(spark, sf).select("event_id", "user_id")
@@ -584,3 +599,77 @@ def csv_latin1_fallback(spark, sf):
 def csv_load_record(spark, sf):
     loaded = rm.read_delimited(spark, _text_copy(_orders(spark, sf), ";"))
     return loaded.record().drop("path")
+
+
+@query
+def csv_quoted_breaks(spark, sf):
+    path = f"{shared_folder(spark)}/rowmill/text-{uuid.uuid4().hex}"
+    table(spark, sf, "documents").select("doc_id", "source", "text").write.csv(
+        path, header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    )
+    return rm.read_delimited(spark, path, ",").df
+
+
+@query
+def csv_mixed_encodings(spark, sf):
+    """UTF-8 and latin1 files in one folder, found by a glob."""
+    path = f"{shared_folder(spark)}/rowmill/text-{uuid.uuid4().hex}"
+    df = table(spark, sf, "orders").selectExpr("o_orderkey", "concat('señal ', o_orderpriority) AS note")
+    for rest, encoding in ((0, "UTF-8"), (1, "ISO-8859-1")):
+        part = df.where(F.col("o_orderkey") % 2 == rest)
+        part.write.csv(path, sep=";", header=True, encoding=encoding, mode="append")
+    return rm.read_delimited(spark, f"{path}/part-*.csv").df
+
+
+@query
+def csv_ragged(spark, sf):
+    """Rows that lack their last field; the first row of the first file has all."""
+    path = f"{shared_folder(spark)}/rowmill/text-{uuid.uuid4().hex}"
+    short = F.expr("o_orderkey % 3 = 0")
+    fields = ["o_orderkey", "o_orderstatus", "o_orderpriority"]
+    lines = F.when(short, F.concat_ws(";", *fields[:2])).otherwise(F.concat_ws(";", *fields))
+    table(spark, sf, "orders").orderBy(short, "o_orderkey").select(lines.alias("value")).write.text(path)
+    return rm.read_delimited(spark, path, header=False).df
+
+
+@query
+def csv_control_character(spark, sf):
+    df = table(spark, sf, "orders").selectExpr("o_orderkey", "concat(o_orderstatus, chr(1), o_orderpriority) AS note")
+    return rm.read_delimited(spark, _text_copy(df, "|"), "[|]", regex_separator=True).df
+
+
+@query
+def csv_by_name(spark, sf):
+    """Files of one folder whose columns come in different orders."""
+    path = f"{shared_folder(spark)}/rowmill/text-{uuid.uuid4().hex}"
+    df = _orders(spark, sf)
+    for rest, names in ((0, df.columns), (1, df.columns[::-1])):
+        df.where(F.col("o_orderkey") % 2 == rest).select(*names).write.csv(path, sep=";", header=True, mode="append")
+    found = rm.read_delimited(spark, path).df
+    return found.select(*df.columns)
+
+
+@query
+def csv_written(spark, sf):
+    path = f"{shared_folder(spark)}/rowmill/text-{uuid.uuid4().hex}"
+    rm.write_csv(_orders(spark, sf), path)
+    return rm.read_delimited(spark, path, "comma").df
+
+
+# The pipeline of steps
+
+
+@query
+def pipeline_log(spark, sf):
+    """Rows before and after the steps that drop some, counted by one job."""
+    p = rm.Pipeline(events_dirty(spark, sf), "events")
+    p.apply(rm.Impute("event_type", other="drop_rows")).apply(rm.DropColumns(["props"]))
+    p.apply(rm.Impute("value", numeric="drop_rows"))
+    return p.log().where("rows_before IS NOT NULL").select("step_no", "column", "rows_before", "rows_after")
+
+
+@query
+def pipeline_reset(spark, sf):
+    p = rm.Pipeline(events_dirty(spark, sf), "events")
+    p.apply(rm.Impute("event_type", other="drop_rows")).apply(rm.DropColumns(["props"]))
+    return p.reset().status()
