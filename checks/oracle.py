@@ -310,7 +310,7 @@ def normal_quantile(p: str) -> str:
 
 
 def shapiro(source: str, c: str) -> str:
-    """For 6 to 5000 values; the normal distribution by Simpson's rule."""
+    """For at least 6 values; the normal distribution by Simpson's rule."""
     last = polynomial(["-2.706056", "4.434685", "-2.071190", "-0.147981", "0.221157", "0"], "u")
     second = polynomial(["-3.582633", "5.682633", "-1.752461", "-0.293762", "0.042981", "0"], "u")
     mean = polynomial(["0.0038915", "-0.083751", "-0.31082", "-1.5861"], "ln(n)")
@@ -322,7 +322,7 @@ def shapiro(source: str, c: str) -> str:
     return f"""SELECT '{c}' AS "column", n::BIGINT AS n, round_even(w, 4) AS w,
   CASE WHEN w >= 0.99 THEN 'very close' WHEN w >= 0.95 THEN 'close'
        WHEN w >= 0.90 THEN 'similar' ELSE 'not normal' END AS closeness,
-  round_even(p, 4) AS p, CASE WHEN p > 0.05 THEN 'yes' ELSE 'no' END AS normal
+  greatest(round_even(p, 4), 0.0::DOUBLE) AS p, CASE WHEN p > 0.05 THEN 'yes' ELSE 'no' END AS normal
 FROM (
   SELECT n, w, 0.5::DOUBLE - sum(
       CASE WHEN k = 0 OR k = 4000 THEN 1 WHEN k % 2 = 1 THEN 4 ELSE 2 END
@@ -611,6 +611,15 @@ FROM events_dirty"""
   CAST(user_id AS VARCHAR) AS user_id, day_text FROM events_dirty ORDER BY events_dirty.event_id
 LIMIT 8"""
     ),
+    "normality": union(shapiro("customer", c) for c in ("c_acctbal", "c_nationkey")),
+    "normality_events": dirty(shapiro("events_dirty", "value")),
+    "normality_sample": dirty(
+        shapiro(
+            """(SELECT value FROM events_dirty WHERE value IS NOT NULL
+  ORDER BY ('0x' || substr(md5('42:' || event_id), 1, 15))::BIGINT, value LIMIT 500)""",
+            "value",
+        )
+    ),
     "normality_supplier": union(
         shapiro("supplier", c) for c in ("s_acctbal", "s_nationkey")
     ),

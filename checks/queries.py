@@ -549,6 +549,12 @@ def normality_events(spark, sf):
     return rm.normality(events_dirty(spark, sf), ["value"], "event_id")
 
 
+@query
+def normality_sample(spark, sf):
+    """A sampling operator: 500 values, by a hash of the key."""
+    return rm.normality(events_dirty(spark, sf), ["value"], "event_id", sample_size=500)
+
+
 # Files
 
 

@@ -1,19 +1,19 @@
 """Shapiro-Wilk normality test per numeric column.
 
-Follows the published approximation of the weights and of the p-value (Royston 1992, 1995). A column
-with more than 5000 values is tested on a seeded sample of 5000, picked by a hash of the row key so
-that the layout of the table does not matter.
+Follows the published approximation of the weights and of the p-value (Royston 1992, 1995), which was fitted
+for up to 5000 values; beyond, W is as exact and p an extrapolation. Every column is tested on all its
+values, or on a seeded sample that does not depend on the layout of the table.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from statistics import NormalDist
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rowmill.functions import bands
@@ -25,14 +25,18 @@ from rowmill.functions.columns import (
     require_columns,
     require_numeric,
 )
-from rowmill.functions.scalars import double, rounded
+from rowmill.functions.scalars import double, inverse_normal, rounded
 from rowmill.functions.shipping import runs_in_workers
+from rowmill.operators.ranks import running_weight
+from rowmill.plans.storage import materialise
 
 runs_in_workers(__name__)
 
-SAMPLE_SIZE = 5000
 SAMPLE_SEED = 42
 
+# Places of one value whose scores are summed in one part.
+PART = 1 << 16
+
 # Published polynomial coefficients, lowest power first.
 LAST_WEIGHT = [0.0, 0.221157, -0.147981, -2.071190, 4.434685, -2.706056]
 NEXT_WEIGHT = [0.0, 0.042981, -0.293762, -1.752461, 5.682633, -3.582633]
@@ -47,28 +51,6 @@ def _polynomial(coefficients: Sequence[float], x: float) -> float:
     return sum(c * x**i for i, c in enumerate(coefficients))
 
 
-def weights(n: int) -> np.ndarray:
-    """Weights of the sorted values, smallest first."""
-    if n == 3:
-        return np.array([-math.sqrt(0.5), 0.0, math.sqrt(0.5)])
-    normal = NormalDist()
-    m = np.array([normal.inv_cdf((i - 0.375) / (n + 0.25)) for i in range(1, n + 1)])
-    squares = float(m @ m)
-    u = 1 / math.sqrt(n)
-    a = np.empty(n)
-    last = m[-1] / math.sqrt(squares) + _polynomial(LAST_WEIGHT, u)
-    if n > 5:
-        second = m[-2] / math.sqrt(squares) + _polynomial(NEXT_WEIGHT, u)
-        phi = (squares - 2 * m[-1] ** 2 - 2 * m[-2] ** 2) / (1 - 2 * last**2 - 2 * second**2)
-        a[:] = m / math.sqrt(phi)
-        a[-2], a[1] = second, -second
-    else:
-        phi = (squares - 2 * m[-1] ** 2) / (1 - 2 * last**2)
-        a[:] = m / math.sqrt(phi)
-    a[-1], a[0] = last, -last
-    return a
-
-
 def p_value(w: float, n: int) -> float:
     if n == 3:
         p = 6 / math.pi * (math.asin(math.sqrt(min(w, 1.0))) - math.asin(math.sqrt(0.75)))
@@ -88,61 +70,98 @@ def p_value(w: float, n: int) -> float:
     return 0.5 * math.erfc((y - mean) / sd / math.sqrt(2))
 
 
-def shapiro_wilk(values: np.ndarray) -> tuple[float, float]:
-    """(W, p) of at least three values that are not all equal."""
-    x = np.sort(values.astype(float))
-    centred = x - x.mean()
-    w = float(weights(len(x)) @ x) ** 2 / float(centred @ centred)
-    return min(w, 1.0), p_value(w, len(x))
+def statistic(n: int, squares: float, weighted: float, spread: float, edges: Sequence[float]) -> float:
+    """W of n sorted values.
 
+    squares: the sum of the squared normal scores; weighted: that of scores times values; spread: that of
+    squared deviations; edges: the largest less the smallest value, and the same of the second ones.
+    """
+    if n == 3:
+        return min(0.5 * edges[0] ** 2 / spread, 1.0)
+    score = lambda i: NormalDist().inv_cdf((i - 0.375) / (n + 0.25))
+    u, ends = 1 / math.sqrt(n), [score(n), score(n - 1)]
+    own = [ends[0] / math.sqrt(squares) + _polynomial(LAST_WEIGHT, u)]
+    if n > 5:
+        own.append(ends[1] / math.sqrt(squares) + _polynomial(NEXT_WEIGHT, u))
+    # The outer weights are given; the others are scores, scaled so that all squares add up to 1.
+    phi = (squares - 2 * sum(m * m for m, _ in zip(ends, own))) / (1 - 2 * sum(a * a for a in own))
+    inner = weighted - sum(m * e for m, e, _ in zip(ends, edges, own))
+    return min((inner / math.sqrt(phi) + sum(a * e for a, e in zip(own, edges))) ** 2 / spread, 1.0)
 
-def _test_group(pdf: pd.DataFrame) -> pd.DataFrame:
-    values = pdf["x"].to_numpy()
-    if len(values) < 3 or values.min() == values.max():
-        return pd.DataFrame({"item": [], "n": [], "w": [], "p": []})
-    w, p = shapiro_wilk(values)
-    return pd.DataFrame({"item": [pdf["item"].iloc[0]], "n": [len(values)], "w": [w], "p": [p]})
 
+def _scored(values: DataFrame, k: int) -> dict[int, tuple]:
+    """Per item (n, squares, weighted, spread, edges) from rows (item, x), without a sort of whole columns.
 
-def _sample(
-    df: DataFrame, names: Sequence[str], key: str, sizes: Sequence[int], sample_size: int
-) -> DataFrame:
-    """(item, x): at most `sample_size` values per column, those with the smallest key hash."""
-    # The hash is uniform, so a threshold keeps about twice the sample before any row is ranked.
-    spot = F.xxhash64(col(key), F.lit(SAMPLE_SEED))
-    shares = [min(1.0, 2 * sample_size / max(n, 1)) for n in sizes]
-
-    def entries(limits: Sequence[int | None]) -> DataFrame:
-        parts = []
-        for i, (c, limit) in enumerate(zip(names, limits)):
-            keep = col(c).isNotNull()
-            if limit is not None:
-                keep = keep & (spot <= F.lit(limit))
-            parts.append(
-                F.when(
-                    keep,
-                    F.struct(F.lit(i).alias("item"), double(col(c)).alias("x"), spot.alias("at")),
-                )
-            )
-        return df.select(F.inline(F.array(*parts))).filter("item is not null")
-
-    while True:
-        limits = [None if s == 1.0 else int(-(2**63) + s * (2**64 - 1)) for s in shares]
-        candidates = entries(limits)
-        if all(limit is None for limit in limits):
-            break
-        kept = dict(candidates.groupBy("item").count().collect())
-        short = [i for i, n in enumerate(sizes) if kept.get(i, 0) < min(n, sample_size)]
-        if not short:
-            break
-        shares = [min(1.0, 4 * s) if i in short else s for i, s in enumerate(shares)]
-    order = Window.partitionBy("item").orderBy("at", "x")
-    # At most a few times `sample_size` candidates per column are ranked.
-    return (
-        candidates.withColumn("place", F.row_number().over(order))
-        .filter(F.col("place") <= sample_size)
-        .select("item", "x")
+    Values are counted, running counts over ranges give the places of each, and the scores of its places are
+    summed. A value on very many rows has its places cut into parts, which spread over all tasks.
+    """
+    counts = materialise(values.groupBy("item", F.col("x").alias("value")).agg(F.count(F.lit(1)).alias("n")))
+    mean = (F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("mean")
+    about = counts.groupBy("item").agg(F.sum("n").alias("n"), mean, F.min("value").alias("low"), F.max("value").alias("high"))
+    known = {r.item: r for r in about.collect() if r.n >= 3 and r.low < r.high}
+    if not known:
+        return {}
+    of = lambda field: F.element_at(
+        F.array(*[F.lit(known[i][field] if i in known else None).cast("double") for i in range(k)]), F.col("item") + 1
     )
+    ranked = materialise(
+        running_weight(counts.filter(F.col("item").isin(list(known))), ["item"], "value", ["n"])
+        .select("item", (F.col("value") - of("mean")).alias("d"), "n", F.col("before_n").alias("before"), of("n").alias("all"))
+    )
+    parts = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / PART)))
+    cut = ranked.select("item", "d", "n", "before", "all", parts.alias("part"))
+    few, many = cut.filter(F.col("n") <= PART), cut.filter(F.col("n") > PART).repartition("item", "d", "part")
+    first = F.col("before") + 1 + F.col("part") * PART
+    last = F.least(F.col("before") + F.col("n"), first + PART - 1)
+    score = inverse_normal((F.col("place") - 0.375) / (F.col("all") + 0.25))
+    scores = few.unionByName(many).select("item", "d", "all", F.explode(F.sequence(first, last)).alias("place"))
+    sums = scores.select("item", "d", score.alias("m")).groupBy("item")
+    sums = sums.agg(F.sum(F.col("m") * F.col("m")).alias("squares"), F.sum(F.col("m") * F.col("d")).alias("weighted"))
+    # The second value from either end, by its place.
+    at = lambda i: F.max(F.when((F.col("before") < i) & (i <= F.col("before") + F.col("n")), F.col("d")))
+    ends = ranked.groupBy("item").agg(
+        F.sum(F.col("d") * F.col("d") * F.col("n")).alias("spread"), (F.max("d") - F.min("d")).alias("outer"),
+        (at(F.col("all") - 1) - at(F.lit(2))).alias("inner"),
+    )
+    return {
+        r.item: (known[r.item].n, r.squares, r.weighted, r.spread, (r.outer, r.inner))
+        for r in sums.join(ends, "item").collect()
+    }
+
+
+def key_hash(key: str, seed: int = SAMPLE_SEED) -> Column:
+    """60 bits of a digest of the key as text; other engines compute the same."""
+    digest = F.md5(F.concat_ws(":", F.lit(seed), col(key).cast("string")).cast("binary"))
+    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint")
+
+
+def smallest(rows: DataFrame, k: int) -> DataFrame:
+    """The k rows of the smallest (spot, x) of every item, from rows (item, spot, x).
+
+    Every task keeps at most k per item, the lists of all tasks are merged in about as many groups as their
+    square root, and the last few lists once more; what a task holds does not depend on the keys.
+    """
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}
+        for batch in batches:
+            item, spot, x = (c.to_numpy() for c in batch.columns)
+            for i in np.unique(item):
+                own = np.empty((item == i).sum(), dtype=[("spot", "i8"), ("x", "f8")])
+                own["spot"], own["x"] = spot[item == i], x[item == i]
+                both = np.concatenate([held.get(i, own[:0]), own])
+                held[i] = np.sort(both)[:k] if len(both) > k else both
+        for i, own in held.items():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(own), i, dtype=np.int32)), pa.array(own["spot"]), pa.array(own["x"])],
+                names=["item", "spot", "x"],
+            )
+
+    schema = "item int, spot bigint, x double"
+    groups = math.isqrt(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))) + 1
+    merged = rows.mapInArrow(keep, schema).repartition(groups, "spot").mapInArrow(keep, schema)
+    place = F.row_number().over(Window.partitionBy("item").orderBy("spot", "x"))
+    return merged.withColumn("place", place).filter(F.col("place") <= k).select("item", "x")
 
 
 def normality(
@@ -150,24 +169,35 @@ def normality(
     columns: Sequence[str] | None = None,
     key: str = ROW_ID,
     digits: int | None = 4,
-    sample_size: int = SAMPLE_SIZE,
+    sample_size: int | None = None,
     labels: Sequence[str] = bands.CLOSENESS_LABELS,
 ) -> DataFrame:
     """(column, n, w, closeness, p, normal); fewer than 3 values or a constant gives no row.
 
-    `key` names a column that identifies a row; it only steers the sample.
+    All values are tested. With `sample_size` at most so many per column are, those with the smallest hash
+    of `key`, a column that identifies a row; equal keys are told apart by value.
     """
     names = require_numeric(df, columns or numeric_columns(df))
-    require_columns(df, [key])
-    df = nan_to_null(df.select(*[col(c) for c in dict.fromkeys([*names, key])]))
-    sizes = list(df.agg(*[F.count(col(c)) for c in names]).first())
-    tested = (
-        _sample(df, names, key, sizes, sample_size)
-        .groupBy("item")
-        .applyInPandas(_test_group, "item int, n bigint, w double, p double")
-    )
+    wanted = list(names)
+    if sample_size is not None:
+        require_columns(df, [key])
+        wanted.append(key)
+    df = nan_to_null(df.select(*[col(c) for c in dict.fromkeys(wanted)]))
+    spot = F.lit(0).cast("bigint") if sample_size is None else key_hash(key)
+    entries = [
+        F.when(col(c).isNotNull(), F.struct(F.lit(i).alias("item"), spot.alias("spot"), double(col(c)).alias("x")))
+        for i, c in enumerate(names)
+    ]
+    values = df.select(F.inline(F.array(*entries))).filter("item is not null")
+    if sample_size is not None:
+        values = smallest(values, sample_size)
+    rows = []
+    for item, (n, *sums) in sorted(_scored(values, len(names)).items()):
+        w = statistic(n, *sums)
+        rows.append((names[item], n, w, p_value(w, n)))
+    tested = df.sparkSession.createDataFrame(rows, "column string, n bigint, w double, p double")
     return tested.select(
-        F.element_at(F.array(*[F.lit(c) for c in names]), F.col("item") + 1).alias("column"),
+        "column",
         "n",
         rounded(F.col("w"), digits).alias("w"),
         bands.closeness_band(F.col("w"), labels).alias("closeness"),

@@ -166,13 +166,14 @@ def _without_tokens(x: Column) -> Column:
     return F.when(~x.isin(NULL_TOKENS), x)
 
 
-def _fields_of(text: Column, separator: str, width: int) -> list[Column]:
-    """The fields of a record by the rules of quoted text."""
+def _with_fields(rows: DataFrame, separator: str, width: int) -> tuple[DataFrame, list[Column]]:
+    """rows, parsed once by the rules of quoted text, and the fields of their records."""
     schema = T.StructType([T.StructField(f"f{i}", T.StringType()) for i in range(width)])
     # A quoted carriage return or line feed stays as it is.
     options = {"sep": separator, "escape": '"', "multiLine": "true", "mode": "PERMISSIVE"}
-    parsed = F.from_csv(text, schema.simpleString(), options)
-    return [parsed[f"f{i}"] for i in range(width)]
+    # A column of its own, so that no field parses the record again.
+    rows = rows.withColumn("__parsed", F.from_csv("value", schema.simpleString(), options))
+    return rows, [F.col("__parsed")[f"f{i}"] for i in range(width)]
 
 
 def _head_fields(spark: SparkSession, heads: Sequence[str], separator: str, regex: bool) -> list[list[str | None]]:
@@ -183,8 +184,8 @@ def _head_fields(spark: SparkSession, heads: Sequence[str], separator: str, rege
     else:
         width = rows.agg(F.max(field_count(F.col("value"), separator))).first()[0]
         own = field_count(F.col("value"), separator)
-        fields = F.slice(F.array(*_fields_of(F.col("value"), separator, width)), F.lit(1), own)
-        rows = rows.select("i", fields.alias("fields"))
+        rows, fields = _with_fields(rows, separator, width)
+        rows = rows.select("i", F.slice(F.array(*fields), F.lit(1), own).alias("fields"))
     return [r.fields for r in rows.orderBy("i").collect()]
 
 
@@ -229,7 +230,7 @@ def _narrow_fields(
         split = F.split(value, separator, -1)
         own, count = [F.get(split, i) for i in range(width)], F.size(split)
     else:
-        own, count = _fields_of(value, separator, width), field_count(value, separator)
+        (rows, own), count = _with_fields(rows, separator, width), field_count(value, separator)
     if header:
         orders = _orders([_unique_names(f) for f in fields], [f for _, f in heads])
         distinct = sorted(set(map(tuple, orders)))

@@ -25,7 +25,7 @@ def test_entry(spark):
 def test_sql_belongs_to_queries():
     assert set(entry.oracle_sql()) <= set(entry.queries())
     assert set(QUERIES) <= set(entry.queries())
-    assert set(QUERIES) - set(ORACLE) == {"normality", "normality_events"}
+    assert set(QUERIES) == set(ORACLE)
 
 
 @pytest.mark.parametrize("name", list(QUERIES))

@@ -1,9 +1,14 @@
+import math
+from statistics import NormalDist
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import rowmill as rm
-from rowmill.operators.normality import p_value, shapiro_wilk, weights
+from rowmill.functions.scalars import inverse_normal
+from rowmill.operators import normality
+from rowmill.operators.normality import LAST_WEIGHT, NEXT_WEIGHT, p_value
 
 PUBLISHED = [148, 154, 158, 160, 161, 162, 166, 170, 182, 195, 236]
 
@@ -16,6 +21,48 @@ def test_published_example(frame):
     )
 
 
+def weights(n):
+    """By definition, value by value."""
+    if n == 3:
+        return np.array([-math.sqrt(0.5), 0.0, math.sqrt(0.5)])
+    m = np.array([NormalDist().inv_cdf((i - 0.375) / (n + 0.25)) for i in range(1, n + 1)])
+    u, a = 1 / math.sqrt(n), np.empty(n)
+    last = m[-1] / math.sqrt(m @ m) + np.polyval(LAST_WEIGHT[::-1], u)
+    if n > 5:
+        second = m[-2] / math.sqrt(m @ m) + np.polyval(NEXT_WEIGHT[::-1], u)
+        a[:] = m / math.sqrt((m @ m - 2 * m[-1] ** 2 - 2 * m[-2] ** 2) / (1 - 2 * last**2 - 2 * second**2))
+        a[-2], a[1] = second, -second
+    else:
+        a[:] = m / math.sqrt((m @ m - 2 * m[-1] ** 2) / (1 - 2 * last**2))
+    a[-1], a[0] = last, -last
+    return a
+
+
+def shapiro_wilk(values):
+    x = np.sort(values.astype(float))
+    w = float(weights(len(x)) @ x) ** 2 / float((x - x.mean()) @ (x - x.mean()))
+    return min(w, 1.0), p_value(min(w, 1.0), len(x))
+
+
+@pytest.mark.parametrize("n", [3, 4, 5, 6, 7, 12, 200, 6000])
+def test_sums_equal_the_definition(spark, monkeypatch, n):
+    monkeypatch.setattr(normality, "PART", 50)
+    rng = np.random.default_rng(n)
+    columns = {"bell": rng.normal(size=n), "ties": rng.integers(0, 4, n).astype(float), "far": 1e6 + rng.random(n)}
+    columns["ties"][:3] = 0, 1, 2
+    df = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(zip(*columns.values()))], "id int, bell double, ties double, far double")
+    got = {r["column"]: r for r in rm.normality(df.repartition(5), list(columns), "id", digits=None).collect()}
+    for c, x in columns.items():
+        w, p = shapiro_wilk(x)
+        assert got[c]["n"] == n and got[c]["w"] == pytest.approx(w, abs=1e-8) and got[c]["p"] == pytest.approx(p, abs=1e-6)
+
+
+def test_inverse_normal(frame):
+    ps = [1e-15, 1e-9, 1e-5, 0.02, 0.074, 0.076, 0.3, 0.5, 0.7, 0.93, 0.99999]
+    got = frame([(p,) for p in ps], "p double").select(inverse_normal(F.col("p")).alias("z")).collect()
+    assert [r.z for r in got] == pytest.approx([NormalDist().inv_cdf(p) for p in ps], rel=1e-12, abs=1e-14)
+
+
 @pytest.mark.parametrize("n", [3, 4, 5, 6, 11, 12, 50, 5000])
 def test_weights_are_antisymmetric_and_normed(n):
     a = weights(n)
@@ -48,16 +95,14 @@ def test_sample_is_bounded_seeded_and_complete(spark):
     df = spark.range(40_000).select(
         "id", F.sin("id").alias("x"), F.when(F.col("id") % 4000 == 0, F.col("id")).alias("few")
     )
-    one = rm.normality(df.repartition(9), ["x", "few"], "id", digits=None).collect()
-    two = rm.normality(df.coalesce(1), ["x", "few"], "id", digits=None).collect()
+    one = rm.normality(df.repartition(9), ["x", "few"], "id", digits=None, sample_size=5000).collect()
+    two = rm.normality(df.coalesce(1), ["x", "few"], "id", digits=None, sample_size=5000).collect()
     assert {r["column"]: r["n"] for r in one} == {"x": 5000, "few": 10}
-    assert sorted(one) == sorted(two)
+    for a, b in zip(sorted(one), sorted(two)):
+        assert a.w == pytest.approx(b.w, rel=1e-9) and a.p == pytest.approx(b.p, rel=1e-6)
 
 
-def test_sample_is_filled_when_the_threshold_keeps_too_few(spark, monkeypatch):
-    df = spark.range(3000).selectExpr("id", "cast(id as double) as x")
-    lowest = F.lit(2**63 - 1).cast("long")
-    real = F.xxhash64
-    # Every hash above any threshold: only the unrestricted round finds rows.
-    monkeypatch.setattr(F, "xxhash64", lambda *c: F.greatest(real(*c), lowest))
-    assert rm.normality(df, ["x"], "id", sample_size=100).first()["n"] == 100
+def test_sample_with_one_key_for_all_rows(spark):
+    df = spark.range(9000).selectExpr("0 AS k", "cast(id AS double) AS x")
+    got = rm.normality(df.repartition(4), ["x"], "k", digits=None, sample_size=100).first()
+    assert (got.n, got.w) == (100, pytest.approx(shapiro_wilk(np.arange(100))[0]))
