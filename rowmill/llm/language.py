@@ -17,7 +17,6 @@ gives an empty one. Input columns are carried; those named as a result are repla
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -34,7 +33,6 @@ BLOCK = 1 << 20  # bytes of text whose n-grams are in memory at once
 SHARPNESS = 6.0  # margins are mean log-odds of one n-gram; the loss sees this many times as much
 LEAD = 0.02  # a smaller lead of the winning codeword is ambiguous
 
-LETTER = re.compile(r"[^\W\d_]")
 LETTERS_ONLY = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
 RESULTS = "lang_pred string, score double, ambiguous boolean"
 
@@ -81,7 +79,7 @@ class Model:
         return total / max(n, 1)
 
     def decide(self, text: str | None) -> tuple[str, float, bool]:
-        if not self.languages or text is None or not LETTER.search(text):
+        if not self.languages or text is None or not any(map(str.isalpha, text)):
             return UNKNOWN, 0.0, False
         losses = self.losses(self.margins(text)[None, :])[0]
         order = np.argsort(losses, kind="stable")
