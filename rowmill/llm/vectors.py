@@ -26,6 +26,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rowmill.llm.components import components
 from rowmill.plans.storage import materialise
@@ -55,9 +56,16 @@ def keys_of(vectors: np.ndarray, bits: int, tables: int) -> np.ndarray:
     return keys
 
 
+def scaled(vectors: np.ndarray) -> np.ndarray:
+    """Each row times a power of two, exactly, so that squares of its components neither vanish nor overflow."""
+    return np.ldexp(vectors, -np.frexp(np.abs(vectors).max(axis=1, keepdims=True))[1])
+
+
 def with_keys(classes: DataFrame, bits: int, tables: int) -> DataFrame:
     """class, vector -> with keys, an array of a key per table."""
 
+    kind = classes.schema["vector"].dataType.simpleString()
+
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             vectors = [np.array(v, dtype=float) for v in batch.column(1).to_pylist()]
@@ -66,14 +74,14 @@ def with_keys(classes: DataFrame, bits: int, tables: int) -> DataFrame:
             for i, v in enumerate(vectors):
                 by_size.setdefault(len(v), []).append(i)
             for rows in by_size.values():
-                for i, k in zip(rows, keys_of(np.stack([vectors[i] for i in rows]), bits, tables)):
+                for i, k in zip(rows, keys_of(scaled(np.stack([vectors[i] for i in rows])), bits, tables)):
                     keys[i] = k
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(keys, pa.list_(pa.int64()))], names=["class", "vector", "n", "keys"]
             )
 
     return classes.select("class", "vector", "n").mapInArrow(
-        sign, "class bigint, vector array<double>, n bigint, keys array<bigint>"
+        sign, f"class bigint, vector {kind}, n bigint, keys array<bigint>"
     )
 
 
@@ -99,9 +107,10 @@ def spanning(links: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
-def compared(keyed: DataFrame, threshold: float, tables: int) -> DataFrame:
+def compared(keyed: DataFrame, threshold: float, bits: int, tables: int) -> DataFrame:
     """(class, linked, peer): link counts of classes in their buckets, and spanning links to peers."""
-    spread = keyed.select("class", "n", "vector", "keys", F.posexplode("keys").alias("table", "key"))
+    # Keys are not sent along: those of earlier tables follow from the vector and the seed.
+    spread = keyed.select("class", "n", "vector", F.posexplode("keys").alias("table", "key"))
     size = F.size("vector").alias("dim")
     buckets = (
         keyed.select(size, F.posexplode("keys").alias("table", "key"))
@@ -123,12 +132,12 @@ def compared(keyed: DataFrame, threshold: float, tables: int) -> DataFrame:
         table, i, j = (int(frame[c].iloc[0]) for c in ("table", "i", "j"))
         frame = frame.sort_values("class")
         left, right = frame[frame["block"] == i], frame[frame["block"] == j]
-        vectors = [np.stack(x["vector"]) if len(x) else None for x in (left, right)]
+        vectors = [scaled(np.stack(x["vector"]).astype(float)) if len(x) else None for x in (left, right)]
         if vectors[0] is None or vectors[1] is None:
             return pd.DataFrame({"class": [], "linked": [], "peer": []}).astype("int64")
         unit = [v / np.linalg.norm(v, axis=1, keepdims=True) for v in vectors]
         links = unit[0] @ unit[1].T >= threshold
-        before = [np.stack(x["keys"])[:, :table] for x in (left, right)]
+        before = [keys_of(v, bits, table) for v in vectors]
         for t in range(table):
             links &= before[0][:, t][:, None] != before[1][:, t][None, :]
         if i == j:
@@ -163,28 +172,32 @@ def near_vectors(
 
     A NULL vec_id counts as larger than any other; a component of NULL ids alone has component NULL.
     """
-    rows = vectors.select(F.col(vec_id).alias("vec_id"), F.col(embedding).cast("array<double>").alias("vector"))
+    # Floats stay floats on their way; every product is one of doubles.
+    given = vectors.schema[embedding].dataType
+    element = "float" if isinstance(given, T.ArrayType) and isinstance(given.elementType, T.FloatType) else "double"
+    rows = vectors.select(F.col(vec_id).alias("vec_id"), F.col(embedding).cast(f"array<{element}>").alias("vector"))
     bad = F.exists("vector", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     zero = ~F.exists("vector", lambda x: x != 0)
     sound = F.col("vector").isNotNull() & ~bad & ~zero
     # Zeros of either sign are equal, so that their vectors are one class.
-    plain = F.transform("vector", lambda x: x + F.lit(0.0))
-    named = rows.withColumn("vector", F.when(F.coalesce(sound, F.lit(False)), plain)).withColumn(
-        "class", F.when(F.col("vector").isNotNull(), F.xxhash64("vector"))
-    )
-    classes = materialise(
-        named.where(F.col("class").isNotNull())
-        .groupBy("class")
-        .agg(F.min("vec_id").alias("least"), F.count("*").alias("n"), F.max("vector").alias("vector"))
+    plain = F.transform("vector", lambda x: (x + F.lit(0.0)).cast(element))
+    named = rows.withColumn("vector", F.when(F.coalesce(sound, F.lit(False)), plain))
+    there = F.col("vector").isNotNull()
+    hashes = {"h1": F.when(there, F.xxhash64("vector")), "h2": F.when(there, F.xxhash64(F.lit(1), "vector"))}
+    named = named.withColumns(hashes)
+    found = named.where("h1 IS NOT NULL").groupBy(*hashes).agg(
+        F.min("vec_id").alias("least"), F.count("*").alias("n"), F.max("vector").alias("vector")
     )
+    # A number of its own for each pair of hashes: no two vectors share one.
+    classes = materialise(found.withColumn("class", F.monotonically_increasing_id()))
     n = classes.count()
     bits, tables = tables_for(n, threshold, miss)
     keyed = materialise(with_keys(classes, bits, tables))
-    found = materialise(compared(keyed, threshold, tables))
+    found = materialise(compared(keyed, threshold, bits, tables))
     labels = components(found.where(F.col("class") != F.col("peer")), "class", "peer")
     linked = found.where("linked > 0").groupBy("class").agg(F.sum("linked").alias("linked"))
     of_class = (
-        classes.select("class", "least", "n")
+        classes.select("class", *hashes, "least", "n")
         .join(labels.withColumnRenamed("u", "class"), "class", "left")
         .join(linked, "class", "left")
         .withColumn("component", F.coalesce("component", "class"))
@@ -193,11 +206,11 @@ def near_vectors(
     first = of_class.groupBy("component").agg(F.min("least").alias("component_id"))
     of_class = materialise(
         of_class.join(materialise(first), "component").select(
-            "class", "component_id", (F.coalesce("linked", F.lit(0)) + F.col("n") - 1).alias("n_links")
+            *hashes, "component_id", (F.coalesce("linked", F.lit(0)) + F.col("n") - 1).alias("n_links")
         )
     )
-    out = named.select("vec_id", "class").join(of_class, "class", "left")
-    component = F.when(F.col("class").isNull(), F.col("vec_id")).otherwise(F.col("component_id"))
+    out = named.select("vec_id", *hashes).join(of_class, list(hashes), "left")
+    component = F.when(F.col("h1").isNull(), F.col("vec_id")).otherwise(F.col("component_id"))
     return out.select(
         "vec_id",
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
