@@ -117,11 +117,8 @@ def read_ledger(blobs: DataFrame, ledger: str) -> DataFrame | None:
     return spark.read.schema(LEDGER).parquet(ledger)
 
 
-def scan_versions(
-    versions: DataFrame, ledger: str, content: str = "text", rules: tuple[Rule, ...] = RULES
-) -> DataFrame:
-    """Every row of versions with its blob and findings, scanning only what the ledger lacks."""
-    row = F.struct(*[F.col(c) for c in versions.columns if c != content] or [F.lit(1).alias("row")])
+def scan_new(versions: DataFrame, ledger: str, content: str = "text", rules: tuple[Rule, ...] = RULES) -> None:
+    """Scan the pairs of blob and rule version that the ledger lacks, and add them to it."""
     text = F.coalesce(F.col(content), F.lit(""))
     known = read_ledger(versions, ledger)
     blobs = (
@@ -140,6 +137,14 @@ def scan_versions(
     due = blobs.where(F.size(F.array_except(keys, "seen")) > 0)
     scan(due, rules).write.mode("append").parquet(ledger)
 
+
+def scan_versions(
+    versions: DataFrame, ledger: str, content: str = "text", rules: tuple[Rule, ...] = RULES
+) -> DataFrame:
+    """Every row of versions with its blob and findings, scanning only what the ledger lacks."""
+    scan_new(versions, ledger, content, rules)
+    row = F.struct(*[F.col(c) for c in versions.columns if c != content] or [F.lit(1).alias("row")])
+    text = F.coalesce(F.col(content), F.lit(""))
     # A blob can have several ledger rows, one for each time that rules were added.
     wanted = [(r.kind, r.key) for r in rules]
     current = F.filter(
@@ -155,7 +160,8 @@ def scan_versions(
         .select("blob", current.alias("findings"))
         .where(F.size("findings") > 0)
         .groupBy("blob")
-        .agg(F.flatten(F.collect_list("findings")).alias("findings"))
+        # Scans at the same time, or one that was repeated, can leave a finding more than once.
+        .agg(F.array_distinct(F.flatten(F.collect_list("findings"))).alias("findings"))
     )
     # Written, so that both sides of this join are plain shuffles and a hot blob's paths can be split.
     paths = versions.select(row.alias("row"), F.sha2(text, 256).alias("blob"))

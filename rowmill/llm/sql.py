@@ -42,15 +42,28 @@ FROM d LEFT JOIN marked USING (r) LEFT JOIN listed USING (r)
 """
 
 
+# Matched first, then dropped by the length of a group (0: the whole match).
+_KEYWORDS = "|".join(
+    "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in w) for w in ("password", "passwd", "secret", "token", "api_?key")
+)
+_BASE_PATTERNS = {
+    "assign": (rf"({_KEYWORDS})[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", 2, 12),
+    "access": ("AKIA[A-Z0-9]+", 0, 18),
+    "hex": ("[0-9a-f]+", 0, 16),
+}
+
+
 def _findings(rule: secrets.Rule, rank: int) -> str:
-    pattern = rule.pattern.replace("'", "''")
+    pattern, group, least = _BASE_PATTERNS.get(rule.kind, (rule.pattern, 0, 0))
+    pattern = pattern.replace("'", "''")
     return f"""
     SELECT r, {rank} AS rank, '{rule.kind}' AS kind,
            length(array_to_string(list_concat(p[1:i], m[1:i - 1]), '')) AS b,
            length(array_to_string(list_concat(p[1:i], m[1:i]), '')) AS e
     FROM (SELECT r, p, m, unnest(range(1, len(m) + 1)) AS i
           FROM (SELECT r, string_split_regex(t, '{pattern}') AS p,
-                       regexp_extract_all(t, '{pattern}') AS m FROM d))"""
+                       regexp_extract_all(t, '{pattern}') AS m FROM d))
+    WHERE length(regexp_extract(m[i], '{pattern}', {group})) >= {least}"""
 
 
 _ALL = " UNION ALL ".join(_findings(r, k) for k, r in enumerate(secrets.RULES))
