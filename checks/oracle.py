@@ -572,6 +572,14 @@ WHERE value < lo OR value > hi"""
         """SELECT least(floor((x - x0) / ((x1 - x0) / 20)), 19)::INTEGER AS bin_x,
   least(floor((y - y0) / ((y1 - y0) / 20)), 19)::INTEGER AS bin_y, colour, count(*) AS n
 FROM pts, ext GROUP BY 1, 2, 3""",
+    ),
+    "scatter_points": dirty_then(
+        SCATTER.replace("AS colour FROM", "AS colour, ('0x' || substr(md5('42:' || event_id), 1, 15))::BIGINT AS spot FROM"),
+        """SELECT x, y, colour FROM (
+  SELECT x, y, colour, row_number() OVER (
+      PARTITION BY least(floor((x - x0) / ((x1 - x0) / 20)), 19), least(floor((y - y0) / ((y1 - y0) / 20)), 19), colour
+      ORDER BY spot, x, y) AS k FROM pts, ext)
+WHERE k <= 5""",
     ),
     "scatter_margin": dirty_then(
         SCATTER, f"SELECT bin, low, high, n FROM ({bins_of('pts', 'y', '20')})"

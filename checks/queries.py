@@ -438,6 +438,13 @@ def scatter_cells(spark, sf):
     return rm.scatter(events_dirty(spark, sf), "user_id", "value", "event_type", bins=20).cells
 
 
+@query
+def scatter_points(spark, sf):
+    """A sampling operator: up to five points of each cell and colour, by a hash of the key."""
+    df = events_dirty(spark, sf)
+    return rm.scatter(df, "user_id", "value", "event_type", bins=20, per_cell=5, key="event_id").points
+
+
 @query
 def scatter_margin(spark, sf):
     found = rm.scatter(events_dirty(spark, sf), "user_id", "value", "event_type", bins=20)

@@ -9,7 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rowmill.functions.columns import is_fractional, is_numeric
+from rowmill.functions.columns import col, is_fractional, is_numeric
 
 # Text that stands for a missing number.
 NUMERIC_NULL_TEXT = ["", "None", "nan", "NaN"]
@@ -129,6 +129,15 @@ def _ntz_from_micros(micros: Column) -> Column:
     return F.expr("timestamp_ntz'1970-01-01 00:00:00'") + F.make_dt_interval(secs=seconds)
 
 
+SAMPLE_SEED = 42
+
+
+def key_hash(key: str, seed: int = SAMPLE_SEED) -> Column:
+    """60 bits of a digest of a column as text; other engines compute the same."""
+    digest = F.md5(F.concat_ws(":", F.lit(seed), col(key).cast("string")).cast("binary"))
+    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint")
+
+
 # What the letters of a format stand for, by how often they are repeated; any other letter for anything.
 _DIGITS = "yMdHhmsS"
 

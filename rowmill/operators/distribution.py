@@ -8,7 +8,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rowmill.functions.columns import (
@@ -20,7 +20,7 @@ from rowmill.functions.columns import (
     require_columns,
     require_numeric,
 )
-from rowmill.functions.scalars import double
+from rowmill.functions.scalars import double, key_hash
 from rowmill.functions.shipping import runs_in_workers
 from rowmill.operators.profile import distinct_and_nulls, iqr_fences, per_column
 from rowmill.operators.quantiles import extents, quantiles
@@ -30,6 +30,7 @@ runs_in_workers(__name__)
 
 GRID_POINTS = 200
 WIDE_BINS = 50
+POINTS_PER_CELL = 50
 MAX_CATEGORIES = 15
 KINDS = ("hist", "hist_density", "box")
 
@@ -323,16 +324,24 @@ class Scatter:
 
 
 def scatter(
-    df: DataFrame, x: str, y: str, colour: str | None = None, bins: int = WIDE_BINS
+    df: DataFrame, x: str, y: str, colour: str | None = None, bins: int = WIDE_BINS,
+    per_cell: int | None = POINTS_PER_CELL, key: str | None = None,
 ) -> Scatter:
-    """Complete rows of two columns as points, as counts per 2-D cell, and both margins."""
+    """Complete rows of two columns as points, as counts per 2-D cell, and both margins.
+
+    `points` holds all rows of a cell and colour, or a sample of `per_cell` of them where there are more: those
+    with the smallest hash of `key` (without one, of the point itself), so that sparse regions stay whole and
+    the table does not grow with the rows. `cells` and the margins count all rows.
+    """
     require_numeric(df, [x, y])
-    if colour is not None:
-        require_columns(df, [colour])
+    require_columns(df, [c for c in (colour, key) if c is not None])
     wanted = [double(col(x)).alias("x"), double(col(y)).alias("y")]
     if colour is not None:
         wanted.append(col(colour).alias("colour"))
-    points = nan_to_null(df.select(*wanted)).na.drop()
+    names = ["x", "y", "colour"][: len(wanted)]
+    spot = F.xxhash64(*[w for w in wanted]) if key is None else key_hash(key)
+    spotted = nan_to_null(df.select(*wanted, spot.alias("__spot"))).na.drop(subset=names)
+    points = spotted.drop("__spot")
     fitted = _fit_bins(points, ["x", "y"], bins)
     groups = ["colour"] if colour is not None else []
     reason = None if fitted else "no complete rows"
@@ -342,8 +351,14 @@ def scatter(
     }
     cells = points.groupBy(*spots.values(), *groups).agg(F.count(F.lit(1)).alias("n"))
     margins = _bars(points, fitted)
+    shown = points
+    if per_cell is not None:
+        # Spark keeps the first rows of every cell in each task before it gathers them.
+        order = Window.partitionBy("bin_x", "bin_y", *groups).orderBy("__spot", "x", "y")
+        placed = spotted.select("*", *spots.values()).withColumn("place", F.row_number().over(order))
+        shown = placed.filter(F.col("place") <= per_cell).select(*names)
     return Scatter(
-        points,
+        shown,
         cells,
         margins.filter(F.col("column") == "x").drop("column"),
         margins.filter(F.col("column") == "y").drop("column"),

@@ -114,10 +114,16 @@ class OneHotEncode(Step):
             if len(levels) > self.max_levels:
                 raise StepRefused(f"one-hot on {c}: more than {self.max_levels} values")
             values = sorted((r["value"] for r in levels), key=lambda v: v.encode("utf-8"))
-            x = col(c).cast("string")
-            new = {
-                f"{c}_{v}{ENCODED_SUFFIX}": x.eqNullSafe(F.lit(v)).cast("bigint") for v in values
-            }
+            x, new = col(c).cast("string"), {}
+            taken = {n.lower() for n in df.columns if not n.lower().startswith(f"{c}_".lower())}
+            for v in values:
+                name, again = f"{c}_{v}{ENCODED_SUFFIX}", 0
+                # Names that differ by case alone would be one column.
+                while name.lower() in taken:
+                    again += 1
+                    name = f"{c}_{v}.{again}{ENCODED_SUFFIX}"
+                taken.add(name.lower())
+                new[name] = x.eqNullSafe(F.lit(v)).cast("bigint")
             actions.append(Action("encode", c, f"one-hot: {len(values)} columns", replacing(new)))
         return actions
 

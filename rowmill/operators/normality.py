@@ -13,7 +13,7 @@ from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rowmill.functions import bands
@@ -25,15 +25,13 @@ from rowmill.functions.columns import (
     require_columns,
     require_numeric,
 )
-from rowmill.functions.scalars import double, inverse_normal, rounded
+from rowmill.functions.scalars import double, inverse_normal, key_hash, rounded
 from rowmill.functions.shipping import runs_in_workers
 from rowmill.operators.ranks import running_weight
 from rowmill.plans.storage import materialise
 
 runs_in_workers(__name__)
 
-SAMPLE_SEED = 42
-
 # Places of one value whose scores are summed in one part.
 PART = 1 << 16
 
@@ -129,12 +127,6 @@ def _scored(values: DataFrame, k: int) -> dict[int, tuple]:
     }
 
 
-def key_hash(key: str, seed: int = SAMPLE_SEED) -> Column:
-    """60 bits of a digest of the key as text; other engines compute the same."""
-    digest = F.md5(F.concat_ws(":", F.lit(seed), col(key).cast("string")).cast("binary"))
-    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint")
-
-
 def smallest(rows: DataFrame, k: int) -> DataFrame:
     """The k rows of the smallest (spot, x) of every item, from rows (item, spot, x).
 

@@ -106,6 +106,14 @@ def test_scatter(frame):
     assert empty.reason == "no complete rows" and empty.cells.count() == 0
 
 
+def test_points_of_a_cell_are_bounded(spark):
+    df = spark.range(3000).selectExpr("id", "cast(id % 2 AS double) AS x", "cast(id % 3 AS double) AS y")
+    s = rm.scatter(df.repartition(5), "x", "y", bins=4, per_cell=7, key="id")
+    assert s.points.groupBy("x", "y").count().collect() and s.points.count() == 6 * 7
+    assert s.cells.agg({"n": "sum"}).first()[0] == 3000
+    assert rm.scatter(df, "x", "y", per_cell=None).points.count() == 3000
+
+
 def test_layout_does_not_matter(spark, table):
     df = table("events").selectExpr("event_id", "value", "event_type")
     results = []

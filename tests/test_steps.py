@@ -179,10 +179,17 @@ def test_label_with_many_values(spark):
     assert got == [order.get(w) for w in words]
 
 
+def test_onehot_names_that_differ_by_case(labels):
+    out = rm.OneHotEncode("c").run(labels)
+    assert len({n.lower() for n in out.columns}) == len(out.columns)
+    assert [r["c_b.1_encoded"] for r in out.orderBy("id").collect()] == [1, 0, 0, 1, 0, 0]
+    assert [r["c_B_encoded"] for r in out.orderBy("id").collect()] == [0, 0, 0, 0, 0, 1]
+
+
 def test_onehot(labels):
     out = rm.OneHotEncode("c").run(labels)
     assert out.columns == [
-        "id", "c", "c_B_encoded", "c_a_encoded", "c_b_encoded", "c_ñ_encoded",
+        "id", "c", "c_B_encoded", "c_a_encoded", "c_b.1_encoded", "c_ñ_encoded",
     ]
     sums = [sum(r[2:]) for r in out.orderBy("id").collect()]
     assert sums == [1, 0, 1, 1, 1, 1]
