@@ -3,11 +3,9 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,21 +19,20 @@ from rowmill.functions.columns import (
     require_numeric,
 )
 from rowmill.functions.scalars import double, key_hash
-from rowmill.functions.shipping import runs_in_workers
 from rowmill.operators.profile import distinct_and_nulls, iqr_fences, per_column
 from rowmill.operators.quantiles import extents, quantiles
 from rowmill.operators.ranks import count_values
 
-runs_in_workers(__name__)
-
 GRID_POINTS = 200
 WIDE_BINS = 50
 POINTS_PER_CELL = 50
 MAX_CATEGORIES = 15
 KINDS = ("hist", "hist_density", "box")
 
-# exp(-u * u / 2) is exactly zero in double precision beyond this u.
-KERNEL_REACH = 38.7
+# Density curves: cells and reach of the kernel in bandwidths, and the degree of its expansion within a cell.
+CELL_SIZE = 0.5
+KERNEL_REACH = 9.0
+DEGREE = 17
 
 
 def default_bins(n: int) -> int:
@@ -159,22 +156,24 @@ def numeric_distribution(
     return histogram(df, columns or numeric_columns(df), bins)
 
 
-def kernel_sums(values: np.ndarray, grid: np.ndarray, bandwidth: float) -> np.ndarray:
-    """Sum of exp(-u * u / 2) over the values, per grid point."""
-    values = np.sort(values)
-    reach = KERNEL_REACH * bandwidth
-    first = np.searchsorted(values, grid - reach, "left")
-    last = np.searchsorted(values, grid + reach, "right")
-    sums = np.zeros(len(grid))
-    for i, (a, b) in enumerate(zip(first, last)):
-        u = (values[a:b] - grid[i]) / bandwidth
-        sums[i] = np.exp(-0.5 * u * u).sum()
-    return sums
+def _factors(x: Column, degree: int) -> list[Column]:
+    """x^k / k! for k up to `degree`."""
+    found = [F.lit(1.0)]
+    for k in range(1, degree + 1):
+        found.append(found[-1] * x / F.lit(float(k)))
+    return found
 
 
 def kde(df: DataFrame, column: str, points: int = GRID_POINTS) -> DataFrame:
     """(point, x, density): Gaussian density between min and max, bandwidth sd * n^(-1/5).
 
+    Values are summed up by cells of half a bandwidth: per cell the moments around its middle. The kernel of a
+    value d bandwidths from the middle m, seen from a point u bandwidths from m, is the sum over k of
+    d^k / k! * He_k(u) * exp(-u * u / 2) with the Hermite polynomials He_k, so each cell adds its moments times
+    these to the points within KERNEL_REACH bandwidths. As |He_k(u)| exp(-u * u / 4) < 1.09 sqrt(k!) and
+    d <= 1/4, what is cut off is below 1e-16 of one value's peak; what is out of reach is below 1e-17 of it.
+    The cost is that of one aggregation over the rows, and cells times points in reach.
+
     Empty for a column with fewer than two different values.
     """
     require_numeric(df, [column])
@@ -189,20 +188,44 @@ def kde(df: DataFrame, column: str, points: int = GRID_POINTS) -> DataFrame:
     _finite(column, low, high)
     bandwidth = sd * n ** (-1 / 5)
     step = (high - low) / (points - 1)
-    grid = low + step * np.arange(points)
-
-    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sums = np.zeros(points)
-        for batch in batches:
-            sums += kernel_sums(batch["x"].to_numpy(), grid, bandwidth)
-        yield pd.DataFrame({"point": np.arange(points, dtype="int32"), "total": sums})
+    size = CELL_SIZE * bandwidth
+    placed = df.select(
+        F.floor((F.col("x") - F.lit(low)) / F.lit(size)).alias("cell"), F.col("x")
+    ).select("cell", ((F.col("x") - F.lit(low) - (F.col("cell") + 0.5) * size) / F.lit(bandwidth)).alias("d"))
+    cells = placed.groupBy("cell").agg(
+        *[F.sum(f).alias(f"m{k}") for k, f in enumerate(_factors(F.col("d"), DEGREE))]
+    )
+    # The grid points in reach of each cell, and the distance of each in bandwidths.
+    middle, reach = (F.col("cell") + 0.5) * size, KERNEL_REACH * bandwidth
+    first = F.greatest(F.ceil((middle - reach) / step), F.lit(0).cast("long")).cast("int")
+    last = F.least(F.floor((middle + reach) / step), F.lit(points - 1).cast("long")).cast("int")
+    seen = cells.filter(first <= last).select("*", F.explode(F.sequence(first, last)).alias("point"))
+    u = (F.col("point") * F.lit(step) - middle) / F.lit(bandwidth)
+    moments = [f"m{k}" for k in range(DEGREE + 1)]
+    state = seen.select("point", *moments, u.alias("u")).select(
+        "point", *moments, "u", F.exp(F.col("u") * F.col("u") * -0.5).alias("peak")
+    )
+    # sum of m_k He_k(u) by He_(k+1) = u He_k - k He_(k-1), kept as (total, He_k, He_(k-1)).
+    terms = F.array(*[F.struct(F.lit(float(k)).alias("k"), F.col(m).alias("m")) for k, m in enumerate(moments)])
+    start = F.struct(F.lit(0.0).alias("total"), F.lit(1.0).alias("now"), F.lit(0.0).alias("before"))
+
+    def add(so_far: Column, term: Column) -> Column:
+        now, before = so_far["now"], so_far["before"]
+        return F.struct(
+            (so_far["total"] + term["m"] * now).alias("total"),
+            (F.col("u") * now - term["k"] * before).alias("now"),
+            now.alias("before"),
+        )
 
+    total = F.aggregate(terms, start, add, lambda so_far: so_far["total"]) * F.col("peak")
+    curve = state.select("point", total.alias("total")).groupBy("point").agg(F.sum("total").alias("total"))
+    # Points out of every value's reach have density zero.
+    grid = spark.range(points).select(F.col("id").cast("int").alias("point"))
     scale = n * bandwidth * math.sqrt(2 * math.pi)
-    return (
-        df.mapInPandas(partial, "point int, total double")
-        .groupBy("point")
-        .agg((F.sum("total") / F.lit(scale)).alias("density"))
-        .select("point", (F.lit(low) + F.col("point") * F.lit(step)).alias("x"), "density")
+    return grid.join(F.broadcast(curve), "point", "left").select(
+        "point",
+        (F.lit(low) + F.col("point") * F.lit(step)).alias("x"),
+        F.greatest(F.coalesce(F.col("total"), F.lit(0.0)) / F.lit(scale), F.lit(0.0)).alias("density"),
     )
 
 

@@ -8,10 +8,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowmill.functions.columns import col, numeric_columns, require_numeric
+from rowmill.functions.columns import col, nan_to_null, numeric_columns, require_numeric
 from rowmill.functions.scalars import clip, double
 from rowmill.operators.profile import iqr_fences
-from rowmill.operators.quantiles import quantiles
+from rowmill.operators.quantiles import Outline, outline_expressions, quantiles
 from rowmill.plans.step import ALL, Action, Step, StepRefused, keeping, replacing, unchanged
 
 METHODS = ("iqr_clip", "iqr_drop", "zscore_clip", "zscore_drop", "cap_pct")
@@ -50,11 +50,32 @@ class TreatOutliers(Step):
             return [self._clip(c, b) for c, b in self._bounds(df, names).items()]
         if self.order == "joint":
             return [self._drop(c, b) for c, b in self._bounds(df, names).items()]
-        actions = []
+        return self._drops_in_turn(df, names)
+
+    def _drops_in_turn(self, df: DataFrame, names: Sequence[str]) -> list[Action]:
+        """Each column's drop, fitted on the rows that the earlier ones leave.
+
+        Quartiles of later columns are bracketed from one pass over the whole input, by as many ranks more as
+        rows may be gone by then, so each column costs one pass of counting.
+        """
+        outlined = self.method == "iqr_drop" and self.exact and len(names) > 1
+        known, rows = {}, 0
+        if outlined:
+            exprs = [e for c in names for e in outline_expressions(c)]
+            rows, *row = nan_to_null(df.select(*[col(c) for c in names])).agg(F.count(F.lit(1)), *exprs).first()
+            known = {c: Outline(*row[4 * i : 4 * i + 4]) for i, c in enumerate(names)}
+        actions, dropped = [], 0
         for c in names:
-            action = self._drop(c, self._bounds(df, [c])[c])
+            if outlined:
+                found = quantiles(df, [c], [0.25, 0.75], known=known, dropped=dropped)
+                bounds = self._range(*found[c])
+            else:
+                bounds = self._bounds(df, [c])[c]
+            action = self._drop(c, bounds)
             df = action.apply(df)
             actions.append(action)
+            if outlined:
+                dropped += rows - known[c].n + known[c].outside(*bounds)
         return actions
 
     def _bounds(self, df: DataFrame, names: Sequence[str]) -> dict[str, tuple | None]:

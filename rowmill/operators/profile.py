@@ -36,7 +36,7 @@ from rowmill.functions.scalars import (
     percent,
     rounded,
 )
-from rowmill.operators.quantiles import quantiles
+from rowmill.operators.quantiles import Outline, outline_expressions, quantiles
 from rowmill.operators.ranks import count_values
 from rowmill.plans.storage import materialise
 
@@ -260,6 +260,12 @@ _STATS = [
 ]
 
 
+def _outline_expressions(name: str, exact: bool) -> list[Column]:
+    """Those of an outline, without its sketch where nothing asks for it."""
+    found = outline_expressions(name)
+    return found if exact else [*found[:3], F.lit(None)]
+
+
 def numeric_stats(
     df: DataFrame,
     columns: Sequence[str] | None = None,
@@ -278,13 +284,13 @@ def numeric_stats(
     for c in names:
         x = double(col(c))
         exprs += [
-            F.count(x), F.min(x), F.max(x), F.avg(x), F.var_samp(x), F.skewness(x),
-            F.kurtosis(x), F.sum(x),
+            *_outline_expressions(c, exact), F.avg(x), F.var_samp(x), F.skewness(x), F.kurtosis(x), F.sum(x),
         ]
     flat = df.agg(*exprs).first()
-    moments = {c: flat[8 * i : 8 * i + 8] for i, c in enumerate(names)}
-    extent = {c: m[:3] for c, m in moments.items()}
-    quartiles = quantiles(df, names, [0.25, 0.5, 0.75], exact=exact, extent=extent)
+    found = {c: flat[9 * i : 9 * i + 9] for i, c in enumerate(names)}
+    known = {c: Outline(*f[:4]) for c, f in found.items()}
+    moments = {c: (*f[:3], *f[4:]) for c, f in found.items()}
+    quartiles = quantiles(df, names, [0.25, 0.5, 0.75], exact=exact, known=known)
     base = [(c, *moments[c], *quartiles[c]) for c in names]
     raw = _report(
         df,
@@ -326,13 +332,13 @@ def describe_numeric(
     exprs = []
     for c in names:
         x = double(col(c))
-        exprs += [F.count(x), F.min(x), F.max(x), F.avg(x), F.stddev_samp(x)]
+        exprs += [*_outline_expressions(c, exact), F.avg(x), F.stddev_samp(x)]
     flat = df.agg(*exprs).first()
-    found = {c: flat[5 * i : 5 * i + 5] for i, c in enumerate(names)}
-    extent = {c: f[:3] for c, f in found.items()}
-    quartiles = quantiles(df, names, [0.25, 0.5, 0.75], exact=exact, extent=extent)
+    found = {c: flat[6 * i : 6 * i + 6] for i, c in enumerate(names)}
+    known = {c: Outline(*f[:4]) for c, f in found.items()}
+    quartiles = quantiles(df, names, [0.25, 0.5, 0.75], exact=exact, known=known)
     rows = [
-        (c, found[c][0], found[c][3], found[c][4], found[c][1], *quartiles[c], found[c][2])
+        (c, found[c][0], found[c][4], found[c][5], found[c][1], *quartiles[c], found[c][2])
         for c in names
     ]
     table = _report(df, rows, schema)

@@ -1,55 +1,70 @@
 """Exact linear-interpolated quantiles of many columns.
 
-Few rows go through the built-in `percentile`. Beyond that a sketch of a bounded sample brackets
-each wanted order statistic, one pass counts the rows below every bracket, and only the rows inside
-a bracket are grouped by value and ranked. The counts prove that a bracket holds its order
-statistics; one that does not is widened, so the result never depends on the sketch.
+One pass outlines every column: the number of its values, their extent, and a sketch's values at a grid of
+ranks. The outline brackets each wanted order statistic. A second pass counts the values inside the brackets
+one by one and all others by the gap they fall in; running sums over these counts place every entry. A wanted
+rank that falls on a gap proves that its bracket missed; that bracket is widened, in the end to the whole
+range, so the result never depends on the sketch. There is one path for every size.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowmill.functions.columns import col, nan_to_null, require_numeric
 from rowmill.functions.scalars import double
 from rowmill.operators.ranks import running_weight
 
-# Up to this many rows `percentile` is exact, cheap and bounded in memory.
-DIRECT_ROWS = 250_000
+SKETCH_SIZE = 4096
+GRID = 1000
 
-# Rows that feed the bracketing sketch, whatever the size of the table.
-SAMPLE_ROWS = 1_000_000
+# Half the share of ranks that a bracket covers, in the first attempt and in the second.
+HALF_WIDTHS = (0.003, 0.024)
 
-SKETCH_SIZE = 4096
-HALF_WIDTH = 0.003
 
+@dataclass(frozen=True)
+class Outline:
+    """Number of values, extent, and about the value at every rank share k / GRID of one column."""
+
+    n: int
+    low: float | None
+    high: float | None
+    grid: Sequence[float] | None
 
-@dataclass
-class _Segment:
-    """A value range that should hold the order statistics `ranks` of one column."""
+    def bracket(self, first: float, last: float) -> tuple[float, float]:
+        """A range that should hold the values from one share of the ranks to another."""
+        a, b = math.floor(first * GRID), math.ceil(last * GRID)
+        low = self.low if self.grid is None or a <= 0 else self.grid[a]
+        high = self.high if self.grid is None or b >= GRID else self.grid[b]
+        return low, high
 
-    column: int
-    low: float
-    high: float
-    ranks: set[int]
-    below: int = 0
-    upto: int = 0
+    def outside(self, low: float, high: float) -> int:
+        """About how many values lie outside a range; rather too many than too few."""
+        if self.grid is None:
+            return self.n
+        inside = sum(low <= g <= high for g in self.grid)
+        return min(self.n, math.ceil(self.n * (GRID + 2 - inside) / GRID))
 
-    def holds(self, rank: int) -> bool:
-        return self.below <= rank < self.upto
 
+def outline_expressions(name: str) -> list[Column]:
+    """The aggregates that make up the outline of a column."""
+    x = double(col(name))
+    shares = F.expr(f"array({', '.join(f'{k / GRID}D' for k in range(GRID + 1))})")
+    sketch = F.kll_sketch_agg_double(x, SKETCH_SIZE)
+    # A sketch without values answers no question.
+    grid = F.when(F.count(x) > 0, F.kll_sketch_get_quantile_double(sketch, shares))
+    return [F.count(x), F.min(x), F.max(x), grid]
 
-@dataclass
-class _Target:
-    n: int
-    low: float
-    high: float
-    ranks: set[int] = field(default_factory=set)
+
+def outlines(df: DataFrame, columns: Sequence[str]) -> dict[str, Outline]:
+    """The outline of each column, all in one pass."""
+    row = df.agg(*[e for c in columns for e in outline_expressions(c)]).first()
+    return {c: Outline(*row[4 * i : 4 * i + 4]) for i, c in enumerate(columns)}
 
 
 def _order_statistics(n: int, p: float) -> tuple[int, int, float]:
@@ -64,135 +79,106 @@ def _interpolate(lower: float, upper: float, share: float) -> float:
     return lower + (upper - lower) * share
 
 
-def _direct(df: DataFrame, columns: list[str], probs: list[float]) -> dict[str, list]:
-    grid = F.array(*[F.lit(p) for p in probs])
-    row = df.agg(*[F.percentile(double(col(c)), grid) for c in columns]).first()
-    return {c: list(row[i]) if row[i] is not None else [None] * len(probs)
-            for i, c in enumerate(columns)}
-
-
 def _brackets(
-    df: DataFrame, columns: list[str], targets: list[_Target], width: float
-) -> list[_Segment]:
-    """Value ranges around the wanted ranks, from one sketch per column."""
-    largest = max(t.n for t in targets)
-    share = min(1.0, SAMPLE_ROWS / largest)
-    sample = df if share == 1.0 else df.sample(share, seed=7)
-    exprs, wanted = [], []
-    for i, target in enumerate(targets):
-        if not target.ranks:
-            continue
-        sketch = F.kll_sketch_agg_double(double(col(columns[i])), SKETCH_SIZE)
-        points = []
-        for rank in sorted(target.ranks):
-            p = rank / max(target.n - 1, 1)
-            points.append((rank, max(p - width, 0.0), min(p + width, 1.0)))
-        grid = F.array(*[F.lit(x) for _, lo, hi in points for x in (lo, hi)])
-        exprs.append(F.kll_sketch_get_quantile_double(sketch, grid))
-        wanted.append((i, points))
-    values = sample.agg(*exprs).first()
-    segments: list[_Segment] = []
-    for (i, points), found in zip(wanted, values):
-        t = targets[i]
-        for j, (rank, lo, hi) in enumerate(points):
-            low = t.low if found is None or lo == 0.0 else found[2 * j]
-            high = t.high if found is None or hi == 1.0 else found[2 * j + 1]
-            segments.append(_Segment(i, low, high, {rank}))
-    return _merged(segments)
-
-
-def _merged(segments: list[_Segment]) -> list[_Segment]:
-    out: list[_Segment] = []
-    for s in sorted(segments, key=lambda s: (s.column, s.low, s.high)):
-        if out and out[-1].column == s.column and s.low <= out[-1].high:
-            out[-1].high = max(out[-1].high, s.high)
-            out[-1].ranks |= s.ranks
+    outline: Outline, probs: Sequence[float], width: float, dropped: int = 0
+) -> list[tuple[float, float]]:
+    """Disjoint ascending ranges that should hold the order statistics at `probs`.
+
+    Of the outlined values up to `dropped` may be gone. A rank among the others is then up to that many
+    places further up in the outline.
+    """
+    gone = min(dropped / outline.n, 1.0)
+    step = 1 / max(outline.n - 1, 1)
+    found: list[tuple[float, float]] = []
+    for p in sorted(probs):
+        first = p * (1 - gone)
+        low, high = outline.bracket(first - width - step, first + gone + width + step)
+        if found and low <= found[-1][1]:
+            found[-1] = found[-1][0], max(found[-1][1], high)
         else:
-            out.append(_Segment(s.column, s.low, s.high, set(s.ranks)))
-    return out
+            found.append((low, high))
+    return found
 
 
-def _count_around(df: DataFrame, columns: list[str], segments: list[_Segment]) -> None:
-    exprs = []
-    for s in segments:
-        x = double(col(columns[s.column]))
-        exprs += [F.count_if(x < F.lit(s.low)), F.count_if(x <= F.lit(s.high))]
-    row = df.agg(*exprs).first()
-    for j, s in enumerate(segments):
-        s.below, s.upto = row[2 * j], row[2 * j + 1]
-
-
-def _settle(
-    df: DataFrame, columns: list[str], targets: list[_Target], segments: list[_Segment]
-) -> list[_Segment]:
-    """Count around the segments and widen those that miss one of their order statistics."""
-    _count_around(df, columns, segments)
-    good = [s for s in segments if all(s.holds(r) for r in s.ranks)]
-    bad = [s for s in segments if not all(s.holds(r) for r in s.ranks)]
-    if not bad:
-        return good
-    ranks: dict[int, set[int]] = {}
-    for s in bad:
-        ranks.setdefault(s.column, set()).update(s.ranks)
-    wide = [_Target(t.n, t.low, t.high, ranks.get(i, set())) for i, t in enumerate(targets)]
-    retry = _brackets(df, columns, wide, HALF_WIDTH * 8)
-    _count_around(df, columns, retry)
-    for s in retry:
-        if not all(s.holds(r) for r in s.ranks):
-            t = targets[s.column]
-            s.low, s.high, s.below, s.upto = t.low, t.high, 0, t.n
-    return good + retry
-
-
-def _pick(df: DataFrame, columns: list[str], segments: list[_Segment]) -> dict:
-    """The value at every (column, rank) of the segments."""
-    found = {(s.column, r): s.low for s in segments if s.low == s.high for r in s.ranks}
-    open_ = [s for s in segments if s.low != s.high]
-    if not open_:
-        return found
-    entries, any_inside = [], F.lit(False)
-    for j, s in enumerate(open_):
-        x = double(col(columns[s.column]))
-        inside = x.between(F.lit(s.low), F.lit(s.high))
-        any_inside = any_inside | inside
-        entries.append(F.when(inside, F.struct(F.lit(j).alias("segment"), x.alias("value"))))
+def _counted(df: DataFrame, brackets: dict[str, list[tuple[float, float]]]) -> DataFrame:
+    """(item, at, before_n, n): the values inside brackets, and the gaps between them, in order with counts.
+
+    Places of gaps are even, those of brackets odd; a gap has no value. `item` indexes the keys of `brackets`.
+    """
+    entries = []
+    for i, (c, ranges) in enumerate(brackets.items()):
+        x = double(col(c))
+        place, value = F.lit(2 * len(ranges)), F.lit(None).cast("double")
+        for j, (low, high) in reversed(list(enumerate(ranges))):
+            below, inside = x < F.lit(low), x <= F.lit(high)
+            place = F.when(below, 2 * j).when(inside, 2 * j + 1).otherwise(place)
+            value = F.when(below, None).when(inside, x).otherwise(value)
+        entry = F.struct(F.lit(i).alias("item"), F.struct(place.alias("place"), value.alias("value")).alias("at"))
+        entries.append(F.when(x.isNotNull(), entry))
     counts = (
-        df.filter(any_inside)
-        .select(F.inline(F.array(*entries)))
-        .filter("segment is not null")
-        .groupBy("segment", "value")
+        df.select(F.inline(F.array(*entries)))
+        .filter("item is not null")
+        .groupBy("item", "at")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    ranked = running_weight(counts, ["segment"], "value", ["n"])
+    return running_weight(counts, ["item"], "at", ["n"])
+
+
+def _at_ranks(placed: DataFrame, ranks: list[set[int]]) -> dict[tuple[int, int], float | None]:
+    """The value at every (item, rank); None where the rank falls on a gap."""
     hit = F.lit(False)
-    for j, s in enumerate(open_):
-        for r in s.ranks:
-            at = F.lit(r - s.below)
-            hit = hit | (
-                (F.col("segment") == j) & (F.col("before_n") <= at)
-                & (at < F.col("before_n") + F.col("n"))
-            )
+    for i, wanted in enumerate(ranks):
+        for r in sorted(wanted):
+            there = (F.col("before_n") <= r) & (F.lit(r) < F.col("before_n") + F.col("n"))
+            hit = hit | ((F.col("item") == i) & there)
+    found = {}
     # At most one row per wanted order statistic.
-    for row in ranked.filter(hit).collect():
-        s = open_[row["segment"]]
-        first = s.below + row["before_n"]
-        for r in s.ranks:
-            if first <= r < first + row["n"]:
-                found[(s.column, r)] = row["value"]
+    for row in placed.filter(hit).select("item", "before_n", "n", "at.value").collect():
+        for r in ranks[row["item"]]:
+            if row["before_n"] <= r < row["before_n"] + row["n"]:
+                found[row["item"], r] = row["value"]
     return found
 
 
+def _settled(
+    df: DataFrame, outline: dict[str, Outline], probs: Sequence[float], width: float | None, dropped: int
+) -> tuple[dict[str, list[float | None]], list[str]]:
+    """The quantiles of the columns whose brackets held, and the names of the other columns."""
+    if width is None:
+        brackets = {c: [(o.low, o.high)] for c, o in outline.items()}
+    else:
+        brackets = {c: _brackets(o, probs, width, dropped) for c, o in outline.items()}
+    placed = _counted(df, brackets)
+    sizes = [o.n for o in outline.values()]
+    if dropped:
+        left = placed.groupBy("item").agg(F.sum("n").alias("n")).collect()
+        sizes = [next((r["n"] for r in left if r["item"] == i), 0) for i in range(len(sizes))]
+    ranks = [{r for p in probs for r in _order_statistics(n, p)[:2]} if n else set() for n in sizes]
+    found = _at_ranks(placed, ranks) if any(ranks) else {}
+    result, missed = {}, []
+    for i, (c, n) in enumerate(zip(outline, sizes)):
+        if any(found[i, r] is None for r in ranks[i]):
+            missed.append(c)
+            continue
+        result[c] = []
+        for p in probs:
+            lower, upper, share = _order_statistics(n, p) if n else (0, 0, 0.0)
+            result[c].append(_interpolate(found[i, lower], found[i, upper], share) if n else None)
+    return result, missed
+
+
 def quantiles(
     df: DataFrame,
     columns: Sequence[str],
     probs: Sequence[float],
     exact: bool = True,
-    extent: dict[str, tuple[int, float, float]] | None = None,
-    direct_rows: int = DIRECT_ROWS,
+    known: dict[str, Outline] | None = None,
+    dropped: int = 0,
 ) -> dict[str, list[float | None]]:
     """Quantiles of each column at `probs`; None where a column has no values.
 
-    `extent` passes on (non-null count, min, max) per column when the caller has them already.
+    `known` passes on the outlines when the caller has them already. They may be those of a table from which
+    rows were dropped since, about `dropped` of them: brackets are wider then, and the result as exact.
     `exact=False` answers from a percentile sketch in one pass.
     """
     columns, probs = require_numeric(df, columns), list(probs)
@@ -203,27 +189,14 @@ def quantiles(
         row = df.agg(*[F.percentile_approx(double(col(c)), probs, 100_000) for c in columns]).first()
         return {c: list(row[i]) if row[i] is not None else [None] * len(probs)
                 for i, c in enumerate(columns)}
-    if extent is None:
-        extent = extents(df, columns)
-    targets = [_Target(*extent[c]) for c in columns]
-    if max(t.n for t in targets) <= direct_rows:
-        return _direct(df, columns, probs)
-    for t in targets:
-        if t.n:
-            for p in probs:
-                t.ranks.update(_order_statistics(t.n, p)[:2])
-    segments = _settle(df, columns, targets, _brackets(df, columns, targets, HALF_WIDTH))
-    found = _pick(df, columns, segments)
-    result: dict[str, list[float | None]] = {}
-    for i, (c, t) in enumerate(zip(columns, targets)):
-        values = []
-        for p in probs:
-            if not t.n:
-                values.append(None)
-                continue
-            lower, upper, share = _order_statistics(t.n, p)
-            values.append(_interpolate(found[(i, lower)], found[(i, upper)], share))
-        result[c] = values
+    known = outlines(df, columns) if known is None else known
+    open_ = {c: known[c] for c in columns if known[c].n}
+    result: dict[str, list[float | None]] = {c: [None] * len(probs) for c in columns}
+    for width in (*HALF_WIDTHS, None):
+        if open_ and probs:
+            found, missed = _settled(df, open_, probs, width, dropped)
+            result |= found
+            open_ = {c: open_[c] for c in missed}
     return result
 
 

@@ -17,7 +17,7 @@ from rowmill.functions.columns import (
     require_numeric,
 )
 from rowmill.functions.scalars import double, floor_at_zero
-from rowmill.operators.quantiles import quantiles
+from rowmill.operators.quantiles import Outline, outline_expressions, quantiles
 from rowmill.plans.step import ALL, Action, Step, StepRefused
 
 METHODS = ("standard", "minmax", "robust", "log", "sqrt")
@@ -76,22 +76,22 @@ class Scale(Step):
         exprs = []
         for s in sources:
             x = double(col(s))
+            outline = outline_expressions(s)
+            if self.method != "robust" or not self.exact:
+                outline[3] = F.lit(None)
             exprs += [
-                F.count_if(F.abs(x) == F.lit(float("inf"))),
-                F.count(x), F.min(x), F.max(x), F.avg(x), F.stddev_pop(x),
+                F.count_if(F.abs(x) == F.lit(float("inf"))), *outline, F.avg(x), F.stddev_pop(x),
             ]
         row = df.agg(*exprs).first()
-        stats = {s: row[6 * i : 6 * i + 6] for i, s in enumerate(sources)}
+        stats = {s: row[7 * i : 7 * i + 7] for i, s in enumerate(sources)}
         bad = [s for s, found in stats.items() if found[0]]
         if bad:
             raise StepRefused(f"infinite values in {', '.join(bad)}")
         if self.method == "robust":
-            extent = {s: found[1:4] for s, found in stats.items()}
-            quartiles = quantiles(
-                df, sources, [0.25, 0.5, 0.75], exact=self.exact, extent=extent
-            )
+            known = {s: Outline(*found[1:5]) for s, found in stats.items()}
+            quartiles = quantiles(df, sources, [0.25, 0.5, 0.75], exact=self.exact, known=known)
         fitted: dict[str, tuple | None] = {}
-        for s, (_, n, low, high, mean, sd) in stats.items():
+        for s, (_, n, low, high, _, mean, sd) in stats.items():
             if not n:
                 fitted[s] = None
             elif self.method == "standard":

@@ -128,3 +128,26 @@ def test_layout_does_not_matter(spark, table):
             ]
         )
     assert results[0] == results[1]
+
+
+def test_kde_between_far_values(frame):
+    """Points far from every value have no density; beside a value the curve is that of its kernels."""
+    df = frame([(0.0,), (0.0,), (0.1,), (1e9,)] * 50, "x double")
+    curve = rm.kde(df, "x", points=50).orderBy("point").collect()
+    x = np.array([0.0, 0.0, 0.1, 1e9] * 50)
+    h = x.std(ddof=1) * len(x) ** -0.2
+    u = (np.linspace(0, 1e9, 50)[:, None] - x) / h
+    expected = np.exp(-u * u / 2).sum(axis=1) / (len(x) * h * math.sqrt(2 * math.pi))
+    np.testing.assert_allclose([r["density"] for r in curve], expected, rtol=1e-9, atol=1e-17 * expected.max())
+
+
+def test_kde_error_bound(spark):
+    """Heavy tails, so that grid points in gaps, cells at the edge of reach and dense cells all occur."""
+    x = np.random.default_rng(5).standard_t(1.5, 3000)
+    df = spark.createDataFrame([(float(v),) for v in x], "x double")
+    got = np.array([r["density"] for r in rm.kde(df, "x").orderBy("point").collect()])
+    h = x.std(ddof=1) * len(x) ** -0.2
+    u = (np.linspace(x.min(), x.max(), 200)[:, None] - x) / h
+    peak = 1 / (h * math.sqrt(2 * math.pi))
+    expected = np.exp(-u * u / 2).sum(axis=1) / len(x) * peak
+    assert np.abs(got - expected).max() < 1e-14 * peak
