@@ -34,6 +34,11 @@ DIRTY_TYPES = {
 LINE_NUMBERS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 NET_COLUMNS = [*LINE_NUMBERS, "net", "qty_null"]
 
+PICKED = {
+    "l_orderkey": "int64", "l_partkey": "int64", "l_suppkey": "int64", "l_returnflag": "object",
+    "l_linestatus": "object",
+}
+
 MISSING_BAND = """CASE WHEN pct < 1 THEN 'trivial' WHEN pct < 5 THEN 'manageable'
   WHEN pct < 15 THEN 'sophisticated' ELSE 'harmful' END"""
 OUTLIER_BAND = """CASE WHEN pct = 0 THEN 'none' WHEN pct < 1 THEN 'mild'
@@ -104,20 +109,20 @@ FROM (SELECT {c} AS v, count(*) AS n FROM events_dirty GROUP BY 1
     )
 
 
-def share_rows(source: str, columns) -> str:
-    parts = []
+def share_rows(source: str, columns, most: int | None = None) -> str:
+    parts, few = [], "k >= 2" if most is None else f"k BETWEEN 2 AND {most}"
     for c in columns:
         parts.append(f"""SELECT '{c}' AS "column",
-  CASE WHEN k BETWEEN 2 AND 15 THEN v END AS value,
-  CASE WHEN k BETWEEN 2 AND 15 THEN n END AS n,
-  CASE WHEN k BETWEEN 2 AND 15 THEN round(n::DOUBLE / total, 6) END AS share,
+  CASE WHEN {few} THEN v END AS value,
+  CASE WHEN {few} THEN n END AS n,
+  CASE WHEN {few} THEN round(n::DOUBLE / total, 6) END AS share,
   k AS "distinct",
-  CASE WHEN k < 2 THEN 'fewer than 2 values' WHEN k > 15 THEN 'too many values' END AS reason
+  CASE WHEN k < 2 THEN 'fewer than 2 values' WHEN NOT ({few}) THEN 'too many values' END AS reason
 FROM (SELECT v, n, count(*) OVER () AS k, CAST(sum(n) OVER () AS BIGINT) AS total,
              row_number() OVER (ORDER BY v) AS place
       FROM (SELECT CAST({c} AS VARCHAR) AS v, count(*) AS n FROM {source}
             WHERE {c} IS NOT NULL GROUP BY 1))
-WHERE k BETWEEN 2 AND 15 OR place = 1""")
+WHERE {few} OR place = 1""")
     return union(parts)
 
 
@@ -392,8 +397,35 @@ FROM ({stats_rows("lineitem", LINE_NUMBERS)})""",
     "categorical_stats": dirty(category_rows(["event_type", "day_text", "user_text"])),
     "value_counts": """SELECT o_orderpriority AS value, count(*) AS n FROM orders
 WHERE o_orderpriority IS NOT NULL GROUP BY 1""",
-    "category_shares": dirty(share_rows("events_dirty", ["event_type", "user_text"])),
+    "category_shares": dirty(share_rows("events_dirty", ["event_type", "user_text"], 15)),
     "category_shares_part": share_rows("part", ["p_brand", "p_type"]),
+    "category_shares_dates": dirty(
+        share_rows("events_dirty", ["day_text"])
+        + """
+UNION ALL SELECT 'ts', NULL, NULL, NULL, NULL, 'datetime'"""
+    ),
+    "default_picks": f"""SELECT *, 3::BIGINT AS selected_numeric, 2::BIGINT AS selected_categorical
+FROM ({report_rows("lineitem", PICKED)})""",
+    "figure_density": dirty_then(
+        KDE,
+        f"""SELECT 'bar' AS part, bin AS place, low AS x, density AS height FROM (
+  {bins_of("events_dirty", "value", AUTO_BINS, ", round(count(d.bin) / (f.n * w), 9) AS density")})
+UNION ALL
+SELECT 'curve', g.i::INTEGER, round(lo + g.i * step, 6),
+  round(sum(exp(-0.5::DOUBLE * power((v.x - (lo + g.i * step)) / h, 2))) / (n * h * sqrt(2 * pi())), 9)
+FROM v, f, (SELECT unnest(range(200)) AS i) g GROUP BY g.i, lo, step, n, h""",
+    ),
+    "figure_box": dirty(
+        f"""SELECT value, round(q1, 6) AS q1, round(q3, 6) AS q3,
+  round((SELECT quantile_cont(value::DOUBLE, 0.5) FROM events_dirty), 6) AS median
+FROM events_dirty, {fences('value', 'events_dirty')} f WHERE value < lo OR value > hi"""
+    ),
+    "scale_infinite_refused": """SELECT c_custkey, c_acctbal,
+  CASE WHEN c_custkey % 50 = 0 THEN CAST('Infinity' AS DOUBLE) ELSE c_acctbal END AS balance,
+  'infinite values in balance' AS refused FROM customer""",
+    "keep_suggested": """SELECT o_orderkey, o_orderstatus, o_orderpriority,
+  round(sqrt(greatest(o_totalprice, 0)), 6) AS o_totalprice_scaled,
+  round(sqrt(greatest(o_custkey, 0)::DOUBLE), 6) AS o_custkey_scaled, 2::BIGINT AS hidden FROM orders""",
     "encoding_status": dirty(union(first_values(c) for c in ("event_type", "user_text"))),
     "raw_stats": moment_rows("orders", ["o_custkey", "o_totalprice"], 3),
     "outlier_report_iqr": dirty(iqr_rows("events_dirty", ["value", "user_id"], 2)),

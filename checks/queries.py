@@ -132,7 +132,7 @@ def value_counts(spark, sf):
 
 @query
 def category_shares(spark, sf):
-    shares = rm.category_shares(events_dirty(spark, sf), ["event_type", "user_text"])
+    shares = rm.category_shares(events_dirty(spark, sf), ["event_type", "user_text"], 15)
     return six_digits(shares, "share")
 
 
@@ -141,6 +141,22 @@ def category_shares_part(spark, sf):
     return six_digits(rm.category_shares(table(spark, sf, "part"), ["p_brand", "p_type"]), "share")
 
 
+@query
+def category_shares_dates(spark, sf):
+    """Times have no shares, and all values of a text column have one."""
+    return six_digits(rm.category_shares(events_dirty(spark, sf), ["ts", "day_text"]), "share")
+
+
+@query
+def default_picks(spark, sf):
+    """The columns that exploration begins with, described, beside how many a selection covers."""
+    df = table(spark, sf, "lineitem")
+    picks = rm.default_picks(df)
+    report = rm.column_report(df.select(*picks["numeric"], *picks["categorical"]))
+    covered = rm.selection_counts(df, picks["numeric"])
+    return report.withColumns({f"selected_{k}": F.lit(n).cast("long") for k, n in covered.items()})
+
+
 @query
 def encoding_status(spark, sf):
     return rm.encoding_status(events_dirty(spark, sf), ["event_type", "user_text"], key="event_id")
@@ -343,6 +359,31 @@ def scale_sqrt(spark, sf):
     return _scaled(spark, sf, "sqrt")
 
 
+@query
+def scale_infinite_refused(spark, sf):
+    """A column with infinities is refused by name, and the table stays as it is."""
+    df = table(spark, sf, "customer").selectExpr(
+        "c_custkey", "c_acctbal",
+        "CASE WHEN c_custkey % 50 = 0 THEN cast('Infinity' AS double) ELSE c_acctbal END AS balance",
+    )
+    p = rm.Pipeline(df, "customer", count_rows=False)
+    try:
+        p.apply(rm.Scale(method="minmax", columns=["c_acctbal", "balance"]))
+        refused = None
+    except rm.StepRefused as error:
+        refused = str(error)
+    return p.current.withColumn("refused", F.lit(refused).cast("string"))
+
+
+@query
+def keep_suggested(spark, sf):
+    """Keeping the suggested columns leaves out those that scaling hid; the hidden ones are counted."""
+    df = rm.Scale(method="sqrt", columns=["o_totalprice", "o_custkey"]).run(_orders(spark, sf))
+    kept = rm.KeepColumns(rm.suggested_columns(df)).run(df)
+    hidden = F.lit(len(rm.hidden_columns(df))).cast("long").alias("hidden")
+    return six_digits(kept, "o_totalprice_scaled", "o_custkey_scaled").select("*", hidden)
+
+
 @query
 def scaled_stats(spark, sf):
     df = table(spark, sf, "orders").select("o_custkey", "o_totalprice")
@@ -420,6 +461,24 @@ def kde(spark, sf):
     return six_digits(curve, "x").withColumn("density", F.round("density", 9))
 
 
+@query
+def figure_density(spark, sf):
+    """The tables of a histogram with its density curve, in one: heights at the bins' starts and at the points."""
+    found = rm.distribution(events_dirty(spark, sf), "value", "hist_density")
+    bars = found["histogram"].select(F.lit("bar").alias("part"), "bin", "low", "density")
+    curve = found["kde"].select(F.lit("curve"), "point", "x", "density")
+    long = bars.union(curve).toDF("part", "place", "x", "height")
+    return six_digits(long, "x").withColumn("height", F.round("height", 9))
+
+
+@query
+def figure_box(spark, sf):
+    """The tables of a box figure: the box beside each value outside the fences."""
+    found = rm.distribution(events_dirty(spark, sf), "value", "box")
+    box = found["box"].select("q1", "median", "q3").first().asDict()
+    return six_digits(found["outliers"].withColumns({k: F.lit(v) for k, v in box.items()}), *box)
+
+
 @query
 def box_stats(spark, sf):
     return six_digits(

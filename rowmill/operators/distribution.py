@@ -26,7 +26,6 @@ from rowmill.operators.ranks import count_values
 GRID_POINTS = 200
 WIDE_BINS = 50
 POINTS_PER_CELL = 50
-MAX_CATEGORIES = 15
 KINDS = ("hist", "hist_density", "box")
 
 # Density curves: cells and reach of the kernel in bandwidths, and the degree of its expansion within a cell.
@@ -287,12 +286,12 @@ def distribution(df: DataFrame, column: str, kind: str = "hist") -> dict[str, Da
 def category_shares(
     df: DataFrame,
     columns: Sequence[str] | None = None,
-    max_categories: int = MAX_CATEGORIES,
+    max_categories: int | None = None,
 ) -> DataFrame:
     """(column, value, n, share, distinct, reason) of the non-null values per column.
 
-    A column with one value, none, or more than `max_categories` gives a single row with a reason
-    instead, and so does a column of dates.
+    A column with one value or none gives a single row with a reason instead, and so does a column of dates
+    or, where `max_categories` is given (15 suit a figure), one with more values than that.
     """
     names = require_columns(df, columns or categorical_columns(df))
     dates = [c for c in names if is_datetime(df.schema[c].dataType)]
@@ -302,7 +301,8 @@ def category_shares(
     sizes = (
         {names[r["item"]]: r for r in distinct_and_nulls(df, names).collect()} if names else {}
     )
-    shown = [c for c in names if 2 <= sizes[c]["distinct"] <= max_categories]
+    limit = float("inf") if max_categories is None else max_categories
+    shown = [c for c in names if 2 <= sizes[c]["distinct"] <= limit]
     reasons = [(c, None, None, None, None, "datetime") for c in dates]
     for c in names:
         if c not in shown:

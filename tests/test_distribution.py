@@ -77,7 +77,7 @@ def test_figure_choice(frame):
 def test_category_shares(frame):
     rows = [("a", str(i), "one", None) for i in range(15)] + [("b", "15", "one", None)]
     df = frame(rows, "two string, many string, single string, d date")
-    got = [tuple(r) for r in rm.category_shares(df, ["two", "many", "single", "d"]).collect()]
+    got = [tuple(r) for r in rm.category_shares(df, ["two", "many", "single", "d"], 15).collect()]
     assert sorted(got, key=str) == sorted(
         [
             ("two", "a", 15, 15 / 16, 2, None),
@@ -88,8 +88,9 @@ def test_category_shares(frame):
         ],
         key=str,
     )
-    fifteen = rm.category_shares(df.filter("two = 'a'"), ["many"])
+    fifteen = rm.category_shares(df.filter("two = 'a'"), ["many"], 15)
     assert fifteen.count() == 15
+    assert rm.category_shares(df, ["many"]).count() == 16
 
 
 def test_scatter(frame):
