@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +33,7 @@ from pyspark.sql import types as T
 SAMPLE = 3000  # documents
 ISLANDS = 1500  # islands to learn from
 LONGEST = 6  # chunks of a segment
+BLOCK = 2048  # chunks of an island whose scores are held at a time
 AROUND = 2  # chunks before and after that belong to an island
 EPOCHS = 6
 SURE = 0.9  # probability that a found segment must have
@@ -65,7 +67,7 @@ def luhn(digits: str) -> bool:
 
 
 def digits_of(s: str) -> str:
-    return "".join(c for c in s if "0" <= c <= "9")
+    return re.sub("[^0-9]+", "", s)
 
 
 def emails(text: str) -> Iterator[tuple[int, int]]:
@@ -129,6 +131,7 @@ def trimmed(text: str, begin: int, end: int) -> tuple[int, int]:
     return begin, end
 
 
+@lru_cache(maxsize=1 << 16)
 def bucket(name: str) -> int:
     h = 0
     for c in name:
@@ -143,7 +146,11 @@ def shape(s: str) -> str:
 
 
 def features(text: str, chunks: list[tuple[int, int]], i: int, j: int) -> list[int]:
-    """Features of the segment of chunks i to j - 1."""
+    """Features of the segment of chunks i to j - 1.
+
+    Shapes, group sizes, marks and the chunk before are cut to bounded names; they describe a segment, and no
+    text is left out of the search by it.
+    """
     begin, end = chunks[i][0], chunks[j - 1][1]
     s, d = text[begin:end], digits_of(text[begin:end])
     groups = re.findall("[0-9]+", s)
@@ -243,38 +250,79 @@ class Field:
             np.add.at(self.weights, f, -rate * p.sum(axis=0)[None, :])
             self.moves -= rate * p
 
+    def ending(self, text: str, chunks: list[tuple[int, int]], first: int, last: int) -> np.ndarray:
+        """Scores of the segments that end with chunks first to last - 1: [end, place of the beginning, label].
+
+        The last place is the end chunk alone, the one before begins a chunk earlier, and so on. Segments of
+        several chunks that no label allows have no features and score -inf, as do those across lines.
+        """
+        out = np.full((last - first, LONGEST, len(LABELS)), -np.inf)
+        for j in range(first + 1, last + 1):
+            for i in range(j - 1, max(0, j - LONGEST) - 1, -1):
+                s = text[chunks[i][0] : chunks[j - 1][1]]
+                if j > i + 1 and "\n" in s:
+                    break
+                allowed = np.array(possible(s))
+                if j > i + 1:
+                    allowed[0] = False  # other chunks are segments of their own
+                if allowed.any():
+                    own = self.weights[features(text, chunks, i, j)].sum(axis=0)
+                    out[j - 1 - first, LONGEST - (j - i)] = np.where(allowed, own, -np.inf)
+        return out
+
     def find(self, text: str, chunks: list[tuple[int, int]]) -> list[Span]:
-        """The best segmentation's segments of a kind whose probability is at least SURE."""
-        n, scores = len(chunks), {}
-        for segment, own in self.segments(text, chunks):  # islands can be long, so their features are not kept
-            scores |= self.scores(text, chunks, {segment: own})
-        best = np.full((n + 1, len(LABELS)), -np.inf)
-        back: dict[tuple[int, int], tuple[int, int]] = {}
-        best[0, 0] = 0.0
+        """The best segmentation's segments of a kind whose probability is at least SURE.
+
+        Scores are held for one block of chunks at a time, and computed again on the way back; what is kept
+        of an island are the sums and the back pointers, a few numbers per chunk.
+        """
+        n, kinds = len(chunks), len(LABELS)
+        held: dict[int, np.ndarray] = {}
+
+        def scores(j: int) -> np.ndarray:
+            first = (j - 1) // BLOCK * BLOCK
+            if first not in held:
+                held.clear()
+                held[first] = self.ending(text, chunks, first, min(first + BLOCK, n))
+            return held[first][j - 1 - first]
+
+        # Row j + LONGEST belongs to the place before chunk j; the rows before it are those it is reached from.
+        best = np.full((n + 1 + LONGEST, kinds), -np.inf)
+        best[LONGEST, 0] = 0.0
+        alpha, beta = best.copy(), np.full_like(best, -np.inf)
+        came_from = np.zeros((n + 1, kinds, 2), dtype=np.int8)
+        columns = np.arange(kinds)
         for j in range(1, n + 1):
-            for i in range(max(0, j - LONGEST), j):
-                if (i, j) in scores:
-                    came = best[i][:, None] + self.moves
-                    value = came.max(axis=0) + scores[i, j]
-                    for k in np.flatnonzero(value > best[j]):
-                        best[j, k] = value[k]
-                        back[j, int(k)] = (i, int(came[:, k].argmax()))
-        path, j, k = [], n, int(best[n].argmax())
+            own = scores(j)
+            came = best[j : j + LONGEST, :, None] + self.moves
+            value = came.max(axis=1) + own
+            place = value.argmax(axis=0)
+            best[j + LONGEST] = value[place, columns]
+            came_from[j, :, 0], came_from[j, :, 1] = place, came[place, :, columns].argmax(axis=1)
+            came = np.logaddexp.reduce(alpha[j : j + LONGEST, :, None] + self.moves, axis=1)
+            alpha[j + LONGEST] = np.logaddexp.reduce(came + own, axis=0)
+        path, j, k = {}, n, int(best[n + LONGEST].argmax())
         while j:
-            i, before = back[j, k]
+            place, before = map(int, came_from[j, k])
             if k:
-                path.append((i, j, k))
-            j, k = i, before
+                path[j] = place, k
+            j, k = j - LONGEST + place, before
         if not path:
             return []
-        alpha, beta = self.forward(n, scores), self.backward(n, scores)
-        whole = np.logaddexp.reduce(alpha[n])
+        whole = np.logaddexp.reduce(alpha[n + LONGEST])
+        beta[n + LONGEST] = 0.0
         out = []
-        for i, j, k in path:
-            came = np.logaddexp.reduce(alpha[i] + self.moves[:, k])
-            if np.exp(came + scores[i, j][k] + beta[j, k] - whole) >= SURE:
-                out.append((LABELS[k], chunks[i][0], chunks[j - 1][1]))
-        return out
+        for j in range(n, min(path) - 1, -1):
+            own, after = scores(j), beta[j + LONGEST]
+            if j in path:
+                place, k = path[j]
+                came = np.logaddexp.reduce(alpha[j + place] + self.moves[:, k])
+                if np.exp(came + own[place, k] + after[k] - whole) >= SURE:
+                    out.append((LABELS[k], chunks[j - LONGEST + place][0], chunks[j - 1][1]))
+            # All segments that end before chunk j have been added to its row by now.
+            more = np.logaddexp.reduce(self.moves[None] + (own + after)[:, None, :], axis=2)
+            beta[j : j + LONGEST] = np.logaddexp(beta[j : j + LONGEST], more)
+        return out[::-1]
 
 
 def labelled(chunks: list[tuple[int, int]], spans: list[Span]) -> list[tuple[int, int, int]] | None:
@@ -359,7 +407,11 @@ def all_spans(text: str, field: Field) -> tuple[list[Span], list[Span]]:
 
 
 def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sample: int = SAMPLE) -> Field:
-    """Learn from islands of a sample of the documents that hold a digit or @."""
+    """Learn from islands of a sample of the documents that hold a digit or @.
+
+    The sample is about `sample` documents; of their distinct islands under 1,000 characters, up to ISLANDS by
+    hash are learned from. Longer islands are searched like all others, but not learned from.
+    """
     held = docs.where(F.col(text).isNotNull() & F.col(doc_id).isNotNull() & F.col(text).rlike("[0-9@]"))
     n = held.count()
     limit = int(min(1.0, sample / max(n, 1)) * (1 << 30))
