@@ -8,11 +8,13 @@ against them from blocked seeds, so a host that links to blocked hosts shares th
     trust(h)    = seed(h) + damping * sum of trust(g) / links of g     over g that link to h
     distrust(h) = seed(h) + damping * sum of distrust(g) / links to g  over g that h links to
 
-Rounds go on until no score changes by TOLERANCE. Scores are not divided by the number of seeds, so thresholds mean the same at every size. A page without a
-rule is blocked if its host's distrust exceeds its trust by `threshold`.
+Rounds go on until no score changes by TOLERANCE. Scores are not divided by the number of seeds, so thresholds
+mean the same at every size. A page without a rule is blocked if its host's distrust exceeds its trust by
+`threshold`.
 
-Links of a page's html count once per pair of hosts. Joins of a round salt the edges by their other end, so
-that a host with a third of all links is spread; the tables of scores and edges are written.
+Links of a page's html count once per pair of hosts. The links of a host with more than EDGES_A_PART are spread
+over parts by their other end, and only the scores of such hosts are sent more than once; the tables of scores
+and edges are written.
 
 Defined cases: NULL urls and those without `://` have empty host and path and are allowed, unless a rule
 fits them; NULL html has no links; equal rows give equal rows; without seeds or links only rules decide;
@@ -36,11 +38,12 @@ RULES = (
 )
 DAMPING = 0.85
 THRESHOLD = 0.05
-ROUNDS = 30  # of the SQL beside the query
+ROUNDS = 100  # of the SQL beside the query, which has no test for an end; 0.85^100 is below TOLERANCE
 TOLERANCE = 1e-6
 MOST_ROUNDS = 1000  # 0.85^1000 is below any tolerance, so more are an error
 DIGITS = 9  # scores are compared at so many digits, as sums depend on the order of their terms
-SALTS = 16
+SALTS = 64  # most parts of a host's links
+EDGES_A_PART = 10_000
 
 LINK = r"(?:[Hh][Rr][Ee][Ff]|[Ss][Rr][Cc])\s*=\s*[\"']?\s*(?:[Hh][Tt][Tt][Pp][Ss]?:)?//([^/?#\"'\s<>]+)"
 
@@ -88,15 +91,17 @@ def host_edges(pages: DataFrame, url: str, html: str) -> DataFrame:
 
 def propagated(seeds: DataFrame, edges: DataFrame) -> DataFrame:
     """(host, score): seeds (host) keep 1, and scores flow from `a` to `b`, shared among a's edges."""
-    shares = edges.groupBy("a").agg(F.count("*").alias("n"))
-    salt = F.pmod(F.xxhash64("b"), F.lit(SALTS)).cast("int").alias("salt")
-    edges = edges.select("a", "b", salt)
+    parts = F.least(F.ceil(F.count("*") / EDGES_A_PART), F.lit(SALTS).cast("long")).cast("int")
+    shares = materialise(edges.groupBy("a").agg(F.count("*").alias("n"), parts.alias("parts")))
+    # Only hosts of many links are split; the place of a link among the parts is found once for all rounds.
+    salt = F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("salt")
+    edges = materialise(edges.join(shares, "a").select("a", "b", salt))
     seeds = seeds.select("host", F.lit(1.0).alias("score"))
-    scores, shares = materialise(seeds), materialise(shares)
+    scores = materialise(seeds)
     for _ in range(MOST_ROUNDS):
         sent = scores.join(shares, scores["host"] == shares["a"]).select(
             "a", (DAMPING * F.col("score") / F.col("n")).alias("score"),
-            F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"),
+            F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("salt"),
         )
         came = edges.join(sent, ["a", "salt"]).select(F.col("b").alias("host"), "score")
         new = seeds.union(came).groupBy("host").agg(F.sum("score").alias("score"))

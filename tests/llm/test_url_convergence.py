@@ -23,3 +23,16 @@ def test_no_end_is_an_error(frame, monkeypatch):
     edges = frame([("a", "b"), ("b", "a")], "a string, b string")
     with pytest.raises(RuntimeError, match="after 2 rounds"):
         url_trust.propagated(frame([("a",)], "host string"), edges)
+
+
+def test_parts_of_a_host_do_not_show(frame, monkeypatch):
+    edges = frame(
+        [("hub", f"h{k}") for k in range(40)] + [(f"h{k}", "hub") for k in range(0, 40, 3)], "a string, b string"
+    )
+    seeds = frame([("hub",), ("h1",)], "host string")
+    found = []
+    for size in (10_000, 3):
+        monkeypatch.setattr(url_trust, "EDGES_A_PART", size)
+        found.append({r.host: r.score for r in url_trust.propagated(seeds, edges).collect()})
+    assert found[0].keys() == found[1].keys() and len(found[0]) == 41
+    assert all(found[1][h] == pytest.approx(s) for h, s in found[0].items())
