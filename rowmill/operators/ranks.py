@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -13,6 +14,9 @@ from rowmill.plans.storage import materialise
 # A value holding at least 1 / HOT_SHARE of the weight is hot; so there are at most as many.
 HOT_SHARE = 65536
 
+# So many places, on average, are put side by side by one task, however many rows there are.
+SLICE = 1 << 19
+
 
 def _exclusive_sum(weight: str, partition: Sequence[Column], order: Sequence[str]) -> Column:
     w = (
@@ -54,7 +58,8 @@ def placed_values(df: DataFrame, columns: Sequence[str], partners: Sequence[int]
     Per column i: __d<i>, how many smaller values there are; __r<i>, the average rank; and per partner j
     __r<i>_<j>, the average rank over the rows that have column j. NULL has no places, and rows of NULLs alone
     are left out. All columns are one long table: counted, ordered and looked up together, and one shuffle
-    by row puts their places side by side. A hot value is one row until the look-up, whose skew Spark splits.
+    by row puts their places side by side, in slices whose number follows the number of places. A hot value is
+    one row until the look-up, where it is broadcast, so its rows are not gathered; the others are joined.
     """
     entries = []
     for i, c in enumerate(columns):
@@ -70,13 +75,21 @@ def placed_values(df: DataFrame, columns: Sequence[str], partners: Sequence[int]
     places = running_weight(counts.withColumn("one", F.lit(1).cast("long")), ["item"], "value", [*weights, "one"])
     ranks = {f"__r{suffix}": col(f"before_{w}") + (col(w) + 1) / F.lit(2.0) for w, suffix in weights.items()}
     places = materialise(
-        places.select("item", "value", col("before_one").alias("__d"), *[r.alias(n) for n, r in ranks.items()])
+        places.select("item", "value", "n", col("before_one").alias("__d"), *[r.alias(n) for n, r in ranks.items()])
     )
-    found = long.select("__row", "item", "value").join(places, ["item", "value"])
+    total = places.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    is_hot = F.col("n") * HOT_SHARE >= F.lit(total)
+    entry, outputs = ["item", "value"], ["item", "__d", *ranks]
+    hot, cold = places.filter(is_hot), places.filter(~is_hot)
+    rest = long.join(F.broadcast(hot.select(*entry)), entry, "left_anti")
+    found = [long.join(F.broadcast(hot), entry), rest.join(cold, entry)]
+    placed = found[0].select("__row", *outputs).unionByName(found[1].select("__row", *outputs))
+    # Dealt by row before they are grouped: hardly any two places of a row are found by one task of the look-up.
+    slices = placed.repartition(max(1, math.ceil(total / SLICE)), "__row")
     named = {f"__d{i}": (i, "__d") for i in range(len(columns))}
     named |= {f"__r{i}{suffix}": (i, f"__r{suffix}") for i in range(len(columns)) for suffix in weights.values()}
     picked = [F.max(F.when(F.col("item") == i, col(c))).alias(n) for n, (i, c) in named.items()]
-    return found.groupBy("__row").agg(*picked)
+    return slices.groupBy("__row").agg(*picked)
 
 
 def attach_by_value(

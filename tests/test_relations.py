@@ -1,10 +1,13 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 import rowmill as rm
+from rowmill.functions.columns import nan_to_null
+from rowmill.operators import ranks as ranks_module
 from rowmill.operators.kendall import discordant_weights
-from rowmill.operators.ranks import attach_by_value
+from rowmill.operators.ranks import attach_by_value, placed_values
 
 
 def wide(matrix, value, names):
@@ -89,6 +92,28 @@ def test_average_ranks_equal_pandas(spark, messy):
     )
 
 
+def test_places_of_hot_and_rare_values_lie_in_slices(spark, monkeypatch):
+    monkeypatch.setattr(ranks_module, "SLICE", 200, raising=False)
+    monkeypatch.setattr(ranks_module, "HOT_SHARE", 20)
+    rng = np.random.default_rng(5)
+    n = 3000
+    hot = np.where(rng.random(n) < 0.9, 1.0, rng.integers(-3, 60, n))
+    frame = pd.DataFrame({"hot": hot, "rare": rng.normal(size=n).round(2), "key": np.arange(float(n))})
+    frame.loc[::5, "rare"] = 0.0
+    frame.loc[::10, ["hot", "rare"]] = -0.0
+    frame.loc[::13, "hot"] = None
+    names = list(frame)
+    placed = placed_values(nan_to_null(spark.createDataFrame(frame)).repartition(3), names, [0])
+    sizes = [r["count"] for r in placed.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == n and max(sizes) <= 200
+    got = placed.toPandas().sort_values("__r2").reset_index(drop=True)
+    expected, known = frame.rank(), frame[frame["hot"].notna()].rank()
+    for i, c in enumerate(names):
+        for own, wanted in ((f"__r{i}", expected[c]), (f"__d{i}", frame[c].rank(method="dense") - 1)):
+            np.testing.assert_array_equal(got[own].astype(float), wanted)
+        np.testing.assert_array_equal(got.loc[known.index, f"__r{i}_0"].astype(float), known[c])
+
+
 def test_attach_keeps_rows_with_hot_and_missing_keys(spark):
     keys = ["hot"] * 700 + [None] * 200 + [f"k{i}" for i in range(100)] + ["absent"]
     rows = spark.createDataFrame([(i, k) for i, k in enumerate(keys)], "i int, k string")
