@@ -59,14 +59,18 @@ def placed_values(df: DataFrame, columns: Sequence[str], partners: Sequence[int]
     __r<i>_<j>, the average rank over the rows that have column j. NULL has no places, and rows of NULLs alone
     are left out. All columns are one long table: counted, ordered and looked up together, and one shuffle
     by row puts their places side by side, in slices whose number follows the number of places. A hot value is
-    one row until the look-up, where it is broadcast, so its rows are not gathered; the others are joined.
+    one row until the look-up, where it is broadcast, so its rows are not gathered.
     """
     entries = []
     for i, c in enumerate(columns):
         fields = [F.lit(i).alias("item"), col(c).alias("value")]
         fields += [col(columns[j]).isNotNull().cast("int").alias(f"has_{j}") for j in partners]
         entries.append(F.when(col(c).isNotNull(), F.struct(*fields)))
-    rows = materialise(df.select(*[col(c) for c in columns]).withColumn("__row", F.monotonically_increasing_id()))
+    # Small files, so that no task reads, and holds for its shuffle, all rows of a large one.
+    rows = materialise(
+        df.select(*[col(c) for c in columns]).withColumn("__row", F.monotonically_increasing_id()),
+        max(1, SLICE // len(columns)),
+    )
     long = rows.select("__row", F.inline(F.array(*entries))).filter("item is not null")
     weights = {"n": "", **{f"n_{j}": f"_{j}" for j in partners}}
     counts = long.groupBy("item", "value").agg(
@@ -78,18 +82,34 @@ def placed_values(df: DataFrame, columns: Sequence[str], partners: Sequence[int]
         places.select("item", "value", "n", col("before_one").alias("__d"), *[r.alias(n) for n, r in ranks.items()])
     )
     total = places.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    is_hot = F.col("n") * HOT_SHARE >= F.lit(total)
-    entry, outputs = ["item", "value"], ["item", "__d", *ranks]
-    hot, cold = places.filter(is_hot), places.filter(~is_hot)
-    rest = long.join(F.broadcast(hot.select(*entry)), entry, "left_anti")
-    found = [long.join(F.broadcast(hot), entry), rest.join(cold, entry)]
-    placed = found[0].select("__row", *outputs).unionByName(found[1].select("__row", *outputs))
+    slices = max(1, math.ceil(total / SLICE))
+    placed = _looked_up(long.select("__row", "item", "value"), places, ["__d", *ranks], total, slices)
     # Dealt by row before they are grouped: hardly any two places of a row are found by one task of the look-up.
-    slices = placed.repartition(max(1, math.ceil(total / SLICE)), "__row")
+    by_row = placed.repartition(slices, "__row")
     named = {f"__d{i}": (i, "__d") for i in range(len(columns))}
     named |= {f"__r{i}{suffix}": (i, f"__r{suffix}") for i in range(len(columns)) for suffix in weights.values()}
     picked = [F.max(F.when(F.col("item") == i, col(c))).alias(n) for n, (i, c) in named.items()]
-    return slices.groupBy("__row").agg(*picked)
+    return by_row.groupBy("__row").agg(*picked)
+
+
+def _looked_up(long: DataFrame, places: DataFrame, outputs: Sequence[str], total: int, slices: int) -> DataFrame:
+    """(__row, item, *outputs) for every (__row, item, value) of `long`; `places` has one row per (item, value).
+
+    Hot values are broadcast and their rows stay where they are. All others are joined in `slices` parts by a
+    hash of the entry, as a join by the values themselves would take Spark's number of parts for any size.
+    """
+    entry = ["item", "value"]
+    is_hot = F.col("n") * HOT_SHARE >= F.lit(total)
+    hot, cold = places.filter(is_hot), places.filter(~is_hot)
+    key = F.xxhash64(*entry).alias("__key")
+    rest = long.join(F.broadcast(hot.select(*entry)), entry, "left_anti")
+    rest = rest.select(key, "__row", "item", "value").repartition(slices, "__key")
+    there = cold.select(key, F.struct(*entry).alias("__entry"), *outputs).repartition(slices, "__key")
+    # Entries that share a hash are told apart by their order, which is no further key of the join.
+    own = F.struct(*entry)
+    joined = rest.join(there, "__key").filter((own <= F.col("__entry")) & (own >= F.col("__entry")))
+    columns = ["__row", "item", *outputs]
+    return long.join(F.broadcast(hot), entry).select(*columns).unionByName(joined.select(*columns))
 
 
 def attach_by_value(

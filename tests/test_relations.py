@@ -114,6 +114,34 @@ def test_places_of_hot_and_rare_values_lie_in_slices(spark, monkeypatch):
         np.testing.assert_array_equal(got.loc[known.index, f"__r{i}_0"].astype(float), known[c])
 
 
+def test_look_up_spreads_rows_of_hot_and_of_rare_values(spark, monkeypatch):
+    monkeypatch.setattr(ranks_module, "HOT_SHARE", 20)
+    n = 4000
+    long = spark.range(0, n, 1, 4).selectExpr(
+        "id AS __row", "0 AS item",
+        "CASE WHEN id % 4 > 0 THEN 0.0D WHEN id % 8 = 0 THEN -1.0D * (id % 80) ELSE id END AS value",
+    )
+    places = long.groupBy("item", (F.col("value") + 0.0).alias("value")).agg(F.count("*").alias("n"))
+    places = places.withColumn("__d", F.col("value") * 2)
+    found = ranks_module._looked_up(long, places, ["__d"], n, 20)
+    sizes = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+    # The hot ones lie as they did, in four parts; the others in 20.
+    assert sum(sizes) == n and max(sizes) <= 3100 / 4 + 50 and len(sizes) > 15
+    expected = {r["__row"]: r["value"] * 2 for r in long.collect()}
+    assert {r["__row"]: r["__d"] for r in found.collect()} == expected
+
+
+def test_rows_are_written_in_small_files(spark, monkeypatch):
+    monkeypatch.setattr(ranks_module, "SLICE", 500)
+    written = []
+    write = ranks_module.materialise
+    monkeypatch.setattr(ranks_module, "materialise", lambda *a: written.append(write(*a)) or written[-1])
+    df = spark.range(0, 1000, 1, 1).selectExpr("id % 7 * 1.0D AS a", "id * 1.0D AS b")
+    assert rm.average_ranks(df, ["a", "b"]).count() == 1000
+    sizes = written[0].groupBy(F.input_file_name()).count().collect()
+    assert {r["count"] for r in sizes} == {250}
+
+
 def test_attach_keeps_rows_with_hot_and_missing_keys(spark):
     keys = ["hot"] * 700 + [None] * 200 + [f"k{i}" for i in range(100)] + ["absent"]
     rows = spark.createDataFrame([(i, k) for i, k in enumerate(keys)], "i int, k string")
