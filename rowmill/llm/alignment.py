@@ -4,9 +4,11 @@ A text is encoded by a byte-level vocabulary (A, with a blank put before the tex
 (B, which adds that blank itself). Both are lossless unless B normalises something, so their tokens cut the
 same bytes; a text for which the joined bytes of either differ from blank + text is left out.
 
-1. Ends of tokens are running sums of their lengths. The shorter list of ends drives a galloping search in
-   the longer one: doubling steps from the place of the last match, then bisection, so a document costs as
-   many steps as its shorter list has ends, times the logarithm of the gaps.
+1. Ends of tokens are running sums of their lengths, over the texts of a slice of 256 kB. The shorter
+   list of ends drives a galloping search in the longer one: doubling steps from where a run of shared ends would
+   go on behind the last place found, then bisection, so a slice costs as many steps as its shorter list has ends,
+   times the logarithm of the gaps. The search runs on arrays: the first ends of all blocks are placed (in the same
+   way), then all other ends at once.
 2. Common ends slice both token lists into groups; the ranks of two successive common ends give the range
    of tokens of each group. The two tokens at a common end are linked.
 3. Of two tokens that end together the shorter is a suffix of the longer. So the pairs that can occur at all
@@ -24,12 +26,13 @@ tokens; an empty table gives an empty result. Columns other than id and text are
 from __future__ import annotations
 
 import hashlib
-from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,6 +42,8 @@ from rowmill.plans.storage import materialise
 
 FIGURES = "n_a bigint, n_b bigint, n_groups bigint, groups_sha256 string, groups array<struct<a:array<int>,b:array<int>>>, links array<int>"
 BLANK = "▁"  # how pieces write a blank
+BLOCK = 8  # ends that gallop from one place found before
+SLICE_BYTES = 1 << 18  # of text whose ids are held at once, beside one text of any length
 
 
 def default_pieces() -> str:
@@ -61,9 +66,13 @@ class Vocabularies:
             for k, p in enumerate(map(self.b.id_to_piece, range(self.b.vocab_size())))
         ]
         self.sizes = [np.array(list(map(len, v)), dtype=np.int64) for v in (self.a_bytes, self.b_bytes)]
+        self.joined = [(np.frombuffer(b"".join(v), dtype=np.uint8), s.cumsum() - s) for v, s in zip((self.a_bytes, self.b_bytes), self.sizes)]
         marks = (self.a_bytes, ","), (self.a_bytes, "|"), (self.b_bytes, ","), (self.b_bytes, ";")
-        self.texts = [f"{k}{mark}" for tokens, mark in marks for k in range(len(tokens))]
+        self.texts = np.array([f"{k}{mark}" for tokens, mark in marks for k in range(len(tokens))], dtype="S8")
         self.pairs = self.possible()
+        self.firsts = np.split(np.concatenate(self.sizes).cumsum() - np.concatenate(self.sizes), [len(self.a_bytes)])
+        self.of_suffix = np.zeros(sum(map(np.sum, self.sizes)), dtype=np.int32)
+        self.of_suffix[self.suffix(*divmod(self.pairs, len(self.b_bytes)))] = np.arange(len(self.pairs))
 
     def possible(self) -> np.ndarray:
         """All (A id, B id) of which one token is a suffix of the other, as sorted numbers a * |B| + b.
@@ -87,38 +96,63 @@ class Vocabularies:
                 found.update(x * width + y for x in of_a.get(t[at:], ()) for y in owners)
         return np.array(sorted(found), dtype=np.int64)
 
-    def tokens(self, text: str | None) -> tuple[list[int], list[int]]:
+    def ids(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """The ids of both, or none where the joined bytes of either are not blank + text."""
+        none = np.empty(0, dtype=np.int64)
         if not text:
-            return [], []
+            return none, none
         try:
             whole = (" " + text).encode()
         except UnicodeEncodeError:
-            return [], []
-        a = self.a.encode_ordinary(" " + text)
-        b = self.b.encode(text, num_threads=1)
-        same = self.a.decode_bytes(a) == whole and b"".join(map(self.b_bytes.__getitem__, b)) == whole
-        return (a, b) if same else ([], [])
-
-    def digest(self, a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray) -> str:
-        """SHA-256 of the groups `a1,a2|b1;a3|b2,b3`; empty without tokens.
+            return none, none
+        a = np.array(self.a.encode_ordinary(" " + text), dtype=np.int64)
+        b = self.b.encode_as_numpy(text).astype(np.int64)
+        return (a, b) if self.bytes_of(0, a) == whole == self.bytes_of(1, b) else (none, none)
 
-        Every id is a text with the mark that follows it; ids of B lie behind all ids of A up to their group's end.
+    def tokens(self, text: str | None) -> tuple[list[int], list[int]]:
+        """ids() as lists."""
+        a, b = self.ids(text)
+        return a.tolist(), b.tolist()
+
+    def bytes_of(self, side: int, ids: np.ndarray) -> bytes:
+        """The joined bytes of tokens of A (side 0) or B (side 1)."""
+        stored, starts = self.joined[side]
+        sizes = self.sizes[side][ids]
+        at = np.repeat(starts[ids] - sizes.cumsum() + sizes, sizes)
+        at += np.arange(len(at))
+        return stored[at].tobytes()
+
+    def written(self, a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """The groups `a1,a2|b1;a3|b2,b3;`, as one text for every id with the mark that follows it.
+
+        Ids of B lie behind all ids of A up to their group's end.
         """
-        if not len(i):
-            return ""
-        written = np.empty(len(a) + len(b), dtype=np.int64)
+        out = np.empty(len(a) + len(b), dtype=np.int64)
         a, b = a.copy(), b + 2 * len(self.a_bytes)
         a[i] += len(self.a_bytes)
         b[j] += len(self.b_bytes)
-        before = np.concatenate([[0], j[:-1] + 1])
-        written[np.arange(len(a)) + np.repeat(before, np.diff(i, prepend=-1))] = a
-        written[np.arange(len(b)) + np.repeat(i + 1, np.diff(j, prepend=-1))] = b
-        return hashlib.sha256("".join(map(self.texts.__getitem__, written.tolist()))[:-1].encode()).hexdigest()
+        before = np.concatenate([[0], j + 1])[: len(i)]
+        out[np.arange(len(a)) + np.repeat(before, np.diff(i, prepend=-1))] = a
+        out[np.arange(len(b)) + np.repeat(i + 1, np.diff(j, prepend=-1))] = b
+        return self.texts[out]
+
+    def suffix(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """The places, among all suffixes of all tokens, of the shorter token in the longer one of each pair."""
+        x, y = self.sizes[0][a], self.sizes[1][b]
+        return np.where(x >= y, self.firsts[0][a] + y, self.firsts[1][b] + x) - 1
 
     def numbers(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """The numbers of linked pairs."""
-        return np.searchsorted(self.pairs, a.astype(np.int64) * len(self.b_bytes) + b).astype(np.int32)
+        wanted, out = a * len(self.b_bytes) + b, self.of_suffix[self.suffix(a, b)]
+        # Tokens of the same bytes, as a byte piece and its character, share their suffixes.
+        others = np.flatnonzero(self.pairs[out] != wanted)
+        out[others] = np.searchsorted(self.pairs, wanted[others])
+        return out
+
+
+def digest(written: np.ndarray) -> str:
+    """SHA-256 of a document's written groups, without the mark behind the last; empty without tokens."""
+    return hashlib.sha256(written.tobytes().translate(None, b"\0")[:-1]).hexdigest() if len(written) else ""
 
 
 @lru_cache(maxsize=1)
@@ -126,31 +160,55 @@ def vocabularies(a: str, b: str) -> Vocabularies:
     return Vocabularies(a, b)
 
 
-def common(short: list[int], long: list[int]) -> tuple[list[int], list[int]]:
+def gallop(keys: np.ndarray, values: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """How many of the sorted values are below each key, by doubling steps from a start of its own, then bisection."""
+    low, high = start.copy(), start.copy()
+    # Back: all from `high` on is known not to be below the key.
+    step, open_ = 1, np.flatnonzero(low > 0)
+    while len(open_ := open_[values[low[open_] - 1] >= keys[open_]]):
+        high[open_] = low[open_] - 1
+        low[open_] = np.maximum(low[open_] - step, 0)
+        step, open_ = 2 * step, open_[low[open_] > 0]
+    # Forth: all before `low` is known to be below the key.
+    step, open_ = 1, np.flatnonzero((low == high) & (high < len(values)))
+    while len(open_ := open_[values[high[open_]] < keys[open_]]):
+        low[open_] = high[open_] + 1
+        high[open_] = np.minimum(high[open_] + step, len(values))
+        step, open_ = 2 * step, open_[high[open_] < len(values)]
+    open_ = np.flatnonzero(low < high)
+    while len(open_):
+        middle = (low[open_] + high[open_]) // 2
+        below = values[middle] < keys[open_]
+        low[open_[below]] = middle[below] + 1
+        high[open_[~below]] = middle[~below]
+        open_ = open_[low[open_] < high[open_]]
+    return low
+
+
+def places(keys: np.ndarray, values: np.ndarray, apart: int = 1) -> np.ndarray:
+    """How many of the sorted values are below each of the sorted keys, which are `apart` ranks apart.
+
+    The first key of every block is placed before the others; they start as if both lists went on alike.
+    """
+    if len(keys) <= 1:
+        start = np.zeros(len(keys), dtype=np.int64)
+    else:
+        firsts = places(keys[::BLOCK], values, apart * BLOCK)
+        rank = np.arange(len(keys))
+        start = np.minimum(firsts[rank // BLOCK] + rank % BLOCK * apart, len(values))
+    return gallop(keys, values, start)
+
+
+def common(short: np.ndarray, long: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The indices in both sorted lists of the values they share."""
-    at, size = 0, len(long)
-    i, j = [], []
-    for k, value in enumerate(short):
-        if at == size:
-            break
-        found = long[at]
-        if found < value:
-            # Gallop: the first place that is not smaller lies in (at + step / 2, at + step].
-            step = 1
-            while at + step < size and long[at + step] < value:
-                step *= 2
-            at = bisect_left(long, value, at + step // 2 + 1, min(at + step, size))
-            if at == size:
-                break
-            found = long[at]
-        if found == value:
-            i.append(k)
-            j.append(at)
-            at += 1
-    return i, j
+    short, long = (np.asarray(k, dtype=np.int64) for k in (short, long))
+    at = places(short, long)
+    i = np.flatnonzero(at < len(long))
+    i = i[long[at[i]] == short[i]]
+    return i, at[i]
 
 
-def aligned(a: list[int], b: list[int]) -> tuple[list[int], list[int]]:
+def aligned(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The ranks of the tokens that end together, from the ends of both lists of tokens."""
     if len(a) <= len(b):
         return common(a, b)
@@ -166,6 +224,15 @@ def groups_of(a: list[int], b: list[int], i: list[int], j: list[int]) -> list[di
     ]
 
 
+def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Successive rows whose texts, in the second column, have at most SLICE_BYTES in all but for the last one."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy().astype(np.int64)
+    cuts = np.flatnonzero(np.diff(sizes.cumsum() // SLICE_BYTES, prepend=0)) + 1
+    for low, high in zip([0, *cuts.tolist()], [*cuts.tolist(), len(batch)]):
+        if low < high:
+            yield batch.slice(low, high - low)
+
+
 def align(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     a: str | None = None, b: str | None = None, with_groups: bool = False,
@@ -178,26 +245,23 @@ def align(
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both = vocabularies(a, b)
-        for batch in batches:
-            # Small slices bound the ids held at once.
-            for part in (batch.slice(at, 512) for at in range(0, len(batch), 512)):
-                figures, groups, ends, last_a, last_b = [], [], [0], [], []
-                for value in part.column(1):
-                    x, y = (np.array(k, dtype=np.int64) for k in both.tokens(value.as_py()))
-                    found = aligned(*(sizes[k].cumsum().tolist() for sizes, k in zip(both.sizes, (x, y))))
-                    i, j = (np.array(k, dtype=np.int64) for k in found)
-                    figures.append((len(x), len(y), len(i), both.digest(x, y, i, j)))
-                    groups.append(groups_of(x.tolist(), y.tolist(), *found) if with_groups else None)
-                    last_a.append(x[i])
-                    last_b.append(y[j])
-                    ends.append(ends[-1] + len(i))
-                numbers = both.numbers(np.concatenate(last_a), np.concatenate(last_b))
-                kinds = [pa.int64()] * 3 + [pa.string()]
-                columns = [pa.array(c, k) for c, k in zip(zip(*figures), kinds)]
-                links = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(numbers))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), *columns, pa.array(groups, of_groups), links], names=schema.names
-                )
+        for part in (part for batch in batches for part in slices(batch)):
+            ids = list(zip(*(both.ids(value.as_py()) for value in part.column(1))))
+            x, y = map(np.concatenate, ids)
+            # Both lists of a text end at the same byte, so running sums over the slice never match across texts.
+            i, j = aligned(both.sizes[0][x].cumsum(), both.sizes[1][y].cumsum())
+            n_x, n_y = (np.fromiter(map(len, k), np.int64) for k in ids)
+            ends_x, ends_y = (np.append(0, k.cumsum()) for k in (n_x, n_y))
+            ends = np.searchsorted(i, ends_x)
+            written = both.written(x, y, i, j)
+            digests = [digest(written[low:high]) for low, high in pairwise((ends_x + ends_y).tolist())]
+            groups = [None] * len(part)
+            if with_groups:
+                own = ((k, slice(*r)) for k, r in enumerate(pairwise(ends.tolist())))
+                groups = [groups_of(*(v[k].tolist() for v in ids), (i[r] - ends_x[k]).tolist(), (j[r] - ends_y[k]).tolist()) for k, r in own]
+            columns = [*map(pa.array, (n_x, n_y, np.diff(ends))), pa.array(digests, pa.string()), pa.array(groups, of_groups)]
+            links = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(both.numbers(x[i], y[j])))
+            yield pa.RecordBatch.from_arrays([part.column(0), *columns, links], names=schema.names)
 
     return rows.mapInArrow(scan, schema)
 

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import sys
 from collections import Counter
 
 import public_tokenizers
@@ -87,6 +88,65 @@ def test_galloping_equals_intersection(seed):
     assert [short[k] for k in i] == [long[k] for k in j] == sorted(set(short) & set(long))
 
 
+@pytest.mark.parametrize("seed", range(20))
+def test_galloping_over_long_runs_and_gaps(seed):
+    rng = random.Random(seed)
+    lists = []
+    for _ in range(2):
+        out, at = [], 0
+        for _ in range(rng.randrange(1, 60)):
+            # Runs of neighbours that both lists may share, then a gap.
+            at += rng.choice([1, 2, 30, 3000])
+            run = rng.randrange(1, 80)
+            out += range(at, at + run * (step := rng.choice([1, 1, 2])), step)
+            at = out[-1]
+        lists.append(out)
+    i, j = alignment.aligned(*lists)
+    assert [lists[0][k] for k in i] == [lists[1][k] for k in j] == sorted(set(lists[0]) & set(lists[1]))
+
+
+def test_no_python_step_per_end():
+    """The search handles the ends of texts as arrays: ten times the ends are not ten times the lines run."""
+
+    def lines_run(n):
+        rng = random.Random(n)
+        a, b = (sorted(rng.sample(range(2 * n), n)) for _ in range(2))
+        seen = 0
+
+        def trace(frame, event, _):
+            nonlocal seen
+            seen += event == "line" and frame.f_code.co_filename == alignment.__file__
+            return trace
+
+        before = sys.gettrace()
+        sys.settrace(trace)
+        try:
+            i, j = alignment.aligned(a, b)
+        finally:
+            sys.settrace(before)
+        assert len(i) == len(j) == len(set(a) & set(b))
+        return seen
+
+    assert lines_run(20_000) < 3 * lines_run(2_000)
+
+
+def test_texts_of_many_slices(frame):
+    """What is held at once is cut by bytes; no figure depends on where."""
+    rng = random.Random(5)
+    texts = TEXTS + ["".join(rng.choice(["naïve ", "token", "izer ", "漢", "\n", "  "]) for _ in range(rng.randrange(400))) for _ in range(12)]
+    expected = [r[:4] for r in by_definition(texts)]
+    long = "the same words " * 100_000
+    order = [k for k in range(len(texts)) for _ in range(60)]
+    rng.shuffle(order)
+    rows = [(n, texts[k], "", 0) for n, k in enumerate(order)]
+    rows.insert(300, (-1, long, "", 0))
+    docs = frame(rows, COLUMNS).coalesce(1)
+    found = {r.doc_id: (r.n_a, r.n_b, r.n_groups, r.groups_sha256) for r in alignment.align(docs).drop("links").collect()}
+    assert [found[n] for n in range(len(order))] == [expected[k] for k in order]
+    # Every word and the blank at the end is one token of both.
+    assert found[-1][:3] == (300_001,) * 3
+
+
 def test_the_list_of_pairs_is_whole():
     both = alignment.vocabularies(alignment.default_vocabulary(), alignment.default_pieces())
     assert len(both.pairs) <= both.sizes[0].sum() + both.sizes[1].sum()
@@ -98,5 +158,13 @@ def test_the_list_of_pairs_is_whole():
             assert (p.endswith(q) or q.endswith(p)) == (x * len(both.b_bytes) + y in pairs)
 
 
+def test_every_pair_has_its_number():
+    both = alignment.vocabularies(alignment.default_vocabulary(), alignment.default_pieces())
+    order = list(range(len(both.pairs)))
+    random.Random(3).shuffle(order)
+    x, y = divmod(both.pairs[order], len(both.b_bytes))
+    assert both.numbers(x, y).tolist() == order
+
+
 def test_no_documents(frame):
     assert alignment.linked(frame([], COLUMNS)).count() == 0
